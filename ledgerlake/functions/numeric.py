@@ -24,15 +24,27 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def round_dbl(x, n: int) -> Column:
-    """round(double, n) as round_half_away(x * 10^n) / 10^n, in binary.
+_TWO52 = float(2 ** 52)
+
+
+def round_half_away(y) -> Column:
+    """Round a double half away from zero to an integral double, in plain arithmetic.
 
-    Spark's round(double, 0) goes through the double's exact text form; for an
-    integral-scale round that equals half-away-from-zero of the binary value.
+    For |y| < 2^52, y - floor(y) is exact, so the half test has no rounding
+    error; larger doubles are integral already.  No BigDecimal on the way.
     """
+    y = _c(y)
+    a = F.abs(y)
+    fl = F.floor(a).cast("double")
+    r = F.when(a - fl >= F.lit(0.5), fl + F.lit(1.0)).otherwise(fl)
+    return F.when(a >= F.lit(_TWO52), y).otherwise(F.when(y < 0, -r).otherwise(r))
+
+
+def round_dbl(x, n: int) -> Column:
+    """round(double, n) as round_half_away(x * 10^n) / 10^n, in binary."""
     m = float(10 ** n)
     x = _c(x).cast("double")
-    r = F.round(x * F.lit(m), 0) / F.lit(m)
+    r = round_half_away(x * F.lit(m)) / F.lit(m)
     # A result of zero keeps the sign of the input (-0.4 rounds to -0.0).
     return F.when(r == 0.0, x * F.lit(0.0)).otherwise(r)
 
@@ -40,7 +52,7 @@ def round_dbl(x, n: int) -> Column:
 def dbl_to_dec(x, precision: int, scale: int) -> Column:
     """cast(double AS decimal(precision, scale)) scaling in binary."""
     step = Decimal(1).scaleb(-scale)
-    units = F.round(_c(x).cast("double") * F.lit(float(10 ** scale)), 0)
+    units = round_half_away(_c(x).cast("double") * F.lit(float(10 ** scale)))
     return (units.cast(f"decimal({precision},0)") * F.lit(step)).cast(
         f"decimal({precision},{scale})")
 

@@ -28,21 +28,29 @@ TRADE_KEY = lambda: [F.col("trade_date"), F.col("account"), F.col("action"),  #
 PRICE_KEY = lambda: [F.col("price_date"), F.col("symbol"), dbl_to_dec("close", 18, 4)]
 
 
-def occurrence(base: Column, file_col: str = "source_file", pos_col: str = "pos") -> Column:
-    """0-based rank of a row among rows with the same key text in the same file."""
-    w = Window.partitionBy(F.col(file_col), base).orderBy(F.col(pos_col).asc_nulls_last())
-    return F.row_number().over(w) - 1
+BUCKET = "row_bucket"
 
 
 def stamp_row_hash(df: DataFrame, parts: Sequence[Column], with_occurrence: bool = True,
                    file_col: str = "source_file", pos_col: str = "pos",
                    out: str = "row_hash") -> DataFrame:
+    """Add ``row_hash`` and ``row_bucket`` (a 64-bit hash of the key text).
+
+    With occurrence numbering the rows are hash-partitioned once by
+    ``row_bucket``: the occurrence window (per file and key text) and the silver
+    dedup (per row_hash, all copies share the key text) both cluster on it, so the
+    bronze -> silver chain needs a single shuffle.  ``row_bucket`` leads the
+    window key, so the sort compares a fixed-width prefix first.
+    """
     base = hash_text(parts)
+    df = df.withColumn("_base", base).withColumn(BUCKET, F.xxhash64(F.col("_base")))
     if with_occurrence:
-        text = F.concat_ws(SEP, base, occurrence(base, file_col, pos_col).cast("string"))
+        df = df.repartition(F.col(BUCKET))
+        w = Window.partitionBy(BUCKET, file_col, "_base").orderBy(F.col(pos_col).asc_nulls_last())
+        text = F.concat_ws(SEP, F.col("_base"), (F.row_number().over(w) - 1).cast("string"))
     else:
-        text = base
-    return df.withColumn(out, sha256_hex(text))
+        text = F.col("_base")
+    return df.withColumn(out, sha256_hex(text)).drop("_base")
 
 
 def year_month(date_col: str) -> Column:

@@ -21,6 +21,17 @@ STG_PRICES_COLS = ["price_date", "symbol", "open", "high", "low", "close", "adj_
                    "currency", "row_hash"]
 
 
+def _bucket(bronze: DataFrame):
+    return [F.col("row_bucket")] if "row_bucket" in bronze.columns else []
+
+
+def _dedup(typed: DataFrame) -> DataFrame:
+    """Keep-first per row_hash; grouped with row_bucket when bronze carries it, so a
+    bronze plan already partitioned by the bucket is not shuffled again."""
+    keys = ["row_bucket", "row_hash"] if "row_bucket" in typed.columns else ["row_hash"]
+    return dedup_first(typed, key=keys)
+
+
 def _money(col: str, precision: int, scale: int, df: DataFrame):
     """Typed cast of a landed number: doubles scale in binary, others cast directly."""
     dtype = dict(df.dtypes).get(col)
@@ -35,8 +46,8 @@ def stg_transactions(bronze: DataFrame) -> DataFrame:
         F.col("description"),
         _money("amount", 18, 2, bronze),
         F.col("category_raw"), F.col("source_account_hint"), F.col("source"),
-        F.col("row_hash"), F.col("ingested_at"))
-    return dedup_first(typed).select(*STG_TRANSACTIONS_COLS)
+        F.col("row_hash"), F.col("ingested_at"), *_bucket(bronze))
+    return _dedup(typed).select(*STG_TRANSACTIONS_COLS)
 
 
 def stg_trades(bronze: DataFrame) -> DataFrame:
@@ -45,8 +56,8 @@ def stg_trades(bronze: DataFrame) -> DataFrame:
         F.col("account"), F.col("action"), F.col("symbol"), F.col("currency"),
         _money("price", 18, 4, bronze), _money("quantity", 18, 6, bronze),
         _money("amount", 18, 2, bronze),
-        F.col("source_account_hint"), F.col("source"), F.col("row_hash"), F.col("ingested_at"))
-    return dedup_first(typed).select(*STG_TRADES_COLS)
+        F.col("source_account_hint"), F.col("source"), F.col("row_hash"), F.col("ingested_at"), *_bucket(bronze))
+    return _dedup(typed).select(*STG_TRADES_COLS)
 
 
 def stg_stock_prices(bronze: DataFrame) -> DataFrame:
@@ -54,8 +65,8 @@ def stg_stock_prices(bronze: DataFrame) -> DataFrame:
         F.col("price_date").cast("date").alias("price_date"), F.col("symbol"),
         *[_money(c, 18, 4, bronze) for c in ("open", "high", "low", "close", "adj_close")],
         F.col("volume").cast("bigint").alias("volume"), F.col("currency"),
-        F.col("row_hash"), F.col("ingested_at"))
-    return dedup_first(typed).select(*STG_PRICES_COLS)
+        F.col("row_hash"), F.col("ingested_at"), *_bucket(bronze))
+    return _dedup(typed).select(*STG_PRICES_COLS)
 
 
 def silver_from_bronze(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:

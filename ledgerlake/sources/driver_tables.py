@@ -46,15 +46,36 @@ REDELIVER_PRICES_FROM = dt.date(2001, 6, 1)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one driver table; spread it over the cluster's cores if the scan is under-split.
+
+    The driver writes each table as a single Parquet row group, which Spark
+    cannot split, so the scan and all per-row work before the first shuffle would
+    run in one task.  A scan with at least as many splits as cores (any large
+    input) is returned untouched.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def _redeliver(df: DataFrame, date_col: str, start: dt.date) -> DataFrame:
-    """Union the rows dated on/after ``start`` again, as a later overlapping export."""
-    again = (df.filter(F.col(date_col) >= F.lit(start))
-             .withColumn("source_file", F.regexp_replace("source_file", r"\.csv$", "_redownload.csv"))
-             .withColumn("ingested_at", F.to_timestamp(F.lit(REINGESTED_AT))))
-    return df.unionByName(again)
+    """Rows dated on/after ``start`` appear a second time, from a later overlapping export.
+
+    One scan: every row expands into its copies with ``explode`` instead of a
+    second read of the source.
+    """
+    copy = F.explode(F.when(F.col(date_col) >= F.lit(start), F.array(F.lit(0), F.lit(1)))
+                     .otherwise(F.array(F.lit(0))))
+    cols = [c for c in df.columns if c not in ("source_file", "ingested_at")]
+    again = F.col("_copy") == 1
+    return (df.withColumn("_copy", copy)
+            .select(*cols,
+                    F.when(again, F.regexp_replace("source_file", r"\.csv$", "_redownload.csv"))
+                     .otherwise(F.col("source_file")).alias("source_file"),
+                    F.when(again, F.to_timestamp(F.lit(REINGESTED_AT)))
+                     .otherwise(F.col("ingested_at")).alias("ingested_at")))
 
 
 def raw_bank_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,60 +98,57 @@ def raw_bank_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _redeliver(df, "transaction_date", REDELIVER_BANK_FROM)
 
 
+_TRADE_ROW = ("struct<action:string,symbol:string,price:double,quantity:double,"
+              "amount:double,pos:bigint>")
+
+
 def raw_trade_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsed broker-ledger rows: the common trades schema plus file lineage."""
+    """Parsed broker-ledger rows: the common trades schema plus file lineage.
+
+    One pass over lineitem: each line yields its trade row plus, where its
+    discount says so, a dividend or an interest row (``inline`` of a small array).
+    """
     li = table(spark, sf_dir, "lineitem")
     d = F.to_date("l_shipdate")
     source = F.when(F.col("l_linestatus") == "F", F.lit("fidelity")).otherwise(F.lit("vanguard"))
     line = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 2
-    common = dict(
-        trade_date=d,
-        account=F.concat(F.lit("ACCT-"), F.col("l_suppkey").cast("string")),
-        symbol=F.concat(F.lit("P"), F.col("l_partkey").cast("string")),
-        currency=F.lit("USD"),
-        source=source,
-        source_file=F.concat(source, F.lit("-ira_"), F.year(d).cast("string"), F.lit(".csv")),
-        ingested_at=F.to_timestamp(F.lit(INGESTED_AT)),
-    )
+    symbol = F.concat(F.lit("P"), F.col("l_partkey").cast("string"))
     sold = F.col("l_returnflag") == "R"
     action = (F.when(F.col("l_returnflag") == "N", F.lit("YOU BOUGHT"))
               .when((F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 1),
                     F.lit("DIVIDEND REINVESTMENT"))
               .when(F.col("l_returnflag") == "A", F.lit("REINVESTMENT"))
               .otherwise(F.lit("YOU SOLD")))
-    trades = li.select(
-        common["trade_date"].alias("trade_date"),
-        common["account"].alias("account"),
-        action.alias("action"),
-        common["symbol"].alias("symbol"),
-        common["currency"].alias("currency"),
+    no_num = F.lit(None).cast("double")
+    trade = F.struct(
+        action.alias("action"), symbol.alias("symbol"),
         F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("double").alias("price"),
         F.when(sold, F.col("l_quantity") / 10.0).otherwise(F.col("l_quantity")).alias("quantity"),
         F.when(sold, F.col("l_extendedprice")).otherwise(-F.col("l_extendedprice")).alias("amount"),
-        common["source"].alias("source"),
-        common["source_file"].alias("source_file"),
-        line.alias("pos"),
-        common["ingested_at"].alias("ingested_at"),
-    )
-    dividends = li.filter(F.col("l_discount") == 0.10).select(
-        common["trade_date"].alias("trade_date"), common["account"].alias("account"),
-        F.lit("DIVIDEND RECEIVED").alias("action"), common["symbol"].alias("symbol"),
-        common["currency"].alias("currency"),
-        F.lit(None).cast("double").alias("price"), F.lit(None).cast("double").alias("quantity"),
-        (F.col("l_extendedprice") * F.col("l_tax")).alias("amount"),
-        common["source"].alias("source"), common["source_file"].alias("source_file"),
-        (line + 1).alias("pos"), common["ingested_at"].alias("ingested_at"),
-    )
-    interest = li.filter(F.col("l_discount") == 0.0).select(
-        common["trade_date"].alias("trade_date"), common["account"].alias("account"),
+        line.alias("pos"))
+    dividend = F.struct(
+        F.lit("DIVIDEND RECEIVED").alias("action"), symbol.alias("symbol"), no_num.alias("price"),
+        no_num.alias("quantity"), (F.col("l_extendedprice") * F.col("l_tax")).alias("amount"),
+        (line + 1).alias("pos"))
+    interest = F.struct(
         F.lit("INTEREST EARNED").alias("action"), F.lit(None).cast("string").alias("symbol"),
-        common["currency"].alias("currency"),
-        F.lit(None).cast("double").alias("price"), F.lit(None).cast("double").alias("quantity"),
-        F.col("l_quantity").alias("amount"),
-        common["source"].alias("source"), common["source_file"].alias("source_file"),
-        (line + 1).alias("pos"), common["ingested_at"].alias("ingested_at"),
-    )
-    df = trades.unionByName(dividends).unionByName(interest)
+        no_num.alias("price"), no_num.alias("quantity"), F.col("l_quantity").alias("amount"),
+        (line + 1).alias("pos"))
+    extra = (F.when(F.col("l_discount") == 0.10, F.array(dividend))
+             .when(F.col("l_discount") == 0.0, F.array(interest))
+             .otherwise(F.array().cast(f"array<{_TRADE_ROW}>")))
+    df = (li.select(d.alias("trade_date"),
+                    F.concat(F.lit("ACCT-"), F.col("l_suppkey").cast("string")).alias("account"),
+                    source.alias("source"),
+                    F.concat(source, F.lit("-ira_"), F.year(d).cast("string"),
+                             F.lit(".csv")).alias("source_file"),
+                    F.explode(F.concat(F.array(trade), extra)).alias("r"))
+          .select("trade_date", "account", F.col("r.action").alias("action"),
+                  F.col("r.symbol").alias("symbol"), F.lit("USD").alias("currency"),
+                  F.col("r.price").alias("price"), F.col("r.quantity").alias("quantity"),
+                  F.col("r.amount").alias("amount"), "source", "source_file",
+                  F.col("r.pos").alias("pos"),
+                  F.to_timestamp(F.lit(INGESTED_AT)).alias("ingested_at")))
     return _redeliver(df, "trade_date", REDELIVER_TRADES_FROM)
 
 

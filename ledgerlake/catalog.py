@@ -13,22 +13,39 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.text import is_ledger_action
+from ledgerlake.operators import quality
 from ledgerlake.operators.ledger_fold import ORDER_COLUMNS
 from ledgerlake.operators.ledger_fold import position_lots as fold_position_lots
 from ledgerlake.plans import bronze as bronze_plan
-from ledgerlake.plans import portfolio, silver, spending, wealth
+from ledgerlake.plans import ingest, portfolio, silver, spending, wealth
+from ledgerlake.session import ensure_checkpoint_dir
+from ledgerlake.sources import driver_tables
 
 
 @dataclass
 class Models:
-    """Lazily built tables of one run; each property is computed once per run."""
+    """Lazily built tables of one run; each property is built once per run.
+
+    With ``share=True`` a table read by several downstream models (silver
+    tables, the ledger, investment_growth) is materialised with a reliable
+    checkpoint in the shared checkpoint folder, so it is computed once and its
+    lineage is cut; otherwise every consumer re-derives it inside its own plan.
+    """
     spark: SparkSession
     sf_dir: str
+    share: bool = False
     cache: dict = field(default_factory=dict)
 
+    SHARED = ("stg_transactions", "stg_trades", "stg_stock_prices", "position_lots",
+              "investment_growth")
+
     def _get(self, name: str, fn: Callable[[], DataFrame]) -> DataFrame:
         if name not in self.cache:
-            self.cache[name] = fn()
+            df = fn()
+            if self.share and name in self.SHARED:
+                ensure_checkpoint_dir(self.spark)
+                df = df.checkpoint(eager=True)
+            self.cache[name] = df
         return self.cache[name]
 
     @property
@@ -70,8 +87,59 @@ class Models:
                                                              self.unrealized_gains))
 
 
-def build(spark: SparkSession, sf_dir: str) -> Models:
-    return Models(spark, sf_dir)
+    @property
+    def monthly_spending(self) -> DataFrame:
+        return self._get("monthly_spending",
+                         lambda: spending.monthly_spending(self.stg_transactions))
+
+    @property
+    def wealth_summary(self) -> DataFrame:
+        return self._get("wealth_summary",
+                         lambda: wealth.wealth_summary(self.stg_transactions, self.stg_trades,
+                                                       self.stg_stock_prices))
+
+    @property
+    def portfolio_roe_summary(self) -> DataFrame:
+        return self._get("portfolio_roe_summary",
+                         lambda: portfolio.portfolio_roe_summary(self.investment_growth))
+
+    def gold(self) -> dict[str, DataFrame]:
+        return {
+            "wealth_summary": self.wealth_summary,
+            "monthly_spending": self.monthly_spending,
+            "position_lots": self.position_lots,
+            "realized_gains": self.realized_gains,
+            "unrealized_gains": self.unrealized_gains,
+            "investment_growth": self.investment_growth,
+            "portfolio_roe_summary": self.portfolio_roe_summary,
+        }
+
+    def table(self, name: str) -> DataFrame:
+        return getattr(self, name)
+
+
+def build(spark: SparkSession, sf_dir: str, share: bool = False) -> Models:
+    return Models(spark, sf_dir, share)
+
+
+# Ad-hoc tickers requested on top of traded and watched symbols,
+# and the refresh end date used by the registered backfill query.
+EXTRA_TICKERS = ("NVDA", "COIN")
+BACKFILL_END = "2001-12-31"
+
+
+def universe(m: Models) -> DataFrame:
+    watch = ingest.watchlist_symbols(driver_tables.watchlist_rows(m.spark, m.sf_dir))
+    return ingest.ticker_universe(m.bronze["trades"], watch, EXTRA_TICKERS)
+
+
+def quality_report(m: Models) -> DataFrame:
+    """Every model test on every silver and gold table, one row per rule."""
+    out = None
+    for table in quality.MODEL_RULES:
+        part = quality.check(m.table(table), table, quality.model_rules(table))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def trade_sequence(stg_trades: DataFrame) -> DataFrame:
@@ -87,9 +155,10 @@ BANK_BRONZE_OUT = ["transaction_date", "description", "amount", "category_raw",
                    "source_account_hint", "source", "source_file", "pos", "row_hash", "year_month"]
 
 
-def _q(fn: Callable[[Models], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+def _q(fn: Callable[[Models], DataFrame], share: bool = False
+       ) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(build(spark, sf_dir))
+        return fn(build(spark, sf_dir, share))
     run.__name__ = getattr(fn, "__name__", "query")
     return run
 
@@ -107,8 +176,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_price": _q(lambda m: portfolio.latest_price(m.stg_stock_prices)),
     "unrealized_gains": _q(lambda m: m.unrealized_gains),
     "realized_by_position": _q(lambda m: portfolio.realized_by_position(m.realized_gains)),
-    "investment_growth": _q(lambda m: m.investment_growth),
-    "portfolio_roe_summary": _q(lambda m: portfolio.portfolio_roe_summary(m.investment_growth)),
+    "investment_growth": _q(lambda m: m.investment_growth, share=True),
+    "portfolio_roe_summary": _q(lambda m: m.portfolio_roe_summary, share=True),
     "calendar_spine": _q(lambda m: wealth.calendar_spine(m.stg_transactions, m.stg_stock_prices)),
     "cash_running": _q(lambda m: wealth.cash_running(m.stg_transactions)),
     "running_holdings": _q(lambda m: wealth.running_holdings(m.stg_trades)),
@@ -121,6 +190,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         wealth.cash_running(m.stg_transactions),
         wealth.portfolio_value_by_day(
             wealth.holdings_asof(m.stg_stock_prices, wealth.running_holdings(m.stg_trades))))),
-    "wealth_summary": _q(lambda m: wealth.wealth_summary(m.stg_transactions, m.stg_trades,
-                                                         m.stg_stock_prices)),
+    "wealth_summary": _q(lambda m: m.wealth_summary),
+    "year_month_partition_counts": _q(lambda m: ingest.bronze_partition_counts(m.bronze)),
+    "ticker_universe": _q(universe),
+    "missing_symbols_anti": _q(lambda m: ingest.missing_symbols(universe(m), m.stg_stock_prices)),
+    "backfill_bounds": _q(lambda m: ingest.backfill_window(m.stg_trades, BACKFILL_END,
+                                                           backfill=True)),
+    "sign_violations": _q(lambda m: quality.sign_violations(m.bronze["trades"])),
+    "quality_report": _q(quality_report, share=True),
 }

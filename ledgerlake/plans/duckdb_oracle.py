@@ -414,6 +414,51 @@ FINAL: dict[str, str] = {
     "wealth_summary": "SELECT * FROM wealth_summary",
 }
 
+CTES["watchlist"] = """
+  SELECT upper(trim(line)) AS symbol
+  FROM (SELECT CASE WHEN p_type = 'ECONOMY' THEN '# ' ELSE '' END
+               || ' p' || CAST(p_partkey AS VARCHAR) || ' ' AS line
+        FROM part WHERE p_size >= 48)
+  WHERE trim(line) <> '' AND NOT starts_with(trim(line), '#')"""
+
+CTES["ticker_universe"] = """
+  SELECT symbol FROM bronze_trades WHERE symbol IS NOT NULL AND symbol <> ''
+  UNION SELECT symbol FROM watchlist
+  UNION SELECT 'NVDA' UNION SELECT 'COIN'"""
+
+FINAL["year_month_partition_counts"] = """
+  SELECT 'bank_transactions' AS dataset, source, year_month, count(*) AS rows
+  FROM bronze_bank GROUP BY source, year_month
+  UNION ALL
+  SELECT 'trades', source, year_month, count(*) FROM bronze_trades GROUP BY source, year_month
+  UNION ALL
+  SELECT 'stock_prices', source, year_month, count(*) FROM bronze_prices
+  GROUP BY source, year_month"""
+FINAL["ticker_universe"] = "SELECT symbol FROM ticker_universe"
+FINAL["missing_symbols_anti"] = """
+  SELECT u.symbol FROM ticker_universe u
+  WHERE NOT EXISTS (SELECT 1 FROM stg_stock_prices p WHERE p.symbol = u.symbol)"""
+FINAL["backfill_bounds"] = """
+  SELECT min(trade_date) AS start_date, DATE '2001-12-31' AS end_date FROM stg_trades"""
+FINAL["sign_violations"] = """
+  SELECT trade_date, account, action, symbol, amount, row_hash,
+         'buy_amount_not_negative' AS rule
+  FROM bronze_trades
+  WHERE (action ILIKE '%bought%' OR action ILIKE '%reinvestment%') AND amount >= 0
+  UNION ALL
+  SELECT trade_date, account, action, symbol, amount, row_hash,
+         'sell_or_dividend_amount_not_positive'
+  FROM bronze_trades
+  WHERE (action ILIKE '%sold%' OR action ILIKE '%dividend%') AND amount <= 0"""
+
+
+def _quality_sql() -> str:
+    from ledgerlake.operators.quality import MODEL_RULES, rule_sql
+    return "\nUNION ALL\n".join(rule_sql(t, r) for t, rules in MODEL_RULES.items() for r in rules)
+
+
+FINAL["quality_report"] = _quality_sql()
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: sql(stmt) for name, stmt in FINAL.items()}

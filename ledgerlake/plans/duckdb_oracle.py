@@ -363,19 +363,22 @@ def _deps(name: str) -> list[str]:
     return [t for t in dict.fromkeys(_NAME_RE.findall(body)) if t in CTES and t != name]
 
 
-def sql(final_select: str) -> str:
-    """WITH clause holding every CTE the final SELECT (transitively) uses."""
+def sql(final_select: str, given: frozenset[str] | set[str] = frozenset()) -> str:
+    """WITH clause holding every CTE the final SELECT (transitively) uses.
+
+    Names in ``given`` are left out: the caller provides them as tables.
+    """
     order: list[str] = []
 
     def visit(n: str) -> None:
-        if n in order:
+        if n in order or n in given:
             return
         for d in _deps(n):
             visit(d)
         order.append(n)
 
     for t in dict.fromkeys(_NAME_RE.findall(final_select)):
-        if t in CTES:
+        if t in CTES and t not in given:
             visit(t)
     if not order:
         return final_select

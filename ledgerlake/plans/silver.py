@@ -40,33 +40,48 @@ def _money(col: str, precision: int, scale: int, df: DataFrame):
     return F.col(col).cast(f"decimal({precision},{scale})").alias(col)
 
 
-def stg_transactions(bronze: DataFrame) -> DataFrame:
-    typed = bronze.select(
+def typed_transactions(bronze: DataFrame) -> DataFrame:
+    return bronze.select(
         F.col("transaction_date").cast("date").alias("transaction_date"),
         F.col("description"),
         _money("amount", 18, 2, bronze),
         F.col("category_raw"), F.col("source_account_hint"), F.col("source"),
         F.col("row_hash"), F.col("ingested_at"), *_bucket(bronze))
-    return _dedup(typed).select(*STG_TRANSACTIONS_COLS)
 
 
-def stg_trades(bronze: DataFrame) -> DataFrame:
-    typed = bronze.select(
+def stg_transactions(bronze: DataFrame) -> DataFrame:
+    return _dedup(typed_transactions(bronze)).select(*STG_TRANSACTIONS_COLS)
+
+
+def typed_trades(bronze: DataFrame) -> DataFrame:
+    return bronze.select(
         F.col("trade_date").cast("date").alias("trade_date"),
         F.col("account"), F.col("action"), F.col("symbol"), F.col("currency"),
         _money("price", 18, 4, bronze), _money("quantity", 18, 6, bronze),
         _money("amount", 18, 2, bronze),
-        F.col("source_account_hint"), F.col("source"), F.col("row_hash"), F.col("ingested_at"), *_bucket(bronze))
-    return _dedup(typed).select(*STG_TRADES_COLS)
+        F.col("source_account_hint"), F.col("source"), F.col("row_hash"), F.col("ingested_at"),
+        *_bucket(bronze))
 
 
-def stg_stock_prices(bronze: DataFrame) -> DataFrame:
-    typed = bronze.select(
+def stg_trades(bronze: DataFrame) -> DataFrame:
+    return _dedup(typed_trades(bronze)).select(*STG_TRADES_COLS)
+
+
+def typed_prices(bronze: DataFrame) -> DataFrame:
+    return bronze.select(
         F.col("price_date").cast("date").alias("price_date"), F.col("symbol"),
         *[_money(c, 18, 4, bronze) for c in ("open", "high", "low", "close", "adj_close")],
         F.col("volume").cast("bigint").alias("volume"), F.col("currency"),
         F.col("row_hash"), F.col("ingested_at"), *_bucket(bronze))
-    return _dedup(typed).select(*STG_PRICES_COLS)
+
+
+def stg_stock_prices(bronze: DataFrame) -> DataFrame:
+    return _dedup(typed_prices(bronze)).select(*STG_PRICES_COLS)
+
+
+TYPED = {"stg_transactions": (typed_transactions, STG_TRANSACTIONS_COLS),
+         "stg_trades": (typed_trades, STG_TRADES_COLS),
+         "stg_stock_prices": (typed_prices, STG_PRICES_COLS)}
 
 
 def silver_from_bronze(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:

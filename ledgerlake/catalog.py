@@ -148,7 +148,7 @@ def trade_sequence(stg_trades: DataFrame) -> DataFrame:
         *[F.col(c).asc_nulls_last() for c in ORDER_COLUMNS])
     return (stg_trades.filter(is_ledger_action("action"))
             .select("symbol", "source", "trade_date", "amount", "row_hash",
-                    F.row_number().over(w).alias("rn")))
+                    F.row_number().over(w).cast("bigint").alias("rn")))
 
 
 BANK_BRONZE_OUT = ["transaction_date", "description", "amount", "category_raw",

@@ -26,7 +26,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 9))
+        return repr(v)
     if isinstance(v, Decimal):
         return format(v.normalize(), "f") if v == v else "nan"
     if isinstance(v, dt.datetime):
@@ -58,3 +58,20 @@ def compare(spark_df, con, sql: str, show: int = 5):
         out["only_spark"] = only_s
         out["only_duck"] = only_d
     return out
+
+
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+def spark_type_as_duck(t: str) -> str:
+    if t.startswith("decimal("):
+        return "DECIMAL" + t[len("decimal"):].replace(" ", "")
+    return SPARK_TO_DUCK.get(t, t.upper())
+
+
+def types_of(spark_df, con, sql: str):
+    s = {n: spark_type_as_duck(t) for n, t in spark_df.dtypes}
+    rel = con.sql(sql)
+    d = {n: str(t).replace(" ", "") for n, t in zip(rel.columns, rel.types)}
+    return s, d

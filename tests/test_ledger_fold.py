@@ -17,9 +17,9 @@ def trade(day, action, qty, price, amount, symbol="AAA", source="fidelity", h=No
             D(price), D(qty), D(amount), "acct", source, h or f"{symbol}-{source}-{day}-{amount}")
 
 
-def check(spark, rows):
+def check(spark, rows, **kw):
     df = spark.createDataFrame(rows, TRADE_SPARK)
-    out = position_lots(df)
+    out = position_lots(df, **kw)
     con = duck_with({"stg_trades": (TRADE_DDL, rows)})
     same(out, con, LOTS_SQL)
     return {(r.symbol, r.source, r.rn): r for r in out.collect()}
@@ -115,3 +115,42 @@ def test_fold_state_crosses_batches():
                     [1_000_000, 1_000_000], [30_0000, 30_0000], [3000, -3000], state)
     assert one[0] == [1, 2] and two[0] == [3, 4]
     assert two[2][0] == 1500  # cost 30.00 - 1 x 15.00
+
+
+SPLIT = dict(hot_min_rows=1, hot_max_keys=1000, num_partitions=5)
+
+
+def test_hot_ledger_segments_match_recursive_sql(spark):
+    rows, i = [], 0
+    for rep in range(6):                       # buy-buy-sell to zero, repeated
+        rows += [trade(i, "YOU BOUGHT", 3, 10 + rep, -30), trade(i + 1, "YOU BOUGHT", 1, "0.005", -1),
+                 trade(i + 2, "YOU SOLD", 4, 12, 48)]
+        i += 3
+    rows += [trade(i, "YOU SOLD", 1, 12, 12),   # sell at zero shares: cost NULL from here on
+             trade(i + 1, "YOU BOUGHT", 2, 5, -10), trade(i + 2, "YOU SOLD", 2, 6, 12),
+             trade(i + 3, "YOU BOUGHT", 2, 5, -10)]
+    rows += [trade(0, "YOU SOLD", 1, 3, 3, symbol="BBB"),   # first-row sell
+             trade(1, "YOU BOUGHT", 2, None, -7, symbol="BBB"),  # NULL price poisons cost
+             trade(2, "YOU SOLD", 2, 4, 8, symbol="BBB"), trade(3, "YOU BOUGHT", 1, 4, -4, symbol="BBB")]
+    r = check(spark, rows, **SPLIT)
+    assert r[("AAA", "fidelity", 3)].cost_basis == 0
+    assert r[("AAA", "fidelity", 19)].cost_basis is None
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_random_ledgers_split_path(spark, seed):
+    rnd = random.Random(seed)
+    rows = []
+    for g in range(4):
+        sym, src = f"H{g}", ("fidelity", "vanguard")[g % 2]
+        held = Decimal(0)
+        for i in range(rnd.randint(20, 120)):
+            q = Decimal(rnd.randint(1, 40)) / 4
+            act = rnd.choice(["YOU BOUGHT", "YOU SOLD", "REINVESTMENT"])
+            if act == "YOU SOLD" and held > 0 and rnd.random() < 0.4:
+                q = held                                  # close the position exactly
+            held = held + q if act != "YOU SOLD" else held - q
+            p = None if rnd.random() < 0.02 else Decimal(rnd.randint(1, 999999)) / 10000
+            a = Decimal(rnd.randint(-90000, 90000)) / 100
+            rows.append(trade(i, act, q, p, a, symbol=sym, source=src, h=f"{g}-{i}"))
+    check(spark, rows, **SPLIT)

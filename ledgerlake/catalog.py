@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.text import is_ledger_action
 from ledgerlake.operators import quality
 from ledgerlake.operators.ledger_fold import ORDER_COLUMNS
+from ledgerlake.operators.scan import sequence_number
 from ledgerlake.operators.ledger_fold import position_lots as fold_position_lots
 from ledgerlake.plans import bronze as bronze_plan
 from ledgerlake.plans import ingest, portfolio, silver, spending, wealth
@@ -142,13 +143,12 @@ def quality_report(m: Models) -> DataFrame:
     return out
 
 
-def trade_sequence(stg_trades: DataFrame) -> DataFrame:
+def trade_sequence(stg_trades: DataFrame, skew_safe: bool | None = None) -> DataFrame:
     """Ledger order number per (symbol, source) (W2), row_hash as final tie-break."""
-    w = Window.partitionBy("symbol", "source").orderBy(
-        *[F.col(c).asc_nulls_last() for c in ORDER_COLUMNS])
-    return (stg_trades.filter(is_ledger_action("action"))
-            .select("symbol", "source", "trade_date", "amount", "row_hash",
-                    F.row_number().over(w).cast("bigint").alias("rn")))
+    rows = (stg_trades.filter(is_ledger_action("action"))
+            .select("symbol", "source", "trade_date", "amount", "row_hash"))
+    return sequence_number(rows, ["symbol", "source"],
+                           [F.col(c).asc_nulls_last() for c in ORDER_COLUMNS], "rn", skew_safe)
 
 
 BANK_BRONZE_OUT = ["transaction_date", "description", "amount", "category_raw",

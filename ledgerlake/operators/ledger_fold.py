@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.text import is_buy, is_ledger_action, is_sell
+from ledgerlake.operators.scan import estimated_bytes, prefix_sums
 
 _TWO53 = 2 ** 53
 
@@ -246,8 +247,6 @@ def _fold_by_key(rows: DataFrame, num_partitions: int | None) -> DataFrame:
 def _fold_hot(rows: DataFrame, num_partitions: int | None) -> DataFrame:
     """Keys too big for one task: exact shares by a skew-safe prefix scan, then one
     fold per segment between zero-share points, segments spread over tasks."""
-    from ledgerlake.operators.scan import prefix_sums
-
     keys = ["symbol", "source"]
     first = (rows.groupBy(*keys)
              .agg(F.min(_order_struct()).alias("_first_key")))
@@ -308,11 +307,6 @@ HOT_MAX_KEYS = 64
 MIN_ROW_BYTES = 16
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a plan (no job is run)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def position_lots(stg_trades: DataFrame, num_partitions: int | None = None,
                   hot_min_rows: int = HOT_MIN_ROWS, hot_max_keys: int = HOT_MAX_KEYS
                   ) -> DataFrame:

@@ -58,3 +58,29 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     res = [(F.col(f"l._l_{name}") + F.coalesce(F.col(f"o._o_{name}"), F.lit(0))).alias(name)
            for name in vals]
     return j.select(*out_cols, *res)
+
+
+# Fixed value: estimated input size from which per-key numbering switches from a
+# plain window (one task per key) to the range-partitioned prefix scan.
+SKEW_SAFE_FROM_BYTES = 32 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of a plan (no job is run)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str,
+                    skew_safe: bool | None = None, num_partitions: int | None = None
+                    ) -> DataFrame:
+    """``df`` plus ``out`` = 1, 2, 3 ... per key along ``order`` (row_number).
+
+    Large inputs use the skew-safe prefix scan, so one key holding a large share
+    of the rows is numbered by many tasks; small inputs use a window.
+    """
+    if skew_safe is None:
+        skew_safe = estimated_bytes(df) >= SKEW_SAFE_FROM_BYTES
+    if skew_safe:
+        return prefix_sums(df, keys, order, {out: F.lit(1).cast("long")}, num_partitions)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(out, F.row_number().over(w).cast("long"))

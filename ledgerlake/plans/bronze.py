@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.hashing import SEP, hash_text, sha256_hex
 from ledgerlake.functions.numeric import dbl_to_dec
 from ledgerlake.functions.text import account_label
+from ledgerlake.operators.scan import SKEW_SAFE_FROM_BYTES, estimated_bytes, sequence_number
 from ledgerlake.sources import driver_tables as dt
 
 # Typed key parts of each fingerprint (money in its silver decimal type, so a
@@ -33,7 +34,7 @@ BUCKET = "row_bucket"
 
 def stamp_row_hash(df: DataFrame, parts: Sequence[Column], with_occurrence: bool = True,
                    file_col: str = "source_file", pos_col: str = "pos",
-                   out: str = "row_hash") -> DataFrame:
+                   out: str = "row_hash", skew_safe: bool | None = None) -> DataFrame:
     """Add ``row_hash`` and ``row_bucket`` (a 64-bit hash of the key text).
 
     With occurrence numbering the rows are hash-partitioned once by
@@ -41,9 +42,20 @@ def stamp_row_hash(df: DataFrame, parts: Sequence[Column], with_occurrence: bool
     dedup (per row_hash, all copies share the key text) both cluster on it, so the
     bronze -> silver chain needs a single shuffle.  ``row_bucket`` leads the
     window key, so the sort compares a fixed-width prefix first.
+
+    Large inputs (or ``skew_safe=True``) number occurrences with the skew-safe
+    prefix scan instead, so a file holding a huge run of identical rows is not
+    numbered by one task.
     """
     base = hash_text(parts)
     df = df.withColumn("_base", base).withColumn(BUCKET, F.xxhash64(F.col("_base")))
+    if skew_safe is None:
+        skew_safe = with_occurrence and estimated_bytes(df) >= SKEW_SAFE_FROM_BYTES
+    if with_occurrence and skew_safe:
+        numbered = sequence_number(df, [file_col, BUCKET, "_base"],
+                                   [F.col(pos_col).asc_nulls_last()], "_occ", skew_safe=True)
+        text = F.concat_ws(SEP, F.col("_base"), (F.col("_occ") - 1).cast("string"))
+        return numbered.withColumn(out, sha256_hex(text)).drop("_base", "_occ")
     if with_occurrence:
         df = df.repartition(F.col(BUCKET))
         w = Window.partitionBy(BUCKET, file_col, "_base").orderBy(F.col(pos_col).asc_nulls_last())

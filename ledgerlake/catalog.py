@@ -185,8 +185,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                                                       wealth.running_holdings(m.stg_trades))),
     "portfolio_value_by_day": _q(lambda m: wealth.portfolio_value_by_day(
         wealth.holdings_asof(m.stg_stock_prices, wealth.running_holdings(m.stg_trades)))),
-    "forward_fill": _q(lambda m: wealth.forward_fill(
-        wealth.calendar_spine(m.stg_transactions, m.stg_stock_prices),
+    "forward_fill": _q(lambda m: wealth.daily_filled(
         wealth.cash_running(m.stg_transactions),
         wealth.portfolio_value_by_day(
             wealth.holdings_asof(m.stg_stock_prices, wealth.running_holdings(m.stg_trades))))),
@@ -194,7 +193,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "year_month_partition_counts": _q(lambda m: ingest.bronze_partition_counts(m.bronze)),
     "ticker_universe": _q(universe),
     "missing_symbols_anti": _q(lambda m: ingest.missing_symbols(universe(m), m.stg_stock_prices)),
-    "backfill_bounds": _q(lambda m: ingest.backfill_window(m.stg_trades, BACKFILL_END,
+    "backfill_bounds": _q(lambda m: ingest.backfill_window(m.bronze["trades"], BACKFILL_END,
                                                            backfill=True)),
     "sign_violations": _q(lambda m: quality.sign_violations(m.bronze["trades"])),
     "quality_report": _q(quality_report, share=True),

@@ -56,7 +56,9 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: s
     # Filter NULL keys from the right: an equality join never matches them.
     for k in by:
         R = R.filter(F.col(k).isNotNull())
-    U = L.unionByName(R).withColumn("_b", bucket(t))
+    # One exchange on (key, bucket) feeds both the bucket aggregate and the
+    # row window below (the two references share it), so each input is read once.
+    U = L.unionByName(R).withColumn("_b", bucket(t)).repartition(*[F.col(k) for k in by], "_b")
     order = [F.col(t).asc_nulls_last(), F.col("_kind")] + \
             [F.col(f"_ro{i}").asc_nulls_first() for i in range(len(right_order))]
 

@@ -442,7 +442,7 @@ FINAL["missing_symbols_anti"] = """
   SELECT u.symbol FROM ticker_universe u
   WHERE NOT EXISTS (SELECT 1 FROM stg_stock_prices p WHERE p.symbol = u.symbol)"""
 FINAL["backfill_bounds"] = """
-  SELECT min(trade_date) AS start_date, DATE '2001-12-31' AS end_date FROM stg_trades"""
+  SELECT min(trade_date) AS start_date, DATE '2001-12-31' AS end_date FROM bronze_trades"""
 FINAL["sign_violations"] = """
   SELECT trade_date, account, action, symbol, amount, row_hash,
          'buy_amount_not_negative' AS rule

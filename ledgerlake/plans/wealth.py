@@ -96,9 +96,23 @@ def with_roi(filled: DataFrame) -> DataFrame:
                .select(*SUMMARY_COLUMNS)
 
 
+def daily_filled(cash: DataFrame, value: DataFrame) -> DataFrame:
+    """forward_fill without a separate calendar: the calendar is exactly the union
+    of the days with card activity and the days with prices, i.e. the keys of a
+    full outer join of the two per-day tables."""
+    j = cash.join(value, cash["transaction_date"] == value["as_of_date"], "full_outer")
+    d = F.coalesce(F.col("transaction_date"), F.col("as_of_date")).alias("d")
+    w = Window.orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
+    return j.select(d, "cash_balance", "portfolio_value").select(
+        F.col("d").alias("as_of_date"),
+        F.last("cash_balance", ignorenulls=True).over(w).alias("cash_balance"),
+        F.last("portfolio_value", ignorenulls=True).over(w).alias("portfolio_value"))
+
+
 def wealth_summary(stg_transactions: DataFrame, stg_trades: DataFrame, stg_prices: DataFrame,
                    spend_sign: int = 1) -> DataFrame:
-    cal = calendar_spine(stg_transactions, stg_prices)
+    """Each silver table is read once: card days come from the daily cash flow,
+    price days from the per-day portfolio value."""
     cash = cash_running(stg_transactions, spend_sign)
     value = portfolio_value_by_day(holdings_asof(stg_prices, running_holdings(stg_trades)))
-    return with_roi(forward_fill(cal, cash, value))
+    return with_roi(daily_filled(cash, value))

@@ -19,7 +19,8 @@ from ledgerlake.operators.scan import sequence_number
 from ledgerlake.operators.ledger_fold import position_lots as fold_position_lots
 from ledgerlake.plans import bronze as bronze_plan
 from ledgerlake.plans import ingest, portfolio, silver, spending, wealth
-from ledgerlake.session import ensure_checkpoint_dir
+from ledgerlake.session import ensure_checkpoint_dir, scratch_path
+from ledgerlake.sinks.writers import export_gold
 from ledgerlake.sources import driver_tables
 
 
@@ -143,6 +144,11 @@ def quality_report(m: Models) -> DataFrame:
     return out
 
 
+def gold_export(m: Models) -> DataFrame:
+    """Write every gold mart as Parquet under the shared folder; (table_name, rows)."""
+    return export_gold(m.spark, m.gold(), scratch_path(m.spark, "gold-export"))
+
+
 def trade_sequence(stg_trades: DataFrame, skew_safe: bool | None = None) -> DataFrame:
     """Ledger order number per (symbol, source) (W2), row_hash as final tie-break."""
     rows = (stg_trades.filter(is_ledger_action("action"))
@@ -197,4 +203,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                                                            backfill=True)),
     "sign_violations": _q(lambda m: quality.sign_violations(m.bronze["trades"])),
     "quality_report": _q(quality_report, share=True),
+    "gold_export_counts": _q(gold_export, share=True),
 }

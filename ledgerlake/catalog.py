@@ -204,4 +204,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sign_violations": _q(lambda m: quality.sign_violations(m.bronze["trades"])),
     "quality_report": _q(quality_report, share=True),
     "gold_export_counts": _q(gold_export, share=True),
+    "ingest_report": _q(lambda m: quality.ingest_report(m.bronze)),
 }

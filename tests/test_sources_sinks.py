@@ -201,3 +201,27 @@ def test_trade_sequence_skew_safe_matches_window(spark):
     a = trade_sequence(df, skew_safe=False).collect()
     b = trade_sequence(df, skew_safe=True).collect()
     assert sorted(map(repr, a)) == sorted(map(repr, b))
+
+
+def test_read_bronze_partitions_and_missing_columns(spark, tmp_dir):
+    from ledgerlake.sources.lake import read_bronze
+    d1 = dt.date(2026, 1, 5)
+    path = f"{tmp_dir}/bronze/bank2"
+    write_bronze(bank_rows(spark, [(d1, "A", 1.0, None)]).drop("category_raw"), path)
+    schema = ("transaction_date date, description string, amount double, category_raw string, "
+              "row_hash string, source string, year_month string")
+    df = read_bronze(spark, path, schema)
+    r = df.filter(F.col("year_month") == "2026-01").collect()
+    assert len(r) == 1 and r[0].source == "amex" and r[0].category_raw is None
+    assert read_bronze(spark, path, schema, recursive=True).count() == 1
+    assert read_bronze(spark, f"{tmp_dir}/absent", schema).count() == 0
+
+
+def test_presentation_orders(spark):
+    from ledgerlake.plans.present import present
+    df = spark.createDataFrame([("vanguard", 1.0), ("ALL", 2.0), ("fidelity", None)],
+                               "source string, total_gain double")
+    assert [r.source for r in present("portfolio_roe_summary", df).collect()] == \
+        ["ALL", "fidelity", "vanguard"]
+    assert [r.source for r in present("investment_growth", df).collect()] == \
+        ["ALL", "vanguard", "fidelity"]

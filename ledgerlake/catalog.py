@@ -19,7 +19,7 @@ from ledgerlake.operators.scan import sequence_number
 from ledgerlake.operators.ledger_fold import position_lots as fold_position_lots
 from ledgerlake.plans import bronze as bronze_plan
 from ledgerlake.plans import ingest, portfolio, silver, spending, wealth
-from ledgerlake.session import ensure_checkpoint_dir, scratch_path
+from ledgerlake.session import materialize, scratch_path
 from ledgerlake.sinks.writers import export_gold
 from ledgerlake.sources import driver_tables
 
@@ -29,9 +29,11 @@ class Models:
     """Lazily built tables of one run; each property is built once per run.
 
     With ``share=True`` a table read by several downstream models (silver
-    tables, the ledger, investment_growth) is materialised with a reliable
-    checkpoint in the shared checkpoint folder, so it is computed once and its
-    lineage is cut; otherwise every consumer re-derives it inside its own plan.
+    tables, the ledger, investment_growth) is materialised as a Parquet table in
+    the shared checkpoint folder, so it is computed once and its lineage is cut;
+    otherwise every consumer re-derives it inside its own plan.  Single queries
+    stay lazy (one plan, measured faster on local[8] even when the ledger fold
+    runs twice); the full pipeline run (gold export) materialises.
     """
     spark: SparkSession
     sf_dir: str
@@ -45,8 +47,7 @@ class Models:
         if name not in self.cache:
             df = fn()
             if self.share and name in self.SHARED:
-                ensure_checkpoint_dir(self.spark)
-                df = df.checkpoint(eager=True)
+                df = materialize(df, name)
             self.cache[name] = df
         return self.cache[name]
 
@@ -182,8 +183,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_price": _q(lambda m: portfolio.latest_price(m.stg_stock_prices)),
     "unrealized_gains": _q(lambda m: m.unrealized_gains),
     "realized_by_position": _q(lambda m: portfolio.realized_by_position(m.realized_gains)),
-    "investment_growth": _q(lambda m: m.investment_growth, share=True),
-    "portfolio_roe_summary": _q(lambda m: m.portfolio_roe_summary, share=True),
+    "investment_growth": _q(lambda m: m.investment_growth),
+    "portfolio_roe_summary": _q(lambda m: m.portfolio_roe_summary),
     "calendar_spine": _q(lambda m: wealth.calendar_spine(m.stg_transactions, m.stg_stock_prices)),
     "cash_running": _q(lambda m: wealth.cash_running(m.stg_transactions)),
     "running_holdings": _q(lambda m: wealth.running_holdings(m.stg_trades)),
@@ -202,7 +203,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_bounds": _q(lambda m: ingest.backfill_window(m.bronze["trades"], BACKFILL_END,
                                                            backfill=True)),
     "sign_violations": _q(lambda m: quality.sign_violations(m.bronze["trades"])),
-    "quality_report": _q(quality_report, share=True),
+    "quality_report": _q(quality_report),
     "gold_export_counts": _q(gold_export, share=True),
     "ingest_report": _q(lambda m: quality.ingest_report(m.bronze)),
 }

@@ -54,3 +54,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir, for written intermediates."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/ledgerlake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
+
+    Cuts the lineage like a reliable checkpoint, but computes the plan once and
+    stores it columnar (a reliable RDD checkpoint recomputes the plan to write
+    it).  The folder is on the cluster's shared storage, so a lost executor
+    never loses the table.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

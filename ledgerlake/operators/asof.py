@@ -17,6 +17,10 @@ To keep a hot key from becoming one window task, time is split into buckets
   3. per (key, bucket) window over the union rows: the last value so far inside
      the bucket, falling back to the carry from step 2.
 Every window is partitioned by (key, bucket) or runs over the bucket table.
+
+Inputs whose size estimate is below ``SKEW_SAFE_FROM_BYTES`` (or ``split=False``)
+use the single-window form instead: one exchange on the key, one running
+``last`` per key; the bucket table would cost a second pass over the union.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.scan import SKEW_SAFE_FROM_BYTES, estimated_bytes
+
 
 def month_bucket(time_col: str) -> Column:
     return F.trunc(F.col(time_col).cast("date"), "month")
@@ -33,7 +39,7 @@ def month_bucket(time_col: str) -> Column:
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str,
               right_time: str, value_cols: Sequence[str], bucket=month_bucket,
-              right_order: Sequence[str] = ()) -> DataFrame:
+              right_order: Sequence[str] = (), split: bool | None = None) -> DataFrame:
     """Left rows plus ``value_cols`` of the latest right row at or before left_time.
 
     ``right_order`` breaks ties among right rows at the same time (later wins).
@@ -56,11 +62,17 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: s
     # Filter NULL keys from the right: an equality join never matches them.
     for k in by:
         R = R.filter(F.col(k).isNotNull())
-    # One exchange on (key, bucket) feeds both the bucket aggregate and the
-    # row window below (the two references share it), so each input is read once.
-    U = L.unionByName(R).withColumn("_b", bucket(t)).repartition(*[F.col(k) for k in by], "_b")
     order = [F.col(t).asc_nulls_last(), F.col("_kind")] + \
             [F.col(f"_ro{i}").asc_nulls_first() for i in range(len(right_order))]
+    if split is None:
+        split = estimated_bytes(left) + estimated_bytes(right) >= SKEW_SAFE_FROM_BYTES
+    if not split:
+        w1 = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        one = L.unionByName(R).withColumn("_v", F.last("_val", ignorenulls=True).over(w1))
+        return one.filter(F.col("_kind") == 1).select(
+            *[F.col(f"_left.{c}").alias(c) for c in lcols],
+            *[F.col(f"_v.{c}").alias(c) for c in value_cols])
+    U = L.unionByName(R).withColumn("_b", bucket(t)).repartition(*[F.col(k) for k in by], "_b")
 
     # 1. last right value per (key, bucket) -- partial aggregation.
     ro = [F.col(f"_ro{i}") for i in range(len(right_order))]

@@ -18,6 +18,12 @@ def day(n):
 
 
 def asof_case(spark, prices, holdings, **kw):
+    for split in (True, False):
+        out = _asof_case(spark, prices, holdings, split=split, **kw)
+    return out
+
+
+def _asof_case(spark, prices, holdings, **kw):
     p = spark.createDataFrame(prices, "price_date date, symbol string, close decimal(18,4)")
     h = spark.createDataFrame(holdings, "trade_date date, symbol string, shares_held decimal(38,6)")
     out = asof_join(p, h, by=["symbol"], left_time="price_date", right_time="trade_date",

@@ -145,6 +145,51 @@ def quality_report(m: Models) -> DataFrame:
     return out
 
 
+# The export layouts written by the round trip (header lines and
+# the Amex preamble, which the Amex reader skips).
+CHASE_HEADER = "Transaction Date,Post Date,Description,Category,Type,Amount"
+AMEX_HEADER = "Date,Description,Card Member,Account #,Amount,Category"
+AMEX_PREAMBLE = ["Card activity", "Prepared for", "Account ending", "", "Period", "Currency"]
+
+
+def source_roundtrip(m: Models) -> DataFrame:
+    """Write the card rows as issuer exports, then parse them back."""
+    from ledgerlake.sinks.writers import write_export_files
+    from ledgerlake.sources.exports import read_source
+    raw = driver_tables.raw_bank_rows(m.spark, m.sf_dir)
+    date_txt = F.date_format("transaction_date", "MM/dd/yyyy")
+    quoted = F.concat(F.lit('"'), F.col("description"), F.lit('"'))
+    cat = F.coalesce(F.col("category_raw"), F.lit(""))
+    chase = raw.filter(F.col("source") == "chase").select(
+        F.col("source_file").alias("file"), F.col("pos").alias("line_no"),
+        F.concat_ws(",", date_txt, date_txt, quoted, cat,
+                    F.when(F.col("amount") < 0, "Payment").otherwise("Sale"),
+                    (-F.col("amount")).cast("string")).alias("text"))
+    amex = raw.filter(F.col("source") == "amex").select(
+        F.col("source_file").alias("file"), F.col("pos").alias("line_no"),
+        F.concat_ws(",", date_txt, quoted, F.lit("J DOE"), F.lit("-1001"),
+                    F.col("amount").cast("string"), cat).alias("text"))
+
+    def with_head(body, head_lines):
+        files = body.select("file").distinct()
+        heads = [files.select("file", F.lit(-len(head_lines) + i - 1).cast("long")
+                              .alias("line_no"), F.lit(t).alias("text"))
+                 for i, t in enumerate(head_lines)]
+        out = body
+        for h in heads:
+            out = out.unionByName(h)
+        return out
+
+    base = scratch_path(m.spark, "export-roundtrip")
+    write_export_files(with_head(chase, [CHASE_HEADER]), f"{base}/chase")
+    write_export_files(with_head(amex, AMEX_PREAMBLE + [AMEX_HEADER]), f"{base}/amex")
+    cols = ["source", "transaction_date", "description", "amount", "category_raw",
+            "source_account_hint"]
+    return (read_source(m.spark, "chase", f"{base}/chase", name_from_folder="file").select(*cols)
+            .unionByName(read_source(m.spark, "amex", f"{base}/amex", name_from_folder="file")
+                         .select(*cols)))
+
+
 def gold_export(m: Models) -> DataFrame:
     """Write every gold mart as Parquet under the shared folder; (table_name, rows)."""
     return export_gold(m.spark, m.gold(), scratch_path(m.spark, "gold-export"))
@@ -206,4 +251,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_report": _q(quality_report),
     "gold_export_counts": _q(gold_export, share=True),
     "ingest_report": _q(lambda m: quality.ingest_report(m.bronze)),
+    "source_roundtrip": _q(source_roundtrip),
 }

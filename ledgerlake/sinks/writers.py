@@ -72,3 +72,17 @@ def tables_from_catalog(spark: SparkSession, names: Sequence[str], database: str
         full = f"{database}.{n}" if database else n
         out[n] = spark.table(full) if spark.catalog.tableExists(full) else None
     return out
+
+
+def write_export_files(lines: DataFrame, path: str, file_col: str = "file",
+                       line_col: str = "line_no", text_col: str = "text") -> None:
+    """Write text export files, one per ``file_col`` value, lines in ``line_col`` order.
+
+    Each export file is a bounded unit (one statement), written by one task into
+    ``<path>/<file_col>=<name>/``; the sort within the task keeps the line order.
+    """
+    from pyspark.sql import functions as F
+    (lines.repartition(F.col(file_col))
+          .sortWithinPartitions(file_col, line_col)
+          .select(file_col, text_col)
+          .write.mode("overwrite").partitionBy(file_col).text(path))

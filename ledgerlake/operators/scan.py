@@ -14,6 +14,11 @@ many partitions, each contiguous in the order:
      and it is broadcast;
   4. running sum = local + offset.
 
+The range partition id is stored as a column in a table written once to the
+shared checkpoint folder: range bounds come from sampling, and two executions of
+the same range exchange may cut differently, so steps 1 and 2 must read one
+materialised copy (this also makes the numbering survive executor loss).
+
 Values must be non-NULL (coalesce before passing them).
 """
 
@@ -34,8 +39,10 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     vals = {name: f"_v_{name}" for name in sums}
     t = df.select("*", *[c.alias(vals[name]) for name, c in sums.items()])
-    ranged = t.repartitionByRange(n, *[F.col(k).asc_nulls_last() for k in keys], *order) \
-              .withColumn("_pid", F.spark_partition_id())
+    from ledgerlake.session import materialize
+    ranged = materialize(
+        t.repartitionByRange(n, *[F.col(k).asc_nulls_last() for k in keys], *order)
+         .withColumn("_pid", F.spark_partition_id()), "prefix-scan")
     w_loc = Window.partitionBy("_pid", *keys).orderBy(*order) \
                   .rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.select("*", *[F.sum(v).over(w_loc).alias(f"_l_{name}")

@@ -225,3 +225,16 @@ def test_presentation_orders(spark):
         ["ALL", "fidelity", "vanguard"]
     assert [r.source for r in present("investment_growth", df).collect()] == \
         ["ALL", "vanguard", "fidelity"]
+
+
+def test_files_with_different_layouts_read_together(spark, tmp_dir):
+    a = write(f"{tmp_dir}/mix/one_2026.csv", CHASE)
+    b = write(f"{tmp_dir}/mix/two_2026.csv",
+              "Amount,Type,Category,Description,Post Date,Transaction Date\n"
+              "-8.00,Sale,Gas,FUEL,02/02/2026,02/01/2026\n")
+    df = exports.read_source(spark, "chase", [a, b])
+    rows = {(r.source_account_hint, r.description): r for r in df.collect()}
+    assert len(df.collect()) == 5
+    fuel = rows[("two", "FUEL")]
+    assert (fuel.amount, fuel.category_raw, fuel.transaction_date) == \
+        (8.0, "Gas", dt.date(2026, 2, 1))

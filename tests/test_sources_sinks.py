@@ -158,18 +158,21 @@ def test_export_gold_counts(spark, tmp_dir):
     assert out == {"a": 3, "b": None}
 
 
-def test_incremental_silver_stream(spark, tmp_dir):
+@pytest.mark.parametrize("ttl", [None, "30 days"])
+def test_incremental_silver_stream(spark, tmp_dir, ttl):
     d = dt.date(2026, 1, 5)
     bronze_path, silver_path = f"{tmp_dir}/bronze", f"{tmp_dir}/silver"
     ckpt = f"{tmp_dir}/ckpt"
     b1 = bank_rows(spark, [(d, "A", 1.0, None), (d, "B", 2.0, None)])
     write_bronze(b1.drop("row_bucket"), bronze_path, mode="append")
-    q = start_incremental_silver(spark, "stg_transactions", bronze_path, silver_path, ckpt)
+    q = start_incremental_silver(spark, "stg_transactions", bronze_path, silver_path, ckpt,
+                                 state_ttl=ttl)
     q.awaitTermination()
     b2 = bank_rows(spark, [(d, "A", 1.0, None), (d, "C", 3.0, None)], file="x_2026.csv",
                    at="2026-01-07 00:00:00")
     write_bronze(b2.drop("row_bucket"), bronze_path, mode="append")
-    q = start_incremental_silver(spark, "stg_transactions", bronze_path, silver_path, ckpt)
+    q = start_incremental_silver(spark, "stg_transactions", bronze_path, silver_path, ckpt,
+                                 state_ttl=ttl)
     q.awaitTermination()
     out = spark.read.parquet(silver_path)
     assert sorted(r.description for r in out.collect()) == ["A", "B", "C"]

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.text import is_buy, is_ledger_action, is_sell
 from ledgerlake.operators.scan import estimated_bytes, prefix_sums
+from ledgerlake.session import ship_package
 
 _TWO53 = 2 ** 53
 
@@ -316,6 +317,7 @@ def position_lots(stg_trades: DataFrame, num_partitions: int | None = None,
     are split into independent segments at zero-share points and folded in
     parallel; all others are folded whole, one streamed task per key range.
     """
+    ship_package(stg_trades.sparkSession)
     rows = _ledger_rows(stg_trades)
     if estimated_bytes(rows) < hot_min_rows * MIN_ROW_BYTES:
         # Too small for any ledger to reach hot_min_rows trades: skip the split plan.

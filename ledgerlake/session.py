@@ -68,3 +68,32 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ledgerlake`` importable in the Python workers (once per application).
+
+    Operators that run Python on executors (the ledger fold) pickle functions by
+    reference to this package; ``addPyFile`` distributes a zip of it to every
+    executor, whatever directory the driver runs from.
+    """
+    import tempfile
+    import zipfile
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="ledgerlake-pkg-"), "ledgerlake.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(out)
+    _SHIPPED.add(app)

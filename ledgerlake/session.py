@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,25 +37,54 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder the cluster names in spark.checkpoint.dir.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder that the cluster names in spark.checkpoint.dir.
 
-    Only when the session has none (local tests) is a fallback set.
+    Only a local session that names none (tests) gets a temporary one; elsewhere executors
+    would write to their own disks, so a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    path = configured or fallback or os.path.join("/tmp", "ledgerlake-checkpoints")
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="ledgerlake-checkpoints-")
     sc.setCheckpointDir(path)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir, for written intermediates."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/ledgerlake/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/ledgerlake/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders of this application; how many there were.
+
+    For callers that are done with all results read from them.
+    """
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        release_scratch(spark)
 
 
 def materialize(df, name: str):
@@ -80,7 +111,6 @@ def ship_package(spark: SparkSession) -> None:
     reference to this package; ``addPyFile`` distributes a zip of it to every
     executor, whatever directory the driver runs from.
     """
-    import tempfile
     import zipfile
 
     app = spark.sparkContext.applicationId

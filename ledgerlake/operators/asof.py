@@ -1,12 +1,14 @@
 """Backward as-of left join.
 
 For every left row, attach the values of the latest right row with the same
-``by`` keys and ``right_time <= left_time`` (NULL when there is none).
+``by`` keys and ``right_time <= left_time`` (NULL when there is none).  As with any
+comparison, a NULL time matches nothing: right rows without a time are dropped, left
+rows without one get NULLs.
 
-Plan (no range join, no pairs): tag both sides, union them, and carry the last
-right value forward along time.  Right rows sort before left rows at the same
-time, so a same-day right row is visible.  The carried value is one struct, so
-a right row whose value columns are NULL still counts as the latest row.
+Plan (no range join, no pairs, the same at every size): tag both sides, union them,
+and carry the last right value forward along time.  Right rows sort before left rows at
+the same time, so a same-day right row is visible.  The carried value is one struct,
+so a right row whose value columns are NULL still counts as the latest row.
 
 To keep a hot key from becoming one window task, time is split into buckets
 (default: calendar month of the time column):
@@ -17,10 +19,6 @@ To keep a hot key from becoming one window task, time is split into buckets
   3. per (key, bucket) window over the union rows: the last value so far inside
      the bucket, falling back to the carry from step 2.
 Every window is partitioned by (key, bucket) or runs over the bucket table.
-
-Inputs whose size estimate is below ``SKEW_SAFE_FROM_BYTES`` (or ``split=False``)
-use the single-window form instead: one exchange on the key, one running
-``last`` per key; the bucket table would cost a second pass over the union.
 """
 
 from __future__ import annotations
@@ -30,8 +28,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.scan import SKEW_SAFE_FROM_BYTES, estimated_bytes
-
 
 def month_bucket(time_col: str) -> Column:
     return F.trunc(F.col(time_col).cast("date"), "month")
@@ -39,60 +35,46 @@ def month_bucket(time_col: str) -> Column:
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str,
               right_time: str, value_cols: Sequence[str], bucket=month_bucket,
-              right_order: Sequence[str] = (), split: bool | None = None) -> DataFrame:
+              right_order: Sequence[str] = ()) -> DataFrame:
     """Left rows plus ``value_cols`` of the latest right row at or before left_time.
 
     ``right_order`` breaks ties among right rows at the same time (later wins).
     """
-    by = list(by)
-    value_cols = list(value_cols)
-    lcols = [c for c in left.columns]
+    by, value_cols, lcols = list(by), list(value_cols), list(left.columns)
     clash = set(value_cols) & set(lcols)
     if clash:
         raise ValueError(f"value columns also on the left side: {sorted(clash)}")
     t = "_asof_t"
-    L = left.select(*[F.col(k) for k in by], F.col(left_time).alias(t), F.lit(1).alias("_kind"),
-                    *[F.lit(None).alias(f"_ro{i}") for i in range(len(right_order))],
-                    F.struct(*[F.col(c) for c in lcols]).alias("_left"),
-                    F.lit(None).cast(_struct_type(right, value_cols)).alias("_val"))
-    R = right.select(*[F.col(k) for k in by], F.col(right_time).alias(t), F.lit(0).alias("_kind"),
-                     *[F.col(c).alias(f"_ro{i}") for i, c in enumerate(right_order)],
-                     F.lit(None).cast(_struct_type(left, lcols)).alias("_left"),
-                     F.struct(*[F.col(c) for c in value_cols]).alias("_val"))
-    # Filter NULL keys from the right: an equality join never matches them.
-    for k in by:
-        R = R.filter(F.col(k).isNotNull())
-    order = [F.col(t).asc_nulls_last(), F.col("_kind")] + \
-            [F.col(f"_ro{i}").asc_nulls_first() for i in range(len(right_order))]
-    if split is None:
-        split = estimated_bytes(left) + estimated_bytes(right) >= SKEW_SAFE_FROM_BYTES
-    if not split:
-        w1 = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        one = L.unionByName(R).withColumn("_v", F.last("_val", ignorenulls=True).over(w1))
-        return one.filter(F.col("_kind") == 1).select(
-            *[F.col(f"_left.{c}").alias(c) for c in lcols],
-            *[F.col(f"_v.{c}").alias(c) for c in value_cols])
-    U = L.unionByName(R).withColumn("_b", bucket(t)).repartition(*[F.col(k) for k in by], "_b")
-
-    # 1. last right value per (key, bucket) -- partial aggregation.
-    ro = [F.col(f"_ro{i}") for i in range(len(right_order))]
-    last_in_bucket = (U.groupBy(*by, "_b").agg(
-        F.max(F.when(F.col("_kind") == 0,
-                     F.struct(F.col(t).alias("t"), *[c.alias(f"o{i}") for i, c in enumerate(ro)],
-                              F.col("_val").alias("v")))).alias("_lb")))
-    # 2. carry from earlier buckets (window over the bucket table, bounded per key).
-    wb = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = last_in_bucket.select(*by, "_b",
-                                  F.last(F.col("_lb.v"), ignorenulls=True).over(wb).alias("_carry"))
-    # Rows whose last right value is NULL-valued still count: wrap presence in the struct.
-    # 3. in-bucket running last, falling back to the carry.
-    w = Window.partitionBy(*by, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = U.join(carry, on=[*by, "_b"], how="left") if by else U.join(carry, on=["_b"], how="left")
-    filled = joined.withColumn("_v", F.coalesce(F.last("_val", ignorenulls=True).over(w),
-                                                F.col("_carry")))
-    out = filled.filter(F.col("_kind") == 1)
-    return out.select(*[F.col(f"_left.{c}").alias(c) for c in lcols],
-                      *[F.col(f"_v.{c}").alias(c) for c in value_cols])
+    ties = [f"_ro{i}" for i in range(len(right_order))]
+    lefts = left.select(*by, F.col(left_time).alias(t), F.lit(1).alias("_kind"),
+                        *[F.lit(None).alias(x) for x in ties],
+                        F.struct(*lcols).alias("_left"),
+                        F.lit(None).cast(_struct_type(right, value_cols)).alias("_val"))
+    rights = right.select(*by, F.col(right_time).alias(t), F.lit(0).alias("_kind"),
+                          *[F.col(c).alias(x) for c, x in zip(right_order, ties)],
+                          F.lit(None).cast(_struct_type(left, lcols)).alias("_left"),
+                          F.struct(*value_cols).alias("_val"))
+    rights = rights.dropna(subset=[*by, t])  # neither matches anything
+    both = (lefts.unionByName(rights).withColumn("_b", bucket(t))
+            .repartition(*[F.col(k) for k in by], "_b"))
+
+    last_right = F.struct(F.col(t).alias("t"), *[F.col(x) for x in ties],
+                          F.col("_val").alias("v"))
+    in_bucket = both.groupBy(*by, "_b").agg(
+        F.max(F.when(F.col("_kind") == 0, last_right)).alias("_last"))
+    earlier = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = in_bucket.select(*by, "_b", F.last("_last.v", ignorenulls=True).over(earlier)
+                             .alias("_carry"))
+
+    order = [F.col(t), F.col("_kind"), *[F.col(x).asc_nulls_first() for x in ties]]
+    so_far = Window.partitionBy(*by, "_b").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, 0)
+    filled = (both.join(carry, on=[*by, "_b"], how="left")
+              .withColumn("_v", F.coalesce(F.last("_val", ignorenulls=True).over(so_far),
+                                           F.col("_carry"))))
+    return (filled.filter(F.col("_kind") == 1)
+            .select(*[F.col(f"_left.{c}").alias(c) for c in lcols],
+                    *[F.col(f"_v.{c}").alias(c) for c in value_cols]))
 
 
 def _struct_type(df: DataFrame, cols: Sequence[str]) -> str:

@@ -6,10 +6,12 @@ gain of the row.  Every step is rounded to decimal(18,6) / decimal(18,2) and the
 rounding feeds into the next step, so the recurrence is not associative and
 cannot be a prefix scan; it is a sequential fold per key, parallel across keys.
 
-Plan: filter -> hash exchange on (symbol, source) -> sort within partition ->
-``mapInArrow`` streaming over the sorted rows with O(1) state.  A key never has
-to fit in memory: the sort spills, the fold reads Arrow batches in order and
-carries state across batch boundaries.
+Plan (one for every size): filter -> drop all but the first row of a NULL key in each
+task -> hash exchange on (symbol, source) -> sort within partition -> ``mapInArrow``
+streaming over the sorted rows with O(1) state.  A key never has to fit in memory: the
+sort spills, the fold reads Arrow batches in order and carries state across batch
+boundaries.  Keys run in parallel; one ledger is sequential by definition, because the
+rounded value of a step is the input of the next.
 
 Arithmetic contract (the model's SQL semantics, reproduced exactly with integer
 units: shares in 1e-6, prices in 1e-4, money in cents):
@@ -33,11 +35,11 @@ from decimal import Decimal
 from fractions import Fraction
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.text import is_buy, is_ledger_action, is_sell
-from ledgerlake.operators.scan import estimated_bytes, prefix_sums
 from ledgerlake.session import ship_package
 
 _TWO53 = 2 ** 53
@@ -131,34 +133,6 @@ def fold_rows(keys, buys, sells, solds, qs, ps, amts, state):
     return out_rn, out_s, out_c, out_r, keep
 
 
-def fold_segment_rows(groups, firsts, buys, sells, solds, qs, ps, amts, s_before, s_after,
-                      poisoned, resets, state):
-    """Cost and realized gain of rows whose shares are already known (hot keys).
-
-    Rows arrive sorted by (key, segment, order).  A segment starts after the
-    position returned to exactly zero shares, where the cost is exactly zero
-    (or NULL if it was ever NULL before), so segments fold independently.
-    Raises if a segment boundary did not actually leave a zero cost.
-    """
-    n = len(groups)
-    out_c = [None] * n
-    out_r = [None] * n
-    g, C = state["g"], state["C"]
-    for i in range(n):
-        if groups[i] != g:
-            g = groups[i]
-            C = None if poisoned[i] else 0
-        nS, C, R = _step(bool(firsts[i]), bool(buys[i]), bool(sells[i]), bool(solds[i]),
-                         qs[i], ps[i], amts[i], s_before[i], C)
-        if nS != s_after[i]:
-            raise ArithmeticError(f"ledger shares disagree with the scan at {groups[i]}")
-        if resets[i] and C not in (0, None):
-            raise ArithmeticError(f"cost not zero at a zero-share boundary of {groups[i]}")
-        out_c[i], out_r[i] = C, R
-    state.update(g=g, C=C)
-    return out_c, out_r
-
-
 _PASS = ["trade_date", "symbol", "source", "account", "action", "quantity", "price", "amount"]
 
 
@@ -181,23 +155,27 @@ def _fold_partition(batches):
         yield out
 
 
-def _fold_segments(batches):
-    state = {"g": None, "C": None}
+def _first_of_null_keys(batches):
+    """Pass rows with a full key on; of a key with a NULL, keep this task's first row only.
+
+    Only the first row of such a key is ever emitted, so a NULL key that holds most of the
+    rows must not be shuffled to one task.
+    """
+    first: dict[tuple, tuple] = {}
+    schema = None
     for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-        groups = list(zip(col["symbol"].to_pylist(), col["source"].to_pylist(),
-                          col["_seg"].to_pylist()))
-        c, r = fold_segment_rows(
-            groups, col["_first"].to_pylist(), col["_buy"].to_pylist(), col["_sell"].to_pylist(),
-            col["_sold"].to_pylist(), col["_q"].to_pylist(), col["_p"].to_pylist(),
-            col["_a"].to_pylist(), col["_s_before"].to_pylist(), col["_s_after"].to_pylist(),
-            col["_poisoned"].to_pylist(), col["_reset"].to_pylist(), state)
-        yield pa.RecordBatch.from_arrays(
-            [col["_rn"]] + [col[c_] for c_ in _PASS]
-            + [col["_s_after"], pa.array(c, pa.int64()), pa.array(r, pa.int64())],
-            names=["rn"] + _PASS + ["_s", "_c", "_r"])
+        schema = batch.schema
+        null = pc.or_(pc.is_null(batch["symbol"]), pc.is_null(batch["source"]))
+        if pc.any(null).as_py():
+            for row in batch.filter(null).to_pylist():
+                order = tuple(x for c in ORDER_COLUMNS for x in (row[c] is None, row[c] or 0))
+                key = row["symbol"], row["source"]
+                if key not in first or order < first[key][0]:
+                    first[key] = order, row
+            batch = batch.filter(pc.invert(null))
+        yield batch
+    if first:
+        yield pa.RecordBatch.from_pylist([r for _, r in first.values()], schema=schema)
 
 
 def _units(col: str, scale: int):
@@ -220,115 +198,19 @@ def _ledger_rows(stg_trades: DataFrame) -> DataFrame:
                     _units("amount", 2).alias("_a")))
 
 
-def _order():
-    return [F.col(c).asc_nulls_last() for c in ORDER_COLUMNS]
-
-
-def _order_struct():
-    """The ledger order as one comparable value (NULLs last, like ``_order``)."""
-    parts = []
-    for c in ORDER_COLUMNS:
-        parts += [F.col(c).isNull().alias(f"{c}_null"), F.col(c).alias(c)]
-    return F.struct(*parts)
-
-
-def _fold_by_key(rows: DataFrame, num_partitions: int | None) -> DataFrame:
-    """Keys of ordinary size: one sequential fold per key, streamed."""
-    parts = [num_partitions] if num_partitions else []
-    ordered = (rows.repartition(*parts, "symbol", "source")
-               .sortWithinPartitions(F.col("symbol").asc_nulls_last(),
-                                     F.col("source").asc_nulls_last(),
-                                     *[F.col(c).asc_nulls_last() for c in ORDER_COLUMNS]))
-    in_schema = dict(ordered.dtypes)
-    out_schema = ", ".join(["rn bigint"] + [f"{c} {in_schema[c]}" for c in _PASS]
-                           + ["_s bigint", "_c bigint", "_r bigint"])
-    return ordered.mapInArrow(_fold_partition, out_schema)
-
-
-def _fold_hot(rows: DataFrame, num_partitions: int | None) -> DataFrame:
-    """Keys too big for one task: exact shares by a skew-safe prefix scan, then one
-    fold per segment between zero-share points, segments spread over tasks."""
-    keys = ["symbol", "source"]
-    first = (rows.groupBy(*keys)
-             .agg(F.min(_order_struct()).alias("_first_key")))
-    # first has one row per hot key: bounded by the hot-key limit.
-    r = rows.join(F.broadcast(first), on=keys, how="inner")
-    is_first = _order_struct().eqNullSafe(F.col("_first_key"))
-    q_null = F.col("_q").isNull()
-    d_s = (F.when(is_first, F.when(F.col("_buy"), F.col("_q")).otherwise(F.lit(0)))
-           .otherwise(F.when(F.col("_buy"), F.col("_q"))
-                      .when(F.col("_sell"), -F.col("_q")).otherwise(F.lit(0))))
-    nq = q_null & (F.col("_buy") | (F.col("_sell") & ~is_first))
-    r = r.select(*rows.columns, is_first.alias("_first"), F.coalesce(d_s, F.lit(0)).alias("_ds"),
-                 nq.cast("long").alias("_nq_i"))
-    r = prefix_sums(r, keys, _order(),
-                    {"_rn": F.lit(1).cast("long"), "_S": F.col("_ds"), "_nq": F.col("_nq_i")},
-                    num_partitions)
-    s_after = F.when(F.col("_nq") == 0, F.col("_S"))
-    s_before = F.when(~F.col("_first") & (F.col("_nq") - F.col("_nq_i") == 0),
-                      F.col("_S") - F.col("_ds"))
-    r = r.withColumn("_s_after", s_after).withColumn("_s_before", s_before)
-    reset = (~F.col("_first") & F.col("_sell") & F.col("_s_before").isNotNull()
-             & (F.col("_s_before") != 0) & F.col("_s_after").isNotNull()
-             & (F.col("_s_after") == 0))
-    event = ((F.col("_buy") & (q_null | F.col("_p").isNull()))
-             | (~F.col("_first") & F.col("_sell")
-                & (F.col("_s_before").isNull() | (F.col("_s_before") == 0) | q_null)))
-    r = r.withColumn("_reset_i", F.coalesce(reset, F.lit(False)).cast("long")) \
-         .withColumn("_event_i", F.coalesce(event, F.lit(False)).cast("long"))
-    r = prefix_sums(r, keys, _order(),
-                    {"_resets": F.col("_reset_i"), "_events": F.col("_event_i")}, num_partitions)
-    r = r.select("*", (F.col("_resets") - F.col("_reset_i")).alias("_seg"),
-                 ((F.col("_events") - F.col("_event_i")) > 0).alias("_poisoned"),
-                 (F.col("_reset_i") == 1).alias("_reset"))
-    parts = [num_partitions] if num_partitions else []
-    ordered = (r.repartition(*parts, "symbol", "source", "_seg")
-               .sortWithinPartitions("symbol", "source", "_seg", *_order()))
-    in_schema = dict(ordered.dtypes)
-    out_schema = ", ".join(["rn bigint"] + [f"{c} {in_schema[c]}" for c in _PASS]
-                           + ["_s bigint", "_c bigint", "_r bigint"])
-    return ordered.mapInArrow(_fold_segments, out_schema)
-
-
-def hot_ledger_keys(rows: DataFrame, min_rows: int, max_keys: int) -> DataFrame:
-    """The largest (symbol, source) ledgers above ``min_rows`` trades, at most
-    ``max_keys`` of them (a bounded set; any key left out is still folded exactly,
-    just in one task)."""
-    return (rows.filter(F.col("symbol").isNotNull() & F.col("source").isNotNull())
-            .groupBy("symbol", "source").count()
-            .filter(F.col("count") >= min_rows)
-            .orderBy(F.col("count").desc(), "symbol", "source").limit(max_keys)
-            .select("symbol", "source"))
-
-
-# When a single ledger is split into parallel segments, and the
-# smallest plausible size of a trade row in Spark's size estimate.
-HOT_MIN_ROWS = 2_000_000
-HOT_MAX_KEYS = 64
-MIN_ROW_BYTES = 16
-
-
-def position_lots(stg_trades: DataFrame, num_partitions: int | None = None,
-                  hot_min_rows: int = HOT_MIN_ROWS, hot_max_keys: int = HOT_MAX_KEYS
-                  ) -> DataFrame:
-    """Running shares, average cost basis and realized gain per trade.
-
-    Ledgers with at least ``hot_min_rows`` trades (the ``hot_max_keys`` largest)
-    are split into independent segments at zero-share points and folded in
-    parallel; all others are folded whole, one streamed task per key range.
-    """
+def position_lots(stg_trades: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Running shares, average cost basis and realized gain per trade."""
     ship_package(stg_trades.sparkSession)
     rows = _ledger_rows(stg_trades)
-    if estimated_bytes(rows) < hot_min_rows * MIN_ROW_BYTES:
-        # Too small for any ledger to reach hot_min_rows trades: skip the split plan.
-        return _finish(_fold_by_key(rows, num_partitions))
-    # The hot-key table is part of the same plan (no driver round trip) and is
-    # bounded by ``hot_max_keys`` rows, so broadcasting it is safe.
-    hot = F.broadcast(hot_ledger_keys(rows, hot_min_rows, hot_max_keys))
-    normal = rows.join(hot, on=["symbol", "source"], how="left_anti")
-    big = rows.join(hot, on=["symbol", "source"], how="left_semi")
-    return _finish(_fold_by_key(normal, num_partitions)
-                   .unionByName(_fold_hot(big, num_partitions)))
+    rows = rows.mapInArrow(_first_of_null_keys, rows.schema)
+    parts = [num_partitions] if num_partitions else []
+    ordered = (rows.repartition(*parts, "symbol", "source")
+               .sortWithinPartitions(*[F.col(c).asc_nulls_last()
+                                       for c in ("symbol", "source", *ORDER_COLUMNS)]))
+    types = dict(ordered.dtypes)
+    folded = ordered.mapInArrow(_fold_partition, ", ".join(
+        ["rn bigint", *[f"{c} {types[c]}" for c in _PASS], "_s bigint", "_c bigint", "_r bigint"]))
+    return _finish(folded)
 
 
 def _finish(folded: DataFrame) -> DataFrame:

@@ -1,93 +1,51 @@
-"""Skew-safe running sums per key (a two-level prefix scan).
+"""Skew-safe running sums and row numbers per key (a two-level prefix scan).
 
-``Window.partitionBy(key).orderBy(t)`` puts every row of a key in one task; a
-key holding a third of the data would be a third of the job in one task.  Here
-rows are range-partitioned on (key, order) instead, so a big key spreads over
-many partitions, each contiguous in the order:
+``Window.partitionBy(key).orderBy(t)`` puts every row of a key in one task; a key
+holding a third of the data would be a third of the job in one task.  Here the order's
+leading column (a date) cuts a key into buckets:
 
-  1. local running sums per (partition id, key)   -- window, parallel per range;
-  2. totals per (partition id, key)                -- aggregation;
-  3. for each (partition id, key) that continues a key from earlier partitions,
-     the sum of the earlier partitions' totals     -- a window over the totals.
-     At most one key per partition can continue (the range is sorted by key),
-     so this offset table has at most one row per partition: a proven bound,
-     and it is broadcast;
-  4. running sum = local + offset.
+  1. local running sums per (key, bucket)            -- window, parallel per bucket;
+  2. totals per (key, bucket)                        -- aggregation with a map-side part;
+  3. sums of a key's earlier buckets                  -- window over the totals, whose rows
+     per key are bounded by the calendar;
+  4. running sum = local + sum of the earlier buckets -- join on (key, bucket).
 
-The range partition id is stored as a column in a table written once to the
-shared checkpoint folder: range bounds come from sampling, and two executions of
-the same range exchange may cut differently, so steps 1 and 2 must read one
-materialised copy (this also makes the numbering survive executor loss).
-
-Values must be non-NULL (coalesce before passing them).
+One lazy plan for every size; nothing is written or sampled.  Keys and buckets are
+compared as structs, so NULL keys and NULL buckets form groups of their own (NULL
+buckets come last).  Values must be non-NULL (coalesce before passing them).
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                sums: Mapping[str, Column], num_partitions: int | None = None) -> DataFrame:
-    """``df`` plus inclusive running sums per key along ``order`` (ascending columns)."""
-    keys = list(keys)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+def prefix_sums(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[Column],
+                sums: Mapping[str, Column]) -> DataFrame:
+    """``df`` plus inclusive running sums per key along (``bucket``, ``order``)."""
     vals = {name: f"_v_{name}" for name in sums}
-    t = df.select("*", *[c.alias(vals[name]) for name, c in sums.items()])
-    from ledgerlake.session import materialize
-    ranged = materialize(
-        t.repartitionByRange(n, *[F.col(k).asc_nulls_last() for k in keys], *order)
-         .withColumn("_pid", F.spark_partition_id()), "prefix-scan")
-    w_loc = Window.partitionBy("_pid", *keys).orderBy(*order) \
-                  .rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.select("*", *[F.sum(v).over(w_loc).alias(f"_l_{name}")
-                                 for name, v in vals.items()])
-    totals = ranged.groupBy("_pid", *keys).agg(*[F.sum(v).alias(f"_t_{name}")
-                                                 for name, v in vals.items()])
-    w_prev = Window.partitionBy(*keys).orderBy("_pid") \
-                   .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (totals.select("_pid", *keys,
-                             F.count(F.lit(1)).over(w_prev).alias("_prev_parts"),
-                             *[F.sum(f"_t_{name}").over(w_prev).alias(f"_o_{name}")
-                               for name in vals])
-               .filter(F.col("_prev_parts") > 0).drop("_prev_parts"))
-    l, o = local.alias("l"), F.broadcast(offsets).alias("o")
-    cond = reduce(lambda a, b: a & b,
-                  [F.col("l._pid") == F.col("o._pid")]
-                  + [F.col(f"l.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys])
-    j = l.join(o, cond, "left")
-    out_cols = [F.col(f"l.{c}") for c in df.columns]
-    res = [(F.col(f"l._l_{name}") + F.coalesce(F.col(f"o._o_{name}"), F.lit(0))).alias(name)
-           for name in vals]
-    return j.select(*out_cols, *res)
-
-
-# Fixed value: estimated input size from which per-key numbering switches from a
-# plain window (one task per key) to the range-partitioned prefix scan.
-SKEW_SAFE_FROM_BYTES = 32 << 20
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a plan (no job is run)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str,
-                    skew_safe: bool | None = None, num_partitions: int | None = None
-                    ) -> DataFrame:
-    """``df`` plus ``out`` = 1, 2, 3 ... per key along ``order`` (row_number).
-
-    Large inputs use the skew-safe prefix scan, so one key holding a large share
-    of the rows is numbered by many tasks; small inputs use a window.
-    """
-    if skew_safe is None:
-        skew_safe = estimated_bytes(df) >= SKEW_SAFE_FROM_BYTES
-    if skew_safe:
-        return prefix_sums(df, keys, order, {out: F.lit(1).cast("long")}, num_partitions)
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(out, F.row_number().over(w).cast("long"))
+    t = df.select("*", *[c.alias(vals[name]) for name, c in sums.items()],
+                  F.struct(*keys).alias("_k"), F.struct(*keys, F.col(bucket)).alias("_kb"))
+    in_bucket = Window.partitionBy("_kb").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, 0)
+    local = t.select("*", *[F.sum(v).over(in_bucket).alias(f"_l_{name}")
+                            for name, v in vals.items()])
+    totals = t.groupBy("_kb", "_k", F.col(bucket).alias("_b")).agg(
+        *[F.sum(v).alias(v) for v in vals.values()])
+    earlier = Window.partitionBy("_k").orderBy(F.col("_b").asc_nulls_last()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col("_kb").alias("_at"),
+                            *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"_o_{name}")
+                              for name, v in vals.items()])
+    joined = local.join(offsets, F.col("_kb") == F.col("_at"))
+    return joined.select(*df.columns, *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n)
+                                        for n in vals])
+
+
+def sequence_number(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[Column],
+                    out: str) -> DataFrame:
+    """``df`` plus ``out`` = 1, 2, 3 ... per key along (``bucket``, ``order``)."""
+    return prefix_sums(df, keys, bucket, order, {out: F.lit(1).cast("long")})

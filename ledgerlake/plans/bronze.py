@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.hashing import SEP, hash_text, sha256_hex
 from ledgerlake.functions.numeric import dbl_to_dec
 from ledgerlake.functions.text import account_label
-from ledgerlake.operators.scan import SKEW_SAFE_FROM_BYTES, estimated_bytes, sequence_number
 from ledgerlake.sources import driver_tables as dt
 
 # Typed key parts of each fingerprint (money in its silver decimal type, so a
@@ -34,34 +33,18 @@ BUCKET = "row_bucket"
 
 def stamp_row_hash(df: DataFrame, parts: Sequence[Column], with_occurrence: bool = True,
                    file_col: str = "source_file", pos_col: str = "pos",
-                   out: str = "row_hash", skew_safe: bool | None = None) -> DataFrame:
+                   out: str = "row_hash") -> DataFrame:
     """Add ``row_hash`` and ``row_bucket`` (a 64-bit hash of the key text).
 
-    With occurrence numbering the rows are hash-partitioned once by
-    ``row_bucket``: the occurrence window (per file and key text) and the silver
-    dedup (per row_hash, all copies share the key text) both cluster on it, so the
-    bronze -> silver chain needs a single shuffle.  ``row_bucket`` leads the
-    window key, so the sort compares a fixed-width prefix first.
-
-    Large inputs (or ``skew_safe=True``) number occurrences with the skew-safe
-    prefix scan instead, so a file holding a huge run of identical rows is not
-    numbered by one task.
+    Occurrences are numbered per (file, key text); ``row_bucket`` leads the window key, so
+    the sort compares a fixed-width prefix first.  Nothing is repartitioned here: a query
+    that does not read the hash drops the window and its exchange with the column.
     """
-    base = hash_text(parts)
-    df = df.withColumn("_base", base).withColumn(BUCKET, F.xxhash64(F.col("_base")))
-    if skew_safe is None:
-        skew_safe = with_occurrence and estimated_bytes(df) >= SKEW_SAFE_FROM_BYTES
-    if with_occurrence and skew_safe:
-        numbered = sequence_number(df, [file_col, BUCKET, "_base"],
-                                   [F.col(pos_col).asc_nulls_last()], "_occ", skew_safe=True)
-        text = F.concat_ws(SEP, F.col("_base"), (F.col("_occ") - 1).cast("string"))
-        return numbered.withColumn(out, sha256_hex(text)).drop("_base", "_occ")
+    df = df.withColumn("_base", hash_text(parts)).withColumn(BUCKET, F.xxhash64(F.col("_base")))
+    text = F.col("_base")
     if with_occurrence:
-        df = df.repartition(F.col(BUCKET))
         w = Window.partitionBy(BUCKET, file_col, "_base").orderBy(F.col(pos_col).asc_nulls_last())
-        text = F.concat_ws(SEP, F.col("_base"), (F.row_number().over(w) - 1).cast("string"))
-    else:
-        text = F.col("_base")
+        text = F.concat_ws(SEP, text, (F.row_number().over(w) - 1).cast("string"))
     return df.withColumn(out, sha256_hex(text)).drop("_base")
 
 
@@ -87,9 +70,15 @@ def bronze_prices(raw: DataFrame) -> DataFrame:
     return df.withColumn("year_month", year_month("price_date"))
 
 
-def bronze_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "bank_transactions": bronze_bank(dt.raw_bank_rows(spark, sf_dir)),
-        "trades": bronze_trades(dt.raw_trade_rows(spark, sf_dir)),
-        "stock_prices": bronze_prices(dt.raw_price_rows(spark, sf_dir)),
-    }
+#: Dataset -> (rows of the parser, bronze step).
+DATASETS = {
+    "bank_transactions": (dt.raw_bank_rows, bronze_bank),
+    "trades": (dt.raw_trade_rows, bronze_trades),
+    "stock_prices": (dt.raw_price_rows, bronze_prices),
+}
+
+
+def bronze_from_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One bronze dataset, derived from the driver tables."""
+    raw, stamp = DATASETS[name]
+    return stamp(raw(spark, sf_dir))

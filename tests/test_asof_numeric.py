@@ -18,12 +18,6 @@ def day(n):
 
 
 def asof_case(spark, prices, holdings, **kw):
-    for split in (True, False):
-        out = _asof_case(spark, prices, holdings, split=split, **kw)
-    return out
-
-
-def _asof_case(spark, prices, holdings, **kw):
     p = spark.createDataFrame(prices, "price_date date, symbol string, close decimal(18,4)")
     h = spark.createDataFrame(holdings, "trade_date date, symbol string, shares_held decimal(38,6)")
     out = asof_join(p, h, by=["symbol"], left_time="price_date", right_time="trade_date",
@@ -48,6 +42,12 @@ def test_asof_edges(spark):
     assert r[("Z", day(3))] is None          # symbol never traded
 
 
+def test_null_times_match_nothing(spark):
+    r = asof_case(spark, [(None, "A", Decimal(1)), (day(9), "A", Decimal(1)), (None, "B", None)],
+                  [(None, "A", Decimal(99)), (day(3), "A", Decimal(3)), (None, "B", Decimal(4))])
+    assert r == {("A", None): None, ("A", day(9)): Decimal(3), ("B", None): None}
+
+
 @pytest.mark.parametrize("seed", [7, 8])
 def test_asof_random_matches_duckdb(spark, seed):
     rnd = random.Random(seed)

@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 
+from ledgerlake.operators import ledger_fold
 from ledgerlake.operators.ledger_fold import fold_rows, position_lots
 from ledgerlake.plans.duckdb_oracle import sql
 from tests.helpers import TRADE_DDL, TRADE_SPARK, D, duck_with, same
@@ -117,10 +118,7 @@ def test_fold_state_crosses_batches():
     assert two[2][0] == 1500  # cost 30.00 - 1 x 15.00
 
 
-SPLIT = dict(hot_min_rows=1, hot_max_keys=1000, num_partitions=5)
-
-
-def test_hot_ledger_segments_match_recursive_sql(spark):
+def test_reset_to_zero_and_null_costs(spark):
     rows, i = [], 0
     for rep in range(6):                       # buy-buy-sell to zero, repeated
         rows += [trade(i, "YOU BOUGHT", 3, 10 + rep, -30), trade(i + 1, "YOU BOUGHT", 1, "0.005", -1),
@@ -132,13 +130,13 @@ def test_hot_ledger_segments_match_recursive_sql(spark):
     rows += [trade(0, "YOU SOLD", 1, 3, 3, symbol="BBB"),   # first-row sell
              trade(1, "YOU BOUGHT", 2, None, -7, symbol="BBB"),  # NULL price poisons cost
              trade(2, "YOU SOLD", 2, 4, 8, symbol="BBB"), trade(3, "YOU BOUGHT", 1, 4, -4, symbol="BBB")]
-    r = check(spark, rows, **SPLIT)
+    r = check(spark, rows)
     assert r[("AAA", "fidelity", 3)].cost_basis == 0
     assert r[("AAA", "fidelity", 19)].cost_basis is None
 
 
 @pytest.mark.parametrize("seed", [11, 12])
-def test_random_ledgers_split_path(spark, seed):
+def test_random_ledgers_with_closed_positions(spark, seed):
     rnd = random.Random(seed)
     rows = []
     for g in range(4):
@@ -153,4 +151,17 @@ def test_random_ledgers_split_path(spark, seed):
             p = None if rnd.random() < 0.02 else Decimal(rnd.randint(1, 999999)) / 10000
             a = Decimal(rnd.randint(-90000, 90000)) / 100
             rows.append(trade(i, act, q, p, a, symbol=sym, source=src, h=f"{g}-{i}"))
-    check(spark, rows, **SPLIT)
+    check(spark, rows)
+
+
+def test_hot_and_null_keys_in_many_tasks(spark):
+    rows = [trade(i % 90, "YOU BOUGHT" if i % 3 else "YOU SOLD", 1 + i % 4, 10, -i, symbol="HOT",
+                  h=f"{i:05d}") for i in range(1500)]
+    rows += [trade(i % 90, "YOU BOUGHT", 1, 10, -i, symbol=None, h=f"n{i:05d}") for i in range(1500)]
+    rows += [trade(i % 90, "YOU SOLD", 1, 10, i, source=None, h=f"s{i:05d}") for i in range(300)]
+    r = check(spark, rows, num_partitions=7)
+    assert sum(k[0] is None for k in r) == 1 and sum(k[1] is None for k in r) == 1
+    reduced = ledger_fold._first_of_null_keys
+    df = spark.createDataFrame(rows, TRADE_SPARK).repartition(4)
+    lines = ledger_fold._ledger_rows(df)
+    assert lines.mapInArrow(reduced, lines.schema).filter("symbol IS NULL").count() <= 4

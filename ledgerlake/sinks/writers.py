@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.plans.ingest import partition_counts
 
@@ -46,22 +49,29 @@ def write_table(df: DataFrame, name: str, path: str | None = None) -> None:
         w.parquet(path)
 
 
-def export_gold(spark: SparkSession, tables: Mapping[str, DataFrame | None], path: str,
-                ) -> DataFrame:
-    """Write each gold table to <path>/<table> as Parquet; return (table_name, rows).
+def export_gold(spark: SparkSession, tables: Mapping[str, DataFrame | None], path: str
+                ) -> dict[str, DataFrame]:
+    """Write each gold table to <path>/<table> as Parquet; the written tables, read back.
 
-    A missing table (None) is skipped with a warning row count of NULL.  Counts
-    come from the written files' footers, not from a second evaluation.
+    A missing table (None) is skipped and logged.  Reading a result's rows or counts reads
+    the export, not the model behind it.
     """
-    rows = []
+    out = {}
     for name, df in tables.items():
         if df is None:
-            rows.append((name, None))
+            logging.getLogger(__name__).warning("gold export: no table %s, skipped", name)
             continue
         target = f"{path.rstrip('/')}/{name}"
         df.write.mode("overwrite").parquet(target)
-        rows.append((name, spark.read.parquet(target).count()))
-    return spark.createDataFrame(rows, "table_name string, rows bigint")
+        out[name] = spark.read.parquet(target)
+    return out
+
+
+def export_counts(exported: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, rows) of an export, counted from the files."""
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows")
+             for n, df in exported.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def tables_from_catalog(spark: SparkSession, names: Sequence[str], database: str | None = None
@@ -81,7 +91,6 @@ def write_export_files(lines: DataFrame, path: str, file_col: str = "file",
     Each export file is a bounded unit (one statement), written by one task into
     ``<path>/<file_col>=<name>/``; the sort within the task keeps the line order.
     """
-    from pyspark.sql import functions as F
     (lines.repartition(F.col(file_col))
           .sortWithinPartitions(file_col, line_col)
           .select(file_col, text_col)

@@ -12,7 +12,8 @@ Fixed values of the mapping (kept in sync with plans/duckdb_oracle.py):
       amount = o_totalprice, negated when o_orderstatus = 'P' (a payment)
       category_raw = o_orderpriority, NULL when '4-NOT SPECIFIED'
       source = 'amex' when o_custkey is even else 'chase'
-      file = <source>.card<o_custkey % 3>_<year>.csv, line = o_orderkey
+      file = <source>.card<o_custkey div 1000>_<year>.csv, line = o_orderkey
+      (a file has the orders of at most 1000 customers and a year, at every scale)
   lineitem -> broker ledger rows
       action: returnflag N -> 'YOU BOUGHT', A -> 'REINVESTMENT'
               ('DIVIDEND REINVESTMENT' on line 1), R -> 'YOU SOLD'
@@ -22,10 +23,10 @@ Fixed values of the mapping (kept in sync with plans/duckdb_oracle.py):
       amount = -l_extendedprice for buys, +l_extendedprice for sells
       discount 0.10 rows add a 'DIVIDEND RECEIVED' row (amount = price * tax, no qty/price)
       discount 0.00 rows add an 'INTEREST EARNED' row (no symbol, amount = quantity)
-      file = <source>-ira_<year>.csv, line = 2 * (l_orderkey * 8 + l_linenumber) (+1)
+      file = <source>-ira<l_suppkey div 100>_<year>.csv, line = 2 * (l_orderkey * 8 + l_linenumber) (+1)
   lineitem -> daily prices per (symbol, price_date = shipdate + linenumber % 5 days)
-      open = low = min unit price, high = close = adj_close = max unit price,
-      volume = sum(quantity)
+      low = min unit price, open = low + 1, close = max unit price, high = close + 2,
+      adj_close = close - 1, volume = sum(quantity); five distinct columns
   re-delivery: rows dated on/after REDELIVER_* appear a second time in a later
       export (ingested one day later), as an overlapping download would.
 """
@@ -46,18 +47,7 @@ REDELIVER_PRICES_FROM = dt.date(2001, 6, 1)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table; spread it over the cluster's cores if the scan is under-split.
-
-    The driver writes each table as a single Parquet row group, which Spark
-    cannot split, so the scan and all per-row work before the first shuffle would
-    run in one task.  A scan with at least as many splits as cores (any large
-    input) is returned untouched.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _redeliver(df: DataFrame, date_col: str, start: dt.date) -> DataFrame:
@@ -90,7 +80,7 @@ def raw_bank_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("o_totalprice")).alias("amount"),
         F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED")).alias("category_raw"),
         source.alias("source"),
-        F.concat(source, F.lit(".card"), (F.col("o_custkey") % 3).cast("string"), F.lit("_"),
+        F.concat(source, F.lit(".card"), F.expr("o_custkey div 1000").cast("string"), F.lit("_"),
                  F.year(d).cast("string"), F.lit(".csv")).alias("source_file"),
         F.col("o_orderkey").alias("pos"),
         F.to_timestamp(F.lit(INGESTED_AT)).alias("ingested_at"),
@@ -140,8 +130,9 @@ def raw_trade_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = (li.select(d.alias("trade_date"),
                     F.concat(F.lit("ACCT-"), F.col("l_suppkey").cast("string")).alias("account"),
                     source.alias("source"),
-                    F.concat(source, F.lit("-ira_"), F.year(d).cast("string"),
-                             F.lit(".csv")).alias("source_file"),
+                    F.concat(source, F.lit("-ira"), F.expr("l_suppkey div 100").cast("string"),
+                             F.lit("_"), F.year(d).cast("string"), F.lit(".csv"))
+                    .alias("source_file"),
                     F.explode(F.concat(F.array(trade), extra)).alias("r"))
           .select("trade_date", "account", F.col("r.action").alias("action"),
                   F.col("r.symbol").alias("symbol"), F.lit("USD").alias("currency"),
@@ -161,9 +152,9 @@ def raw_price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.date_add(F.to_date("l_shipdate"), F.col("l_linenumber") % 5).alias("price_date"),
             unit.alias("unit"), F.col("l_quantity").alias("qty"))
           .groupBy("symbol", "price_date")
-          .agg(F.min("unit").alias("open"), F.max("unit").alias("high"),
+          .agg((F.min("unit") + 1).alias("open"), (F.max("unit") + 2).alias("high"),
                F.min("unit").alias("low"), F.max("unit").alias("close"),
-               F.max("unit").alias("adj_close"), F.sum("qty").cast("long").alias("volume"))
+               (F.max("unit") - 1).alias("adj_close"), F.sum("qty").cast("long").alias("volume"))
           .select("price_date", "symbol", "open", "high", "low", "close", "adj_close", "volume",
                   F.lit("USD").alias("currency"), F.lit("stock_prices").alias("source"),
                   F.concat(F.lit("prices_"), F.date_format("price_date", "yyyy-MM"),
@@ -173,12 +164,12 @@ def raw_price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def watchlist_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A watchlist derived from the part catalog: one raw line per large part.
+    """A watchlist derived from the part catalog: one raw line per part.
 
     Lines carry stray blanks and lower case (as typed by hand) and ECONOMY parts
     are commented out, so the reader's trimming and comment rules are exercised.
     """
-    p = table(spark, sf_dir, "part").filter(F.col("p_size") >= 48)
+    p = table(spark, sf_dir, "part")
     sym = F.concat(F.lit(" p"), F.col("p_partkey").cast("string"), F.lit(" "))
     return p.select(F.when(F.col("p_type") == "ECONOMY", F.concat(F.lit("# "), sym))
                     .otherwise(sym).alias("value"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +19,9 @@ from ledgerlake.operators.ledger_fold import ORDER_COLUMNS
 from ledgerlake.operators.scan import sequence_number
 from ledgerlake.operators.ledger_fold import position_lots as fold_position_lots
 from ledgerlake.plans import bronze as bronze_plan
-from ledgerlake.plans import ingest, portfolio, silver, spending, wealth
-from ledgerlake.session import materialize, scratch_path
-from ledgerlake.sinks.writers import export_gold
+from ledgerlake.plans import ingest, portfolio, present, roundtrips, silver, spending, wealth
+from ledgerlake.session import materialize
+from ledgerlake.sinks.writers import export_counts
 from ledgerlake.sources import driver_tables
 
 
@@ -28,12 +29,10 @@ from ledgerlake.sources import driver_tables
 class Models:
     """Lazily built tables of one run; each property is built once per run.
 
-    With ``share=True`` a table read by several downstream models (silver
-    tables, the ledger, investment_growth) is materialised as a Parquet table in
-    the shared checkpoint folder, so it is computed once and its lineage is cut;
-    otherwise every consumer re-derives it inside its own plan.  Single queries
-    stay lazy (one plan, measured faster on local[8] even when the ledger fold
-    runs twice); the full pipeline run (gold export) materialises.
+    Nothing runs while a model is built.  With ``share=True`` a table that several
+    downstream models read (silver tables, the ledger, investment_growth) is written as
+    Parquet in the shared checkpoint folder when it is first asked for, so it is computed
+    once and its lineage is cut; otherwise every consumer derives it in its own plan.
     """
     spark: SparkSession
     sf_dir: str
@@ -51,23 +50,26 @@ class Models:
             self.cache[name] = df
         return self.cache[name]
 
-    @property
-    def bronze(self) -> dict[str, DataFrame]:
-        return self._get("bronze", lambda: bronze_plan.bronze_from_driver(self.spark, self.sf_dir))
+    def bronze(self, name: str) -> DataFrame:
+        return self._get(f"bronze_{name}",
+                         lambda: bronze_plan.bronze_from_driver(self.spark, self.sf_dir, name))
+
+    def all_bronze(self) -> dict[str, DataFrame]:
+        return {name: self.bronze(name) for name in bronze_plan.DATASETS}
 
     @property
     def stg_transactions(self) -> DataFrame:
         return self._get("stg_transactions",
-                         lambda: silver.stg_transactions(self.bronze["bank_transactions"]))
+                         lambda: silver.stg_transactions(self.bronze("bank_transactions")))
 
     @property
     def stg_trades(self) -> DataFrame:
-        return self._get("stg_trades", lambda: silver.stg_trades(self.bronze["trades"]))
+        return self._get("stg_trades", lambda: silver.stg_trades(self.bronze("trades")))
 
     @property
     def stg_stock_prices(self) -> DataFrame:
         return self._get("stg_stock_prices",
-                         lambda: silver.stg_stock_prices(self.bronze["stock_prices"]))
+                         lambda: silver.stg_stock_prices(self.bronze("stock_prices")))
 
     @property
     def position_lots(self) -> DataFrame:
@@ -86,9 +88,8 @@ class Models:
     @property
     def investment_growth(self) -> DataFrame:
         return self._get("investment_growth",
-                         lambda: portfolio.investment_growth(self.realized_gains,
-                                                             self.unrealized_gains))
-
+                         lambda: portfolio.growth_of_lots(self.position_lots,
+                                                          self.stg_stock_prices))
 
     @property
     def monthly_spending(self) -> DataFrame:
@@ -129,78 +130,30 @@ def build(spark: SparkSession, sf_dir: str, share: bool = False) -> Models:
 # and the refresh end date used by the registered backfill query.
 EXTRA_TICKERS = ("NVDA", "COIN")
 BACKFILL_END = "2001-12-31"
+#: Fixed value: first month of the registered query's last price refresh.
+LAST_REFRESH = "2001-10"
+#: The days that the registered price request asked for.
+BOUNDS = ("1996-01-01", "2000-12-31")
 
 
 def universe(m: Models) -> DataFrame:
     watch = ingest.watchlist_symbols(driver_tables.watchlist_rows(m.spark, m.sf_dir))
-    return ingest.ticker_universe(m.bronze["trades"], watch, EXTRA_TICKERS)
+    return ingest.ticker_universe(m.bronze("trades"), watch, EXTRA_TICKERS)
 
 
 def quality_report(m: Models) -> DataFrame:
     """Every model test on every silver and gold table, one row per rule."""
-    out = None
-    for table in quality.MODEL_RULES:
-        part = quality.check(m.table(table), table, quality.model_rules(table))
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-# The export layouts written by the round trip (header lines and
-# the Amex preamble, which the Amex reader skips).
-CHASE_HEADER = "Transaction Date,Post Date,Description,Category,Type,Amount"
-AMEX_HEADER = "Date,Description,Card Member,Account #,Amount,Category"
-AMEX_PREAMBLE = ["Card activity", "Prepared for", "Account ending", "", "Period", "Currency"]
-
-
-def source_roundtrip(m: Models) -> DataFrame:
-    """Write the card rows as issuer exports, then parse them back."""
-    from ledgerlake.sinks.writers import write_export_files
-    from ledgerlake.sources.exports import read_source
-    raw = driver_tables.raw_bank_rows(m.spark, m.sf_dir)
-    date_txt = F.date_format("transaction_date", "MM/dd/yyyy")
-    quoted = F.concat(F.lit('"'), F.col("description"), F.lit('"'))
-    cat = F.coalesce(F.col("category_raw"), F.lit(""))
-    chase = raw.filter(F.col("source") == "chase").select(
-        F.col("source_file").alias("file"), F.col("pos").alias("line_no"),
-        F.concat_ws(",", date_txt, date_txt, quoted, cat,
-                    F.when(F.col("amount") < 0, "Payment").otherwise("Sale"),
-                    (-F.col("amount")).cast("string")).alias("text"))
-    amex = raw.filter(F.col("source") == "amex").select(
-        F.col("source_file").alias("file"), F.col("pos").alias("line_no"),
-        F.concat_ws(",", date_txt, quoted, F.lit("J DOE"), F.lit("-1001"),
-                    F.col("amount").cast("string"), cat).alias("text"))
-
-    def with_head(body, head_lines):
-        files = body.select("file").distinct()
-        heads = [files.select("file", F.lit(-len(head_lines) + i - 1).cast("long")
-                              .alias("line_no"), F.lit(t).alias("text"))
-                 for i, t in enumerate(head_lines)]
-        out = body
-        for h in heads:
-            out = out.unionByName(h)
-        return out
-
-    base = scratch_path(m.spark, "export-roundtrip")
-    write_export_files(with_head(chase, [CHASE_HEADER]), f"{base}/chase")
-    write_export_files(with_head(amex, AMEX_PREAMBLE + [AMEX_HEADER]), f"{base}/amex")
-    cols = ["source", "transaction_date", "description", "amount", "category_raw",
-            "source_account_hint"]
-    return (read_source(m.spark, "chase", f"{base}/chase", name_from_folder="file").select(*cols)
-            .unionByName(read_source(m.spark, "amex", f"{base}/amex", name_from_folder="file")
-                         .select(*cols)))
-
-
-def gold_export(m: Models) -> DataFrame:
-    """Write every gold mart as Parquet under the shared folder; (table_name, rows)."""
-    return export_gold(m.spark, m.gold(), scratch_path(m.spark, "gold-export"))
-
-
-def trade_sequence(stg_trades: DataFrame, skew_safe: bool | None = None) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
+        quality.check(m.table(table), table, quality.model_rules(table))
+        for table in quality.MODEL_RULES])
+
+
+def trade_sequence(stg_trades: DataFrame) -> DataFrame:
     """Ledger order number per (symbol, source) (W2), row_hash as final tie-break."""
     rows = (stg_trades.filter(is_ledger_action("action"))
             .select("symbol", "source", "trade_date", "amount", "row_hash"))
-    return sequence_number(rows, ["symbol", "source"],
-                           [F.col(c).asc_nulls_last() for c in ORDER_COLUMNS], "rn", skew_safe)
+    return sequence_number(rows, ["symbol", "source"], ORDER_COLUMNS[0],
+                           [F.col(c).asc_nulls_last() for c in ORDER_COLUMNS[1:]], "rn")
 
 
 BANK_BRONZE_OUT = ["transaction_date", "description", "amount", "category_raw",
@@ -216,7 +169,7 @@ def _q(fn: Callable[[Models], DataFrame], share: bool = False
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "row_hash_occurrence": _q(lambda m: m.bronze["bank_transactions"].select(*BANK_BRONZE_OUT)),
+    "row_hash_occurrence": _q(lambda m: m.bronze("bank_transactions").select(*BANK_BRONZE_OUT)),
     "stg_transactions_dedup": _q(lambda m: m.stg_transactions),
     "stg_trades_dedup": _q(lambda m: m.stg_trades),
     "stg_prices_dedup": _q(lambda m: m.stg_stock_prices),
@@ -237,19 +190,42 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                                                       wealth.running_holdings(m.stg_trades))),
     "portfolio_value_by_day": _q(lambda m: wealth.portfolio_value_by_day(
         wealth.holdings_asof(m.stg_stock_prices, wealth.running_holdings(m.stg_trades)))),
-    "forward_fill": _q(lambda m: wealth.daily_filled(
+    "forward_fill": _q(lambda m: wealth.forward_fill(
         wealth.cash_running(m.stg_transactions),
         wealth.portfolio_value_by_day(
             wealth.holdings_asof(m.stg_stock_prices, wealth.running_holdings(m.stg_trades))))),
     "wealth_summary": _q(lambda m: m.wealth_summary),
-    "year_month_partition_counts": _q(lambda m: ingest.bronze_partition_counts(m.bronze)),
+    "year_month_partition_counts": _q(lambda m: ingest.bronze_partition_counts(m.all_bronze())),
     "ticker_universe": _q(universe),
-    "missing_symbols_anti": _q(lambda m: ingest.missing_symbols(universe(m), m.stg_stock_prices)),
-    "backfill_bounds": _q(lambda m: ingest.backfill_window(m.bronze["trades"], BACKFILL_END,
+    "missing_symbols_anti": _q(lambda m: ingest.missing_symbols(
+        universe(m), m.bronze("stock_prices").filter(F.col("year_month") >= LAST_REFRESH))),
+    "backfill_bounds": _q(lambda m: ingest.backfill_window(m.bronze("trades"), BACKFILL_END,
                                                            backfill=True)),
-    "sign_violations": _q(lambda m: quality.sign_violations(m.bronze["trades"])),
-    "quality_report": _q(quality_report),
-    "gold_export_counts": _q(gold_export, share=True),
-    "ingest_report": _q(lambda m: quality.ingest_report(m.bronze)),
-    "source_roundtrip": _q(source_roundtrip),
+    "sign_violations": _q(lambda m: quality.sign_violations(m.bronze("trades"))),
+    "quality_report": _q(quality_report, share=True),
+    "gold_export_counts": _q(lambda m: export_counts(roundtrips.gold_export(m)), share=True),
+    "gold_export_contents": _q(lambda m: roundtrips.gold_rows(roundtrips.gold_export(m)),
+                               share=True),
+    "ingest_report": _q(lambda m: quality.ingest_report(m.all_bronze())),
+    "damaged_ingest_report": _q(lambda m: quality.ingest_report(roundtrips.damaged_bronze(m))),
+    "statement_span": _q(lambda m: quality.statement_span(m.bronze("bank_transactions"),
+                                                          "transaction_date")),
+    "price_date_bounds": _q(lambda m: quality.date_bounds(
+        m.bronze("stock_prices"), "price_date", *BOUNDS).select("price_date", "symbol", "close",
+                                                                 "row_hash")),
+    "null_price_or_quantity": _q(lambda m: quality.null_price_or_quantity(
+        roundtrips.damaged_bronze(m)["trades"]).select("trade_date", "account", "action", "symbol",
+                                                       "row_hash")),
+    "source_roundtrip": _q(roundtrips.cards),
+    "fidelity_roundtrip": _q(roundtrips.fidelity),
+    "vanguard_roundtrip": _q(roundtrips.vanguard),
+    "price_grid": _q(roundtrips.price_grid),
+    "lake_trades": _q(roundtrips.lake_trades),
+    "lake_prices": _q(roundtrips.lake_prices),
+    "monthly_spending_ranked": _q(lambda m: present.ranked("monthly_spending", m.monthly_spending,
+                                                           ["category"])),
+    "roe_summary_ranked": _q(lambda m: present.ranked("portfolio_roe_summary",
+                                                      m.portfolio_roe_summary)),
+    "growth_preview": _q(lambda m: present.preview(present.present(
+        "investment_growth", m.investment_growth, ["symbol", "source"]))),
 }

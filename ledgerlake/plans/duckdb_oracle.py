@@ -2,8 +2,8 @@
 
 The correctness gate runs each ``queries()`` entry in Spark and the matching
 statement here in DuckDB over the same parquet tables.  The statements restate
-the semantics directly in SQL (window dedup, recursive ledger, range join for
-as-of) instead of mirroring the Spark plans, so agreement is a real check.
+the semantics directly in SQL (arg_min dedup, list fold of the ledger, native
+as-of joins) instead of mirroring the Spark plans, so agreement is a real check.
 
 Named CTEs are defined once below; ``sql(...)`` assembles the WITH clause a
 final SELECT needs, dependencies first.
@@ -23,7 +23,7 @@ CTES["raw_bank_base"] = """
          NULLIF(o_orderpriority, '4-NOT SPECIFIED') AS category_raw,
          CASE WHEN o_custkey % 2 = 0 THEN 'amex' ELSE 'chase' END AS source,
          (CASE WHEN o_custkey % 2 = 0 THEN 'amex' ELSE 'chase' END) || '.card'
-           || CAST(o_custkey % 3 AS VARCHAR) || '_'
+           || CAST(o_custkey // 1000 AS VARCHAR) || '_'
            || CAST(year(CAST(o_orderdate AS DATE)) AS VARCHAR) || '.csv' AS source_file,
          o_orderkey AS pos,
          TIMESTAMP '2026-01-05 13:00:00' AS ingested_at
@@ -50,8 +50,8 @@ CTES["raw_trades_base"] = """
          CASE WHEN l_returnflag = 'R' THEN l_quantity / 10.0 ELSE l_quantity END AS quantity,
          CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE -l_extendedprice END AS amount,
          CASE WHEN l_linestatus = 'F' THEN 'fidelity' ELSE 'vanguard' END AS source,
-         (CASE WHEN l_linestatus = 'F' THEN 'fidelity' ELSE 'vanguard' END) || '-ira_'
-           || CAST(year(CAST(l_shipdate AS DATE)) AS VARCHAR) || '.csv' AS source_file,
+         (CASE WHEN l_linestatus = 'F' THEN 'fidelity' ELSE 'vanguard' END) || '-ira'
+           || CAST(l_suppkey // 100 AS VARCHAR) || '_' || CAST(year(CAST(l_shipdate AS DATE)) AS VARCHAR) || '.csv' AS source_file,
          (l_orderkey * 8 + l_linenumber) * 2 AS pos,
          TIMESTAMP '2026-01-05 13:00:00' AS ingested_at
   FROM lineitem
@@ -60,16 +60,16 @@ CTES["raw_trades_base"] = """
          'P' || CAST(l_partkey AS VARCHAR), 'USD', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
          l_extendedprice * l_tax,
          CASE WHEN l_linestatus = 'F' THEN 'fidelity' ELSE 'vanguard' END,
-         (CASE WHEN l_linestatus = 'F' THEN 'fidelity' ELSE 'vanguard' END) || '-ira_'
-           || CAST(year(CAST(l_shipdate AS DATE)) AS VARCHAR) || '.csv',
+         (CASE WHEN l_linestatus = 'F' THEN 'fidelity' ELSE 'vanguard' END) || '-ira'
+           || CAST(l_suppkey // 100 AS VARCHAR) || '_' || CAST(year(CAST(l_shipdate AS DATE)) AS VARCHAR) || '.csv',
          (l_orderkey * 8 + l_linenumber) * 2 + 1, TIMESTAMP '2026-01-05 13:00:00'
   FROM lineitem WHERE l_discount = 0.10
   UNION ALL
   SELECT CAST(l_shipdate AS DATE), 'ACCT-' || CAST(l_suppkey AS VARCHAR), 'INTEREST EARNED',
          CAST(NULL AS VARCHAR), 'USD', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), l_quantity,
          CASE WHEN l_linestatus = 'F' THEN 'fidelity' ELSE 'vanguard' END,
-         (CASE WHEN l_linestatus = 'F' THEN 'fidelity' ELSE 'vanguard' END) || '-ira_'
-           || CAST(year(CAST(l_shipdate AS DATE)) AS VARCHAR) || '.csv',
+         (CASE WHEN l_linestatus = 'F' THEN 'fidelity' ELSE 'vanguard' END) || '-ira'
+           || CAST(l_suppkey // 100 AS VARCHAR) || '_' || CAST(year(CAST(l_shipdate AS DATE)) AS VARCHAR) || '.csv',
          (l_orderkey * 8 + l_linenumber) * 2 + 1, TIMESTAMP '2026-01-05 13:00:00'
   FROM lineitem WHERE l_discount = 0.0"""
 
@@ -82,8 +82,8 @@ CTES["raw_trades"] = """
   FROM raw_trades_base WHERE trade_date >= DATE '2001-01-01'"""
 
 CTES["raw_prices_base"] = """
-  SELECT price_date, symbol, min(unit) AS open, max(unit) AS high, min(unit) AS low,
-         max(unit) AS close, max(unit) AS adj_close, CAST(sum(qty) AS BIGINT) AS volume,
+  SELECT price_date, symbol, min(unit) + 1 AS open, max(unit) + 2 AS high, min(unit) AS low,
+         max(unit) AS close, max(unit) - 1 AS adj_close, CAST(sum(qty) AS BIGINT) AS volume,
          'USD' AS currency, 'stock_prices' AS source,
          'prices_' || strftime(price_date, '%Y-%m') || '.csv' AS source_file,
          TIMESTAMP '2026-01-05 13:00:00' AS ingested_at
@@ -145,47 +145,30 @@ CTES["bronze_prices"] = f"""
 
 # --- silver
 CTES["stg_transactions"] = """
-  SELECT transaction_date, description, amount, category_raw, source_account_hint, source, row_hash
-  FROM (SELECT CAST(transaction_date AS DATE) AS transaction_date, description,
-               CAST(amount AS DECIMAL(18,2)) AS amount, category_raw, source_account_hint,
-               source, row_hash,
-               row_number() OVER (PARTITION BY row_hash ORDER BY ingested_at) AS rn
-        FROM bronze_bank)
-  WHERE rn = 1"""
+  SELECT unnest(arg_min(struct_pack(transaction_date := CAST(transaction_date AS DATE), description := description, amount := CAST(amount AS DECIMAL(18,2)), category_raw := category_raw, source_account_hint := source_account_hint, source := source), ingested_at)), row_hash
+  FROM bronze_bank GROUP BY row_hash"""
 
 CTES["stg_trades"] = """
-  SELECT trade_date, account, action, symbol, currency, price, quantity, amount,
-         source_account_hint, source, row_hash
-  FROM (SELECT CAST(trade_date AS DATE) AS trade_date, account, action, symbol, currency,
-               CAST(price AS DECIMAL(18,4)) AS price, CAST(quantity AS DECIMAL(18,6)) AS quantity,
-               CAST(amount AS DECIMAL(18,2)) AS amount, source_account_hint, source, row_hash,
-               row_number() OVER (PARTITION BY row_hash ORDER BY ingested_at) AS rn
-        FROM bronze_trades)
-  WHERE rn = 1"""
+  SELECT unnest(arg_min(struct_pack(trade_date := CAST(trade_date AS DATE), account := account, action := action, symbol := symbol, currency := currency, price := CAST(price AS DECIMAL(18,4)), quantity := CAST(quantity AS DECIMAL(18,6)), amount := CAST(amount AS DECIMAL(18,2)), source_account_hint := source_account_hint, source := source), ingested_at)), row_hash
+  FROM bronze_trades GROUP BY row_hash"""
 
 CTES["stg_stock_prices"] = """
-  SELECT price_date, symbol, open, high, low, close, adj_close, volume, currency, row_hash
-  FROM (SELECT CAST(price_date AS DATE) AS price_date, symbol,
-               CAST(open AS DECIMAL(18,4)) AS open, CAST(high AS DECIMAL(18,4)) AS high,
-               CAST(low AS DECIMAL(18,4)) AS low, CAST(close AS DECIMAL(18,4)) AS close,
-               CAST(adj_close AS DECIMAL(18,4)) AS adj_close, CAST(volume AS BIGINT) AS volume,
-               currency, row_hash,
-               row_number() OVER (PARTITION BY row_hash ORDER BY ingested_at) AS rn
-        FROM bronze_prices)
-  WHERE rn = 1"""
+  SELECT unnest(arg_min(struct_pack(price_date := CAST(price_date AS DATE), symbol := symbol, open := CAST(open AS DECIMAL(18,4)), high := CAST(high AS DECIMAL(18,4)), low := CAST(low AS DECIMAL(18,4)), close := CAST(close AS DECIMAL(18,4)), adj_close := CAST(adj_close AS DECIMAL(18,4)), volume := CAST(volume AS BIGINT), currency := currency), ingested_at)), row_hash
+  FROM bronze_prices GROUP BY row_hash"""
 
 # --- gold
 CTES["monthly_spending"] = """
-  SELECT c.month, c.category, c.total_spent, c.transaction_count,
-         m.total_spent_month,
-         round(c.total_spent / nullif(m.total_spent_month, 0) * 100, 1) AS pct_of_month_spend
-  FROM (SELECT date_trunc('month', transaction_date) AS month,
-               coalesce(category_raw, 'Uncategorized') AS category,
-               sum(amount) AS total_spent, count(*) AS transaction_count
-        FROM stg_transactions WHERE amount > 0 GROUP BY 1, 2) c
-  JOIN (SELECT date_trunc('month', transaction_date) AS month, sum(amount) AS total_spent_month
-        FROM stg_transactions WHERE amount > 0 GROUP BY 1) m
-    ON c.month = m.month"""
+  SELECT month, category, spent AS total_spent, n AS transaction_count,
+         sum(spent) OVER (PARTITION BY month) AS total_spent_month,
+         round(spent / nullif(sum(spent) OVER (PARTITION BY month), 0) * 100, 1)
+           AS pct_of_month_spend
+  FROM (SELECT month, category, sum(spend) AS spent, count(spend) AS n
+        FROM (SELECT date_trunc('month', transaction_date) AS month,
+                     ifnull(category_raw, 'Uncategorized') AS category,
+                     CASE WHEN amount > 0 THEN amount END AS spend
+              FROM stg_transactions)
+        GROUP BY ALL)
+  WHERE n > 0"""
 
 CTES["trade_rows"] = """
   SELECT row_number() OVER (PARTITION BY symbol, source
@@ -196,36 +179,42 @@ CTES["trade_rows"] = """
   FROM stg_trades
   WHERE action ILIKE '%bought%' OR action ILIKE '%sold%' OR action ILIKE '%reinvestment%'"""
 
-# Recursive: each row extends the previous row of the same (symbol, source).
-CTES["ledger"] = """
-  SELECT rn, trade_date, symbol, source, account, action, quantity, price, amount,
-         CAST(CASE WHEN adds THEN quantity ELSE 0 END AS DECIMAL(18,6)) AS shares_held,
-         CAST(CASE WHEN adds THEN quantity * price ELSE 0 END AS DECIMAL(18,2)) AS cost_basis,
-         CAST(0 AS DECIMAL(18,2)) AS realized_gain
-  FROM trade_rows WHERE rn = 1
-  UNION ALL
-  SELECT nxt.rn, nxt.trade_date, nxt.symbol, nxt.source, nxt.account, nxt.action,
-         nxt.quantity, nxt.price, nxt.amount,
-         CAST(CASE WHEN nxt.adds THEN prev.shares_held + nxt.quantity
-                   WHEN nxt.sells THEN prev.shares_held - nxt.quantity
-                   ELSE prev.shares_held END AS DECIMAL(18,6)),
-         CAST(CASE WHEN nxt.adds THEN prev.cost_basis + nxt.quantity * nxt.price
-                   WHEN nxt.sells THEN prev.cost_basis
-                        - nxt.quantity * (prev.cost_basis / NULLIF(prev.shares_held, 0))
-                   ELSE prev.cost_basis END AS DECIMAL(18,2)),
-         CAST(CASE WHEN nxt.sells
-                   THEN nxt.amount - nxt.quantity * (prev.cost_basis / NULLIF(prev.shares_held, 0))
-                   ELSE 0.0 END AS DECIMAL(18,2))
-  FROM trade_rows nxt
-  JOIN ledger prev
-    ON prev.symbol = nxt.symbol AND prev.source = nxt.source AND nxt.rn = prev.rn + 1"""
-RECURSIVE = {"ledger"}
+# One list of trades per ledger, folded from left to right: the state of a trade is
+# computed from the last state in the list so far.  A ledger without a full key keeps
+# its first trade only.
+CTES["ledger_lists"] = """
+  SELECT list_slice(trades, 1, CASE WHEN symbol IS NULL OR source IS NULL THEN 1
+                                    ELSE len(trades) END) AS trades
+  FROM (SELECT symbol, source, list([{
+          'rn': rn, 'trade_date': trade_date, 'symbol': symbol, 'source': source,
+          'account': account, 'action': action, 'quantity': quantity, 'price': price,
+          'amount': amount, 'adds': adds, 'sells': sells,
+          'shares': CAST(if(adds, quantity, 0) AS DECIMAL(18,6)),
+          'cost': CAST(if(adds, quantity * price, 0) AS DECIMAL(18,2)),
+          'gain': CAST(0 AS DECIMAL(18,2))}] ORDER BY rn) AS trades
+        FROM trade_rows GROUP BY symbol, source)"""
 
 CTES["position_lots"] = """
-  SELECT rn, trade_date, symbol, source, account, action, quantity, price, amount,
-         round(shares_held, 6) AS shares_held, round(cost_basis, 2) AS cost_basis,
-         round(realized_gain, 2) AS realized_gain
-  FROM ledger"""
+  SELECT t.rn, t.trade_date, t.symbol, t.source, t.account, t.action, t.quantity, t.price,
+         t.amount, t.shares AS shares_held, t.cost AS cost_basis, t.gain AS realized_gain
+  FROM (SELECT unnest(list_reduce(trades, lambda done, x: list_append(done, {
+          'rn': x[1].rn, 'trade_date': x[1].trade_date, 'symbol': x[1].symbol,
+          'source': x[1].source, 'account': x[1].account, 'action': x[1].action,
+          'quantity': x[1].quantity, 'price': x[1].price, 'amount': x[1].amount,
+          'adds': x[1].adds, 'sells': x[1].sells,
+          'shares': CAST(done[-1].shares + x[1].quantity * if(x[1].adds, 1, if(x[1].sells, -1, 0))
+                         AS DECIMAL(18,6)),
+          'cost': CAST(if(x[1].adds,
+                          CAST(done[-1].cost + x[1].quantity * x[1].price AS DOUBLE),
+                          CAST(done[-1].cost AS DOUBLE)
+                          - if(x[1].sells, CAST(x[1].quantity AS DOUBLE)
+                               * (done[-1].cost / nullif(done[-1].shares, 0)), 0))
+                       AS DECIMAL(18,2)),
+          'gain': CAST(if(x[1].sells,
+                          CAST(x[1].amount AS DOUBLE) - CAST(x[1].quantity AS DOUBLE)
+                          * (done[-1].cost / nullif(done[-1].shares, 0)), 0)
+                       AS DECIMAL(18,2))}))) AS t
+        FROM ledger_lists)"""
 
 CTES["realized_gains"] = """
   SELECT trade_date, symbol, source, account, quantity AS shares_sold, price AS sale_price,
@@ -233,64 +222,57 @@ CTES["realized_gains"] = """
   FROM position_lots WHERE action ILIKE '%sold%'"""
 
 CTES["latest_position"] = """
-  SELECT symbol, source, trade_date, rn, account, shares_held, cost_basis
-  FROM (SELECT *, row_number() OVER (PARTITION BY symbol, source
-                                     ORDER BY trade_date DESC, rn DESC) AS pick
-        FROM position_lots)
-  WHERE pick = 1"""
+  SELECT symbol, source, max(trade_date) AS trade_date,
+         unnest(arg_max({'rn': rn, 'account': account, 'shares_held': shares_held,
+                         'cost_basis': cost_basis}, (trade_date, rn)))
+  FROM position_lots GROUP BY symbol, source"""
 
 CTES["latest_price"] = """
-  SELECT symbol, close AS current_price, price_date
-  FROM (SELECT *, row_number() OVER (PARTITION BY symbol
-                                     ORDER BY price_date DESC, row_hash DESC) AS pick
-        FROM stg_stock_prices)
-  WHERE pick = 1"""
+  SELECT symbol, arg_max(close, (price_date, row_hash)) AS current_price,
+         max(price_date) AS price_date
+  FROM stg_stock_prices GROUP BY symbol"""
 
 CTES["unrealized_gains"] = """
-  SELECT p.symbol, p.source, p.account, p.shares_held,
-         CAST(round(p.cost_basis, 2) AS DECIMAL(18,2)) AS cost_basis,
-         round(p.cost_basis / NULLIF(p.shares_held, 0), 4) AS avg_cost_per_share,
-         lp.current_price, lp.price_date AS priced_as_of,
-         CAST(round(p.shares_held * lp.current_price, 2) AS DECIMAL(18,2)) AS market_value,
-         CAST(round(p.shares_held * lp.current_price - p.cost_basis, 2) AS DECIMAL(27,2))
+  SELECT symbol, source, account, shares_held, cost_basis,
+         round(cost_basis / nullif(shares_held, 0), 4) AS avg_cost_per_share, current_price,
+         latest_price.price_date AS priced_as_of,
+         CAST(round(current_price * shares_held, 2) AS DECIMAL(18,2)) AS market_value,
+         CAST(round(current_price * shares_held - cost_basis, 2) AS DECIMAL(27,2))
            AS unrealized_gain
-  FROM latest_position p LEFT JOIN latest_price lp ON lp.symbol = p.symbol
-  WHERE p.shares_held > 0"""
+  FROM (SELECT * EXCLUDE (trade_date, rn) FROM latest_position WHERE shares_held > 0)
+  LEFT JOIN latest_price USING (symbol)"""
 
 CTES["realized_by_position"] = """
   SELECT symbol, source, CAST(sum(realized_gain) AS DECIMAL(38,2)) AS total_realized_gain
   FROM realized_gains GROUP BY symbol, source"""
 
 CTES["investment_growth"] = """
-  SELECT coalesce(r.symbol, u.symbol) AS symbol, coalesce(r.source, u.source) AS source,
-         CAST(coalesce(r.total_realized_gain, 0) AS DECIMAL(38,2)) AS total_realized_gain,
-         CAST(coalesce(u.cost_basis, 0) AS DECIMAL(18,2)) AS current_cost_basis,
-         CAST(coalesce(u.market_value, 0) AS DECIMAL(18,2)) AS current_market_value,
-         CAST(coalesce(u.unrealized_gain, 0) AS DECIMAL(27,2)) AS unrealized_gain,
-         CAST(coalesce(r.total_realized_gain, 0) + coalesce(u.unrealized_gain, 0)
-              AS DECIMAL(38,2)) AS total_gain,
-         round((coalesce(r.total_realized_gain, 0) + coalesce(u.unrealized_gain, 0))
-               / NULLIF(coalesce(u.cost_basis, 0), 0) * 100, 2) AS roe_pct
-  FROM realized_by_position r
-  FULL OUTER JOIN unrealized_gains u ON r.symbol = u.symbol AND r.source = u.source"""
+  SELECT symbol, source, CAST(gain AS DECIMAL(38,2)) AS total_realized_gain,
+         CAST(cost AS DECIMAL(18,2)) AS current_cost_basis,
+         CAST(value AS DECIMAL(18,2)) AS current_market_value,
+         CAST(open_gain AS DECIMAL(27,2)) AS unrealized_gain,
+         CAST(gain + open_gain AS DECIMAL(38,2)) AS total_gain,
+         round((gain + open_gain) / nullif(cost, 0) * 100, 2) AS roe_pct
+  FROM (SELECT symbol, source, sum(gain) AS gain, sum(cost) AS cost, sum(value) AS value,
+               sum(open_gain) AS open_gain
+        FROM (SELECT symbol, source, total_realized_gain AS gain, 0.00 AS cost, 0.00 AS value,
+                     0.00 AS open_gain, 'closed' AS side FROM realized_by_position
+              UNION ALL BY NAME
+              SELECT symbol, source, 0.00 AS gain, cost_basis AS cost,
+                     ifnull(market_value, 0) AS value, ifnull(unrealized_gain, 0) AS open_gain,
+                     'open' AS side FROM unrealized_gains)
+        GROUP BY symbol, source,
+                 CASE WHEN symbol IS NULL OR source IS NULL THEN side END)"""
 
 CTES["portfolio_roe_summary"] = """
-  SELECT source,
-         CAST(round(total_realized_gain, 2) AS DECIMAL(38,2)) AS total_realized_gain,
-         CAST(round(current_cost_basis, 2) AS DECIMAL(38,2)) AS current_cost_basis,
-         CAST(round(current_market_value, 2) AS DECIMAL(38,2)) AS current_market_value,
-         CAST(round(unrealized_gain, 2) AS DECIMAL(38,2)) AS unrealized_gain,
-         CAST(round(total_gain, 2) AS DECIMAL(38,2)) AS total_gain,
-         round(total_gain / NULLIF(current_cost_basis, 0) * 100, 2) AS roe_pct
-  FROM (SELECT 'ALL' AS source, sum(total_realized_gain) AS total_realized_gain,
-               sum(current_cost_basis) AS current_cost_basis,
-               sum(current_market_value) AS current_market_value,
-               sum(unrealized_gain) AS unrealized_gain, sum(total_gain) AS total_gain
-        FROM investment_growth
-        UNION ALL
-        SELECT source, sum(total_realized_gain), sum(current_cost_basis),
-               sum(current_market_value), sum(unrealized_gain), sum(total_gain)
-        FROM investment_growth GROUP BY source)"""
+  SELECT CASE WHEN grouping(source) = 1 THEN 'ALL' ELSE source END AS source,
+         CAST(sum(total_realized_gain) AS DECIMAL(38,2)) AS total_realized_gain,
+         CAST(sum(current_cost_basis) AS DECIMAL(38,2)) AS current_cost_basis,
+         CAST(sum(current_market_value) AS DECIMAL(38,2)) AS current_market_value,
+         CAST(sum(unrealized_gain) AS DECIMAL(38,2)) AS unrealized_gain,
+         CAST(sum(total_gain) AS DECIMAL(38,2)) AS total_gain,
+         round(sum(total_gain) / nullif(sum(current_cost_basis), 0) * 100, 2) AS roe_pct
+  FROM investment_growth GROUP BY GROUPING SETS ((), (source))"""
 
 # --- wealth summary
 CTES["calendar_spine"] = """
@@ -332,27 +314,21 @@ CTES["portfolio_value_by_day"] = """
   FROM holdings_asof GROUP BY price_date"""
 
 CTES["forward_fill"] = """
-  SELECT c.d AS as_of_date,
-         last_value(cr.cash_balance IGNORE NULLS) OVER (
-           ORDER BY c.d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cash_balance,
-         last_value(pv.portfolio_value IGNORE NULLS) OVER (
-           ORDER BY c.d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS portfolio_value
-  FROM calendar_spine c
-  LEFT JOIN cash_running cr ON cr.transaction_date = c.d
-  LEFT JOIN portfolio_value_by_day pv ON pv.as_of_date = c.d"""
+  SELECT days.d AS as_of_date, c.cash_balance, v.portfolio_value
+  FROM calendar_spine AS days
+  ASOF LEFT JOIN cash_running AS c ON days.d >= c.transaction_date
+  ASOF LEFT JOIN portfolio_value_by_day AS v ON days.d >= v.as_of_date"""
 
 CTES["wealth_summary"] = """
-  SELECT as_of_date, cash_balance, portfolio_value, net_worth,
-         CAST(prior AS DECIMAL(38,10)) AS prior_net_worth,
-         round((net_worth - prior) / NULLIF(prior, 0) * 100, 2) AS day_over_day_roi_pct
-  FROM (SELECT as_of_date, cash_balance, portfolio_value, net_worth,
-               lag(net_worth) OVER (ORDER BY as_of_date) AS prior
-        FROM (SELECT as_of_date,
-                     CAST(coalesce(cash_balance, 0) AS DECIMAL(38,2)) AS cash_balance,
-                     CAST(coalesce(portfolio_value, 0) AS DECIMAL(38,10)) AS portfolio_value,
-                     CAST(coalesce(cash_balance, 0) + coalesce(portfolio_value, 0)
-                          AS DECIMAL(38,10)) AS net_worth
-              FROM forward_fill))"""
+  SELECT as_of_date, CAST(cash AS DECIMAL(38,2)) AS cash_balance,
+         CAST(held AS DECIMAL(38,10)) AS portfolio_value,
+         CAST(cash + held AS DECIMAL(38,10)) AS net_worth,
+         CAST(before AS DECIMAL(38,10)) AS prior_net_worth,
+         round((cash + held - before) / nullif(before, 0) * 100, 2) AS day_over_day_roi_pct
+  FROM (SELECT *, any_value(cash + held) OVER (ORDER BY as_of_date
+                  ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING) AS before
+        FROM (SELECT as_of_date, ifnull(cash_balance, 0) AS cash,
+                     ifnull(portfolio_value, 0) AS held FROM forward_fill))"""
 
 
 _NAME_RE = re.compile(r"\b([a-z_][a-z0-9_]*)\b")
@@ -382,8 +358,7 @@ def sql(final_select: str, given: frozenset[str] | set[str] = frozenset()) -> st
             visit(t)
     if not order:
         return final_select
-    head = "WITH RECURSIVE " if RECURSIVE & set(order) else "WITH "
-    return head + ",\n".join(f"{n} AS ({CTES[n]})" for n in order) + "\n" + final_select
+    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in order) + "\n" + final_select
 
 
 BANK_BRONZE_OUT = ("transaction_date, description, amount, category_raw, source_account_hint, "
@@ -421,7 +396,7 @@ CTES["watchlist"] = """
   SELECT upper(trim(line)) AS symbol
   FROM (SELECT CASE WHEN p_type = 'ECONOMY' THEN '# ' ELSE '' END
                || ' p' || CAST(p_partkey AS VARCHAR) || ' ' AS line
-        FROM part WHERE p_size >= 48)
+        FROM part)
   WHERE trim(line) <> '' AND NOT starts_with(trim(line), '#')"""
 
 CTES["ticker_universe"] = """
@@ -440,7 +415,7 @@ FINAL["year_month_partition_counts"] = """
 FINAL["ticker_universe"] = "SELECT symbol FROM ticker_universe"
 FINAL["missing_symbols_anti"] = """
   SELECT u.symbol FROM ticker_universe u
-  WHERE NOT EXISTS (SELECT 1 FROM stg_stock_prices p WHERE p.symbol = u.symbol)"""
+  WHERE u.symbol NOT IN (SELECT symbol FROM raw_prices WHERE price_date >= DATE '2001-10-01')"""
 FINAL["backfill_bounds"] = """
   SELECT min(trade_date) AS start_date, DATE '2001-12-31' AS end_date FROM bronze_trades"""
 FINAL["sign_violations"] = """
@@ -455,27 +430,176 @@ FINAL["sign_violations"] = """
   WHERE (action ILIKE '%sold%' OR action ILIKE '%dividend%') AND amount <= 0"""
 
 
-def _quality_sql() -> str:
-    from ledgerlake.operators.quality import MODEL_RULES, rule_sql
-    return "\nUNION ALL\n".join(rule_sql(t, r) for t, rules in MODEL_RULES.items() for r in rules)
-
-
-FINAL["quality_report"] = _quality_sql()
-
-def _ingest_sql() -> str:
-    from ledgerlake.operators.quality import INGEST_RULES, rule_sql
-    relation = {"bank_transactions": "bronze_bank", "trades": "bronze_trades",
-                "stock_prices": "bronze_prices"}
-    return "\nUNION ALL\n".join(rule_sql(t, r, relation[t])
-                                 for t, rules in INGEST_RULES.items() for r in rules)
-
-
-FINAL["ingest_report"] = _ingest_sql()
-
-FINAL["source_roundtrip"] = """
+def _report(table: str, relation: str, lines: str) -> str:
+    """One row per line ``rule column severity = count expression`` over a relation."""
+    out = []
+    for line in lines.strip().splitlines():
+        head, expr = line.split(" = ", 1)
+        rule, column, severity = head.split()
+        name = "CAST(NULL AS VARCHAR)" if column == "-" else f"'{column}'"
+        out.append(f"SELECT '{table}' AS table_name, '{rule}' AS rule, {name} AS column_name, "
+                   f"'{severity}' AS severity, CAST({expr} AS BIGINT) AS failing_rows "
+                   f"FROM {relation}")
+    return "\nUNION ALL\n".join(out)
+
+
+_LEDGER = "regexp_matches(action, 'bought|sold|reinvestment', 'i')"
+
+def _twice(column: str, table: str) -> str:
+    return (f"(SELECT count(*) FROM (SELECT {column} FROM {table} GROUP BY {column} "
+            f"HAVING count({column}) > 1))")
+
+
+# Fixed text, not derived from the rule lists of operators/quality.py.
+FINAL["quality_report"] = "\nUNION ALL\n".join([
+    _report("stg_trades", "stg_trades", f"""
+not_null trade_date error = count(*) - count(trade_date)
+not_null account error = count(*) - count(account)
+not_null action error = count(*) - count(action)
+not_null symbol error = count_if({_LEDGER} AND symbol IS NULL)
+not_null amount error = count(*) - count(amount)
+not_null source error = count(*) - count(source)
+accepted_values source error = count_if(source <> 'fidelity' AND source <> 'vanguard')
+not_null row_hash error = count(*) - count(row_hash)
+unique row_hash error = any_value({_twice('row_hash', 'stg_trades')})"""),
+    _report("stg_transactions", "stg_transactions", f"""
+not_null transaction_date error = count(*) - count(transaction_date)
+not_null description error = count(*) - count(description)
+not_null amount error = count(*) - count(amount)
+not_null source error = count(*) - count(source)
+accepted_values source error = count_if(source <> 'amex' AND source <> 'chase')
+not_null row_hash error = count(*) - count(row_hash)
+unique row_hash error = any_value({_twice('row_hash', 'stg_transactions')})"""),
+    _report("stg_stock_prices", "stg_stock_prices", f"""
+not_null price_date error = count(*) - count(price_date)
+not_null symbol error = count(*) - count(symbol)
+not_null close error = count(*) - count(close)
+not_null row_hash error = count(*) - count(row_hash)
+unique row_hash error = any_value({_twice('row_hash', 'stg_stock_prices')})"""),
+    _report("wealth_summary", "wealth_summary", f"""
+not_null as_of_date error = count(*) - count(as_of_date)
+unique as_of_date error = any_value({_twice('as_of_date', 'wealth_summary')})
+not_null portfolio_value error = count(*) - count(portfolio_value)"""),
+    _report("monthly_spending", "monthly_spending", """
+not_null month error = count(*) - count(month)
+not_null category error = count(*) - count(category)
+not_null total_spent error = count(*) - count(total_spent)"""),
+    _report("position_lots", "position_lots", """
+not_null symbol error = count(*) - count(symbol)
+not_null source error = count(*) - count(source)
+not_null shares_held error = count(*) - count(shares_held)
+accepted_range shares_held error = count_if(shares_held < 0)"""),
+    _report("realized_gains", "realized_gains", """
+not_null symbol error = count(*) - count(symbol)
+not_null source error = count(*) - count(source)"""),
+    _report("unrealized_gains", "unrealized_gains", """
+not_null symbol error = count(*) - count(symbol)
+not_null source error = count(*) - count(source)
+accepted_range shares_held error = count_if(shares_held <= 0)"""),
+    _report("investment_growth", "investment_growth", """
+not_null symbol error = count(*) - count(symbol)
+not_null source error = count(*) - count(source)"""),
+    _report("portfolio_roe_summary", "portfolio_roe_summary", f"""
+not_null source error = count(*) - count(source)
+unique source error = any_value({_twice('source', 'portfolio_roe_summary')})"""),
+])
+
+
+def _ingest(bank: str, trades: str, prices: str) -> str:
+    buys, outs = "'bought|reinvestment'", "'sold|dividend'"
+    return "\nUNION ALL\n".join([
+        _report("bank_transactions", bank, f"""
+non_empty - error = if(count(*) = 0, 1, 0)
+not_null transaction_date error = count_if(transaction_date IS NULL)
+numeric amount error = count_if(try_cast(amount AS DOUBLE) IS NULL)
+duplicates row_hash warn = count(*) - any_value((SELECT count(*) FROM (SELECT DISTINCT row_hash FROM {bank})))
+max_span transaction_date warn = if(max(transaction_date) - min(transaction_date) > 35, 1, 0)"""),
+        _report("trades", trades, f"""
+non_empty - error = if(count(*) = 0, 1, 0)
+not_null trade_date error = count_if(trade_date IS NULL)
+numeric amount error = count_if(try_cast(amount AS DOUBLE) IS NULL)
+not_null price warn = count_if({_LEDGER} AND price IS NULL)
+not_null quantity warn = count_if({_LEDGER} AND quantity IS NULL)
+accepted_range amount warn = count_if(regexp_matches(action, {buys}, 'i') AND amount >= 0)
+accepted_range amount warn = count_if(regexp_matches(action, {outs}, 'i') AND amount <= 0)
+duplicates row_hash warn = count(*) - any_value((SELECT count(*) FROM (SELECT DISTINCT row_hash FROM {trades})))"""),
+        _report("stock_prices", prices, f"""
+non_empty - error = if(count(*) = 0, 1, 0)
+not_null close error = count_if(close IS NULL)
+duplicates row_hash warn = count(*) - any_value((SELECT count(*) FROM (SELECT DISTINCT row_hash FROM {prices})))
+accepted_range price_date warn = count_if(price_date < DATE '1992-01-01' OR price_date > DATE '2001-12-31')"""),
+    ])
+
+
+FINAL["ingest_report"] = _ingest("bronze_bank", "bronze_trades", "bronze_prices")
+
+# --- damaged batches (the same damage as plans/roundtrips.py, said in SQL)
+CTES["damaged_bank"] = """
+  SELECT * REPLACE (
+    CASE WHEN pos % 11 = 0 THEN '$' || CAST(amount AS VARCHAR)
+         WHEN pos % 13 <> 0 THEN CAST(amount AS VARCHAR) END AS amount,
+    CASE WHEN pos % 7 <> 0 THEN transaction_date END AS transaction_date,
+    CASE WHEN pos % 5 = 0 THEN 'same' ELSE row_hash END AS row_hash)
+  FROM bronze_bank"""
+CTES["damaged_trades"] = """
+  SELECT * REPLACE (
+    CASE WHEN pos % 17 = 0 THEN NULL WHEN pos % 3 = 0 THEN -amount ELSE amount END AS amount,
+    CASE WHEN pos % 7 <> 0 THEN trade_date END AS trade_date,
+    CASE WHEN pos % 19 <> 0 THEN price END AS price,
+    CASE WHEN pos % 23 <> 0 THEN quantity END AS quantity)
+  FROM bronze_trades"""
+CTES["damaged_prices"] = """
+  SELECT * REPLACE (
+    CASE WHEN day(price_date) <> 13 THEN close END AS close,
+    CASE WHEN day(price_date) = 14 THEN DATE '1980-01-01' ELSE price_date END AS price_date)
+  FROM bronze_prices"""
+FINAL["damaged_ingest_report"] = _ingest("damaged_bank", "damaged_trades", "damaged_prices")
+FINAL["null_price_or_quantity"] = f"""
+  SELECT trade_date, account, action, symbol, row_hash FROM damaged_trades
+  WHERE {_LEDGER} AND price + quantity IS NULL"""
+FINAL["statement_span"] = """
+  SELECT lo AS min_date, hi AS max_date, CAST(hi - lo AS INTEGER) AS days_span,
+         CASE WHEN hi = lo THEN 'note: single day'
+              WHEN hi - lo > 35 THEN 'warning: wider than one statement' END AS finding
+  FROM (SELECT min(transaction_date) AS lo, max(transaction_date) AS hi FROM raw_bank)"""
+FINAL["price_date_bounds"] = """
+  SELECT price_date, symbol, close, row_hash FROM bronze_prices
+  WHERE NOT price_date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'"""
+
+_ACCOUNT = "split_part(regexp_replace(source_file, '\\.[^.]*$', ''), '_', 1)"
+FINAL["source_roundtrip"] = f"""
   SELECT source, transaction_date, description, amount, category_raw,
-         split_part(regexp_replace(source_file, '\\.[^.]*$', ''), '_', 1) AS source_account_hint
+         {_ACCOUNT} AS source_account_hint,
+         CASE WHEN source = 'amex' THEN 'HOLDER ' || CAST(pos % 7 AS VARCHAR) END AS card_member,
+         CASE WHEN source = 'amex' THEN CAST(-pos AS VARCHAR) END AS account_number
   FROM raw_bank"""
+for _broker in ("fidelity", "vanguard"):
+    FINAL[f"{_broker}_roundtrip"] = f"""
+  SELECT trade_date, account, action, symbol, currency, price, quantity, amount,
+         {_ACCOUNT} AS source_account_hint, source
+  FROM raw_trades WHERE source = '{_broker}'"""
+FINAL["price_grid"] = """
+  SELECT CAST(l_shipdate AS DATE) AS price_date,
+         repeat(chr(CAST(64 + l_linenumber AS INTEGER)), 3) AS symbol,
+         min(unit) + 1 AS open, max(unit) + 2 AS high, min(unit) AS low, max(unit) AS close,
+         max(unit) - 1 AS adj_close, CAST(sum(l_quantity) AS BIGINT) AS volume,
+         'USD' AS currency, 'stock_prices' AS source
+  FROM (SELECT *, CAST(floor(l_extendedprice / l_quantity) AS DOUBLE) AS unit FROM lineitem)
+  GROUP BY ALL"""
+FINAL["lake_trades"] = "SELECT * FROM stg_trades"
+FINAL["lake_prices"] = "SELECT * FROM stg_stock_prices"
+FINAL["monthly_spending_ranked"] = f"""
+  SELECT *, row_number() OVER (ORDER BY month NULLS LAST, total_spent DESC NULLS LAST,
+                                        category NULLS LAST) AS place
+  FROM ({FINAL["monthly_spending"]})"""
+FINAL["roe_summary_ranked"] = """
+  SELECT *, 1 + (SELECT count(*) FROM portfolio_roe_summary AS other
+                 WHERE (other.source <> 'ALL', other.source)
+                       < (mine.source <> 'ALL', mine.source)) AS place
+  FROM portfolio_roe_summary AS mine"""
+FINAL["growth_preview"] = """
+  SELECT * FROM investment_growth
+  ORDER BY total_gain DESC NULLS LAST, symbol NULLS LAST, source NULLS LAST LIMIT 5"""
 
 GOLD_TABLES = ["wealth_summary", "monthly_spending", "position_lots", "realized_gains",
                "unrealized_gains", "investment_growth", "portfolio_roe_summary"]
@@ -483,5 +607,35 @@ FINAL["gold_export_counts"] = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM {t}" for t in GOLD_TABLES)
 
 
+_GOLD_TEXT = {
+    "wealth_summary": "as_of_date cash_balance portfolio_value net_worth prior_net_worth "
+                      "day_over_day_roi_pct:f",
+    "monthly_spending": "month:d category total_spent:m transaction_count total_spent_month:m "
+                        "pct_of_month_spend:f",
+    "position_lots": "rn trade_date symbol source account action quantity price amount "
+                     "shares_held cost_basis realized_gain",
+    "realized_gains": "trade_date symbol source account shares_sold sale_price proceeds "
+                      "realized_gain",
+    "unrealized_gains": "symbol source account shares_held cost_basis avg_cost_per_share:f "
+                        "current_price priced_as_of market_value unrealized_gain",
+    "investment_growth": "symbol source total_realized_gain current_cost_basis "
+                         "current_market_value unrealized_gain total_gain roe_pct:f",
+    "portfolio_roe_summary": "source total_realized_gain current_cost_basis current_market_value "
+                             "unrealized_gain total_gain roe_pct:f",
+}
+
+
+def _as_text(column: str) -> str:
+    name, _, kind = column.partition(":")
+    typed = {"f": f"CAST({name} AS DECIMAL(38,4))", "d": f"CAST({name} AS DATE)",
+             "m": f"CAST({name} AS DECIMAL(38,2))"}.get(kind, name)
+    return f"ifnull(CAST({typed} AS VARCHAR), '-')"
+
+
+FINAL["gold_export_contents"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, concat_ws('|', {', '.join(map(_as_text, cols.split()))}) "
+    f"AS row_text FROM {t}" for t, cols in _GOLD_TEXT.items())
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: sql(stmt) for name, stmt in FINAL.items()}

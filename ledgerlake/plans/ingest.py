@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,13 +45,17 @@ def market_today(tz: str = MARKET_TZ):
 
 
 def backfill_window(trades: DataFrame, end: dt.date | str | None = None, backfill: bool = False,
-                    days: int = DEFAULT_BACKFILL_DAYS) -> DataFrame:
+                    days: int = DEFAULT_BACKFILL_DAYS, start: dt.date | str | None = None
+                    ) -> DataFrame:
     """One row (start_date, end_date) of the price refresh.
 
-    end defaults to today in the market's zone; start is the earliest trade
-    date with ``backfill`` (NULL when there are no trades), else end - days.
+    end defaults to today in the market's zone.  start is the given one, else with
+    ``backfill`` the earliest trade date (NULL when there are no trades), else end - days.
     """
     end_col = F.to_date(F.lit(str(end))) if end is not None else market_today()
+    if start is not None:
+        return trades.sparkSession.range(1).select(F.to_date(F.lit(str(start))).alias("start_date"),
+                                                   end_col.alias("end_date"))
     if backfill:
         return trades.agg(F.min(F.col("trade_date").cast("date")).alias("start_date")) \
                      .select("start_date", end_col.alias("end_date"))
@@ -71,7 +75,7 @@ def partition_counts(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def bronze_partition_counts(bronze: dict[str, DataFrame]) -> DataFrame:
+def bronze_partition_counts(bronze: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per (dataset, source, year_month) across the bronze datasets."""
     parts = []
     for name, df in bronze.items():
@@ -83,4 +87,3 @@ def bronze_partition_counts(bronze: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-

@@ -78,6 +78,10 @@ def investment_growth(realized: DataFrame, unrealized: DataFrame) -> DataFrame:
     u = unrealized.select("symbol", "source", F.col("cost_basis").alias("current_cost_basis"),
                           "market_value", "unrealized_gain")
     j = r.join(u, on=["symbol", "source"], how="full_outer")
+    return _growth_columns(j)
+
+
+def _growth_columns(j: DataFrame) -> DataFrame:
     zero = F.lit(0)
     tr = F.coalesce("total_realized_gain", zero).cast("decimal(38,2)")
     ug = F.coalesce("unrealized_gain", zero).cast("decimal(27,2)")
@@ -93,22 +97,63 @@ def investment_growth(realized: DataFrame, unrealized: DataFrame) -> DataFrame:
         pct(total, cost, 2).alias("roe_pct"))
 
 
+def growth_of_lots(lots: DataFrame, stg_prices: DataFrame) -> DataFrame:
+    """``investment_growth`` straight from the ledger, which is read once.
+
+    Realized gain and latest row of a position come from one aggregation; joining the two
+    marts instead would fold the ledger twice.  Rows are those of the full outer join:
+    positions with a sell, or still open.  A key with a NULL matches nothing there, so its
+    realized and its open part stay separate rows.
+    """
+    order = F.struct(F.col("trade_date").alias("d"), F.col("rn").alias("n"),
+                     F.col("shares_held").alias("shares_held"),
+                     F.col("cost_basis").alias("cost_basis"))
+    sold = is_sell("action")
+    pos = (lots.groupBy("symbol", "source")
+           .agg(F.sum(F.when(sold, F.col("realized_gain"))).cast("decimal(38,2)").alias("gain"),
+                F.count_if(sold).alias("sells"), F.max(order).alias("p"))
+           .select("symbol", "source", "gain", (F.col("sells") > 0).alias("has_sell"),
+                   F.col("p.shares_held").alias("shares"), F.col("p.cost_basis").alias("cost"),
+                   F.coalesce(F.col("p.shares_held") > 0, F.lit(False)).alias("open"))
+           .filter("has_sell OR open"))
+    px = latest_price(stg_prices).select(F.col("symbol").alias("px"), "current_price")
+    j = pos.join(px, (F.col("symbol") == F.col("px")) & F.col("open"), "left")
+    market = F.col("shares") * F.col("current_price")
+    no_gain = F.lit(None).cast("decimal(38,2)")
+    no_money, no_diff = F.lit(None).cast("decimal(18,2)"), F.lit(None).cast("decimal(27,2)")
+
+    def row(gain, cost, value, diff):
+        return F.struct(gain.alias("gain"), cost.alias("cost"), value.alias("value"),
+                        diff.alias("diff"))
+
+    cost = F.when(F.col("open"), F.round("cost", 2).cast("decimal(18,2)"))
+    value = F.when(F.col("open"), F.round(market, 2).cast("decimal(18,2)"))
+    diff = F.when(F.col("open"), F.round(market - F.col("cost"), 2).cast("decimal(27,2)"))
+    apart = ((F.col("symbol").isNull() | F.col("source").isNull())
+             & F.col("has_sell") & F.col("open"))
+    rows = F.when(apart, F.array(row(F.col("gain"), no_money, no_money, no_diff),
+                                 row(no_gain, cost, value, diff))).otherwise(
+        F.array(row(F.col("gain"), cost, value, diff)))
+    return _growth_columns(j.select("symbol", "source", F.explode(rows).alias("r")).select(
+        "symbol", "source", F.col("r.gain").alias("total_realized_gain"),
+        F.col("r.cost").alias("current_cost_basis"), F.col("r.value").alias("market_value"),
+        F.col("r.diff").alias("unrealized_gain")))
+
+
 def portfolio_roe_summary(growth: DataFrame) -> DataFrame:
-    """'ALL' row plus one row per source.
+    """'ALL' row plus one row per source (G15), from one pass over ``growth``.
 
-    The overall row is a global aggregate, so it exists (with NULL measures)
-    even when the input is empty; the per-source rows are a grouped aggregate.
+    The sums per source (a handful of rows) are gathered and summed once more; the overall
+    row is a global aggregate, so it exists (with NULL measures) for empty input, too.
     """
-    sums = [F.sum(m).cast("decimal(38,2)").alias(m) for m in SUMMARY_MEASURES]
-    overall = growth.agg(*sums).select(F.lit(ALL_SOURCES).alias("source"), *SUMMARY_MEASURES)
-    by_source = growth.groupBy("source").agg(*sums)
-    both = overall.unionByName(by_source)
+    by_source = growth.groupBy("source").agg(
+        *[F.sum(m).cast("decimal(38,2)").alias(m) for m in SUMMARY_MEASURES])
+    whole = by_source.agg(
+        *[F.sum(m).cast("decimal(38,2)").alias(m) for m in SUMMARY_MEASURES],
+        F.collect_list(F.struct("source", *SUMMARY_MEASURES)).alias("parts"))
+    both = whole.select(F.inline(F.concat(
+        F.array(F.struct(F.lit(ALL_SOURCES).alias("source"), *SUMMARY_MEASURES)), "parts")))
     return both.select(
         "source",
         *[F.round(m, 2).cast("decimal(38,2)").alias(m) for m in SUMMARY_MEASURES],
         pct("total_gain", "current_cost_basis", 2).alias("roe_pct"))
-
-
-def present_summary(df: DataFrame) -> DataFrame:
-    return df.orderBy(F.when(F.col("source") == ALL_SOURCES, 0).otherwise(1),
-                      F.col("source").asc_nulls_last())

@@ -7,7 +7,9 @@ directions, as in the models' SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The ORDER BY of each mart.
@@ -21,13 +23,25 @@ ORDER = {
 }
 
 
-def present(name: str, df: DataFrame) -> DataFrame:
+def sort_keys(name: str) -> list[Column]:
     if name == "portfolio_roe_summary":
-        return df.orderBy(F.when(F.col("source") == "ALL", 0).otherwise(1),
-                          F.col("source").asc_nulls_last())
-    cols = [F.col(c).asc_nulls_last() if d == "asc" else F.col(c).desc_nulls_last()
+        return [F.when(F.col("source") == "ALL", 0).otherwise(1), F.col("source").asc_nulls_last()]
+    return [F.col(c).asc_nulls_last() if d == "asc" else F.col(c).desc_nulls_last()
             for c, d in ORDER[name]]
-    return df.orderBy(*cols)
+
+
+def present(name: str, df: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
+    """``df`` in the mart's order; ``ties`` settle the order of equal rows."""
+    return df.orderBy(*sort_keys(name), *[F.col(c).asc_nulls_last() for c in ties])
+
+
+def ranked(name: str, df: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
+    """``df`` with its place in the mart's order, from 1.
+
+    For marts with a row per month, day or source: the window has no partition.
+    """
+    order = Window.orderBy(*sort_keys(name), *[F.col(c).asc_nulls_last() for c in ties])
+    return df.withColumn("place", F.row_number().over(order).cast("long"))
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.numeric import dbl_to_dec
 from ledgerlake.operators.dedup import dedup_first
 
+# The columns of the silver tables.
 STG_TRANSACTIONS_COLS = ["transaction_date", "description", "amount", "category_raw",
                          "source_account_hint", "source", "row_hash"]
 STG_TRADES_COLS = ["trade_date", "account", "action", "symbol", "currency", "price", "quantity",
@@ -82,11 +83,3 @@ def stg_stock_prices(bronze: DataFrame) -> DataFrame:
 TYPED = {"stg_transactions": (typed_transactions, STG_TRANSACTIONS_COLS),
          "stg_trades": (typed_trades, STG_TRADES_COLS),
          "stg_stock_prices": (typed_prices, STG_PRICES_COLS)}
-
-
-def silver_from_bronze(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "stg_transactions": stg_transactions(bronze["bank_transactions"]),
-        "stg_trades": stg_trades(bronze["trades"]),
-        "stg_stock_prices": stg_stock_prices(bronze["stock_prices"]),
-    }

@@ -35,6 +35,3 @@ def monthly_spending(stg_transactions: DataFrame) -> DataFrame:
             .select(*COLUMNS))
 
 
-def present(df: DataFrame) -> DataFrame:
-    """Reference presentation order: month, then biggest category first."""
-    return df.orderBy(F.col("month").asc_nulls_last(), F.col("total_spent").desc_nulls_last())

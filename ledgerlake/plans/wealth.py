@@ -42,7 +42,7 @@ def daily_cash_flow(stg_transactions: DataFrame) -> DataFrame:
 def cash_running(stg_transactions: DataFrame, spend_sign: int = 1) -> DataFrame:
     """Running card balance by day.  ``spend_sign=-1`` makes spending lower it."""
     daily = daily_cash_flow(stg_transactions)
-    w = Window.orderBy("transaction_date").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.orderBy(F.col("transaction_date").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
     amt = F.col("day_amount") if spend_sign == 1 else -F.col("day_amount")
     return daily.select("transaction_date",
                         F.sum(amt).over(w).cast("decimal(38,2)").alias("cash_balance"))
@@ -53,7 +53,7 @@ def running_holdings(stg_trades: DataFrame) -> DataFrame:
     net = (stg_trades.filter(is_ledger_action("action") & F.col("symbol").isNotNull())
            .groupBy("symbol", "trade_date")
            .agg(F.sum(signed_quantity("action", "quantity")).cast("decimal(38,6)").alias("day_qty")))
-    w = Window.partitionBy("symbol").orderBy("trade_date").rowsBetween(
+    w = Window.partitionBy("symbol").orderBy(F.col("trade_date").asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, 0)
     return net.select("trade_date", "symbol",
                       F.sum("day_qty").over(w).cast("decimal(38,6)").alias("shares_held"))
@@ -72,23 +72,13 @@ def portfolio_value_by_day(asof_rows: DataFrame) -> DataFrame:
         F.sum(shares * F.col("close")).cast("decimal(38,10)").alias("portfolio_value"))
 
 
-def forward_fill(calendar: DataFrame, cash: DataFrame, value: DataFrame) -> DataFrame:
-    c = (calendar.join(cash, calendar["d"] == cash["transaction_date"], "left")
-         .join(value, calendar["d"] == value["as_of_date"], "left"))
-    w = Window.orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
-    return c.select(
-        F.col("d").alias("as_of_date"),
-        F.last("cash_balance", ignorenulls=True).over(w).alias("cash_balance"),
-        F.last("portfolio_value", ignorenulls=True).over(w).alias("portfolio_value"))
-
-
 def with_roi(filled: DataFrame) -> DataFrame:
     cash = F.coalesce("cash_balance", F.lit(0)).cast("decimal(38,2)")
     value = F.coalesce("portfolio_value", F.lit(0)).cast("decimal(38,10)")
     net = (cash.cast("decimal(27,2)") + value.cast("decimal(37,10)")).cast("decimal(38,10)")
     base = filled.select("as_of_date", cash.alias("cash_balance"),
                          value.alias("portfolio_value"), net.alias("net_worth"))
-    prior = F.lag("net_worth").over(Window.orderBy("as_of_date"))
+    prior = F.lag("net_worth").over(Window.orderBy(F.col("as_of_date").asc_nulls_last()))
     step = base.withColumn("prior_net_worth", prior.cast("decimal(38,10)"))
     change = (F.col("net_worth").cast("decimal(37,10)")
               - F.col("prior_net_worth").cast("decimal(37,10)"))
@@ -96,14 +86,22 @@ def with_roi(filled: DataFrame) -> DataFrame:
                .select(*SUMMARY_COLUMNS)
 
 
-def daily_filled(cash: DataFrame, value: DataFrame) -> DataFrame:
-    """forward_fill without a separate calendar: the calendar is exactly the union
-    of the days with card activity and the days with prices, i.e. the keys of a
-    full outer join of the two per-day tables."""
-    j = cash.join(value, cash["transaction_date"] == value["as_of_date"], "full_outer")
-    d = F.coalesce(F.col("transaction_date"), F.col("as_of_date")).alias("d")
-    w = Window.orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
-    return j.select(d, "cash_balance", "portfolio_value").select(
+def forward_fill(cash: DataFrame, value: DataFrame) -> DataFrame:
+    """The calendar with the last known cash and portfolio value of every day.
+
+    The calendar is exactly the union of the days with card activity and the days with
+    prices, i.e. the days of a full outer join of the two per-day tables.  A NULL day is
+    in the calendar once, comes last and matches neither table (an equality join).
+    """
+    days = (cash.select(F.col("transaction_date").alias("d"), "cash_balance",
+                        F.lit(None).cast("decimal(38,10)").alias("portfolio_value"))
+            .unionByName(value.select(F.col("as_of_date").alias("d"),
+                                      F.lit(None).cast("decimal(38,2)").alias("cash_balance"),
+                                      "portfolio_value"))
+            .groupBy("d").agg(*[F.max(F.when(F.col("d").isNotNull(), F.col(c))).alias(c)
+                                for c in ("cash_balance", "portfolio_value")]))
+    w = Window.orderBy(F.col("d").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    return days.select(
         F.col("d").alias("as_of_date"),
         F.last("cash_balance", ignorenulls=True).over(w).alias("cash_balance"),
         F.last("portfolio_value", ignorenulls=True).over(w).alias("portfolio_value"))
@@ -115,4 +113,4 @@ def wealth_summary(stg_transactions: DataFrame, stg_trades: DataFrame, stg_price
     price days from the per-day portfolio value."""
     cash = cash_running(stg_transactions, spend_sign)
     value = portfolio_value_by_day(holdings_asof(stg_prices, running_holdings(stg_trades)))
-    return with_roi(daily_filled(cash, value))
+    return with_roi(forward_fill(cash, value))

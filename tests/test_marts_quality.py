@@ -5,6 +5,8 @@ from decimal import Decimal
 
 from ledgerlake.operators import quality
 from ledgerlake.plans import portfolio, spending, wealth
+from ledgerlake.plans.present import present
+from tests.helpers import duck_with, same as same_rows
 
 D0 = dt.date(2026, 1, 1)
 TX = ("transaction_date date, description string, amount decimal(18,2), category_raw string, "
@@ -72,7 +74,9 @@ def test_unrealized_growth_and_summary(spark):
     assert gr[("BBB", "fidelity")].roe_pct is None              # cost 0 -> NULL
     assert gr[("AAA", "fidelity")].total_gain == Decimal("20.00")
     assert gr[("CCC", "vanguard")].unrealized_gain == 0          # no price -> 0
-    s = portfolio.present_summary(portfolio.portfolio_roe_summary(g)).collect()
+    s = present("portfolio_roe_summary", portfolio.portfolio_roe_summary(g)).collect()
+    same = portfolio.growth_of_lots(lot, prices)
+    assert sorted(map(repr, same.collect())) == sorted(map(repr, g.collect()))
     assert [r.source for r in s] == ["ALL", "fidelity", "vanguard"]
     assert s[0].total_gain == Decimal("26.00")
 
@@ -108,6 +112,44 @@ def test_wealth_summary_fill_and_roi(spark):
     assert out[day(5)].cash_balance == Decimal("4.00")
 
 
+def test_growth_keeps_null_keys_apart(spark):
+    lot = lots(spark, [
+        (1, day(0), None, "fidelity", "REINVESTMENT OF SOLD", 2, 5, -10, 2, 10, 0),
+        (1, day(0), "AAA", None, "YOU SOLD", 2, 5, 10, 0, 0, 0),
+        (1, day(0), "BBB", "vanguard", "YOU BOUGHT", 2, 5, -10, 2, 10, 0)])
+    prices = px(spark, [(day(1), "BBB", 6), (day(1), "AAA", 6)])
+    one = portfolio.growth_of_lots(lot, prices)
+    two = portfolio.investment_growth(portfolio.realized_gains(lot),
+                                      portfolio.unrealized_gains(lot, prices))
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+    assert one.count() == 4
+
+
+def test_null_days_come_last_and_once(spark):
+    cash = [(day(0), Decimal(1)), (day(2), Decimal(2)), (None, Decimal(100))]
+    t = tx(spark, [(d, a, None) for d, a in cash])
+    con = duck_with({"t": ("d DATE, a DECIMAL(18,2)", cash),
+                     "v": ("d DATE, v DECIMAL(38,10)", [(day(1), Decimal(7)), (None, Decimal(9))])})
+    same_rows(wealth.cash_running(t), con,
+              "SELECT d AS transaction_date, CAST(sum(a) OVER (ORDER BY d NULLS LAST) AS "
+              "DECIMAL(38,2)) AS cash_balance FROM t")
+    value = spark.createDataFrame([(day(1), Decimal(7)), (None, Decimal(9))],
+                                  "as_of_date date, portfolio_value decimal(38,10)")
+    out = wealth.forward_fill(wealth.cash_running(t), value)
+    assert [tuple(r) for r in out.orderBy("as_of_date").collect()] == [
+        (None, Decimal("3.00"), Decimal(7)), (day(0), Decimal("1.00"), None),
+        (day(1), Decimal("1.00"), Decimal(7)), (day(2), Decimal("3.00"), Decimal(7))]
+
+
+def test_batch_rules_report_missing_amounts_and_spans(spark):
+    df = spark.createDataFrame([(day(0), "$1,234.50"), (day(40), None), (day(1), "3.5")],
+                               "d date, amount string")
+    rules = [quality.Rule("numeric", "amount"), quality.Rule("max_span", "d", max_value=35),
+             quality.Rule("max_span", "d", max_value=40)]
+    assert [r.failing_rows for r in quality.check(df, "t", rules).collect()] == [2, 1, 0]
+    assert [r.failing_rows for r in quality.check(df.limit(0), "t", rules).collect()] == [0, 0, 0]
+
+
 def test_quality_rules_count_one_violation_each(spark):
     df = spark.createDataFrame(
         [("a", "fidelity", "YOU BOUGHT", 1.0), ("a", "nope", "YOU SOLD", -1.0),

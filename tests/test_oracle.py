@@ -13,10 +13,14 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_every_query_of_the_catalog_has_a_statement():
+    from ledgerlake.catalog import QUERIES
+    assert not set(QUERIES) - set(ORACLE)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
-    assert name in ORACLE, f"{name} has no SQL statement"
     r = compare(df, con, ORACLE[name])
     assert r["values_match"] and r["spark_rows"] == r["duck_rows"], r
     s, d = types_of(df, con, ORACLE[name])

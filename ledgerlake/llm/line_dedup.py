@@ -22,14 +22,16 @@ do not split a block.  Extra columns pass through ``dedup_lines`` untouched.
 
 from __future__ import annotations
 
+import hashlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import map_rows, text_digest
+from ledgerlake.session import materialize
 
 MIN_WORDS = 5
 #: Word separators inside a line (fixed: ASCII white space).
@@ -120,24 +122,30 @@ def common_blocks(early: list[tuple], late: list[tuple], min_words: int) -> list
 
 # --- Spark -----------------------------------------------------------------------------
 
-def key_of(df: DataFrame) -> Column:
-    return F.struct(F.col("doc_id").alias("id"), text_digest(F.col("text")).alias("digest"))
+def lines_of(documents: DataFrame) -> DataFrame:
+    """id, digest, place, line, words, hash of every line with a word."""
+    def run(rows: Iterable[tuple]) -> Iterator[tuple]:
+        for doc_id, text in rows:
+            data = text.encode()
+            digest = hashlib.md5(data).digest()
+            place = 0
+            for line, x in enumerate(data.split(b"\n")):
+                words = len(x.split())  # bytes.split() cuts at ASCII white space
+                if words:
+                    yield doc_id, digest, place, line, words, hashlib.md5(x).digest()
+                    place += 1
+
+    return map_rows(documents.filter(F.col("text").isNotNull()).select("doc_id", "text"), run,
+                    "id long, digest binary, place int, line int, words int, hash binary")
 
 
 def shared_lines(documents: DataFrame) -> DataFrame:
     """key, first (the first holder's key), place, line, words, hash of each shared line."""
-    with_words = F.filter(
-        F.transform(F.split("text", "\n", -1),
-                    lambda x, i: F.struct(i.alias("line"), x.alias("text"),
-                                          F.regexp_count(x, F.lit(WORD)).alias("words"))),
-        lambda x: x["words"] > 0)
-    lines = (documents.filter(F.col("text").isNotNull())
-             .select(key_of(documents).alias("key"), F.posexplode(with_words).alias("place", "x"))
-             .select("key", "place", "x.line", "x.words",
-                     text_digest(F.col("x.text")).alias("hash")))
+    lines = materialize(lines_of(documents), "lines").select(
+        F.struct("id", "digest").alias("key"), "place", "line", "words", "hash")
     holders = (lines.groupBy("hash").agg(F.min("key").alias("first"), F.max("key").alias("last"))
                .filter("first != last").select("hash", "first"))
-    return lines.join(holders, "hash")
+    return materialize(lines.join(holders, "hash"), "shared-lines")
 
 
 def deletions(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -173,14 +181,17 @@ def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         F.col("id").alias("_id"), F.col("digest").alias("_digest"),
         F.col("lines").alias("deleted_lines"), F.col("sources").alias("deleted_from"))
     docs = documents.withColumn("_key", text_digest(F.col("text")))
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"])
+    # A partition of ``gone`` (line numbers) is hashed; texts stream past it unsorted.
+    joined = docs.join(gone.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(gone["_id"])
                        & (docs["_key"] == gone["_digest"]), "left")
     lines = F.split("text", "\n", -1)
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "deleted_lines")
-    kept = F.array_join(F.transform(stay, lambda i: F.get(F.col("_lines"), i)), "\n")
-    return (joined.withColumn("_lines", lines).withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long"))
-            .withColumn("text", F.when(F.col("deleted_lines").isNull(), F.col("text"))
-                        .otherwise(kept))
-            .withColumn("deleted_lines", F.coalesce("deleted_lines", F.array().cast("array<int>")))
-            .withColumn("deleted_from", F.coalesce("deleted_from", F.array().cast("array<long>")))
-            .drop("_id", "_digest", "_key", "_lines"))
+    # One pass over the array of lines: it is the second argument of one lambda.
+    kept = F.element_at(F.transform(F.array(lines), lambda ls: F.array_join(
+        F.transform(stay, lambda i: F.get(ls, i)), "\n")), 1)
+    return joined.select(
+        *[F.when(F.col("deleted_lines").isNull(), F.col("text")).otherwise(kept).alias("text")
+          if c == "text" else docs[c] for c in documents.columns],
+        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce("deleted_lines", F.array().cast("array<int>")).alias("deleted_lines"),
+        F.coalesce("deleted_from", F.array().cast("array<long>")).alias("deleted_from"))

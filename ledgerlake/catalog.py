@@ -220,6 +220,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fidelity_roundtrip": _q(roundtrips.fidelity),
     "vanguard_roundtrip": _q(roundtrips.vanguard),
     "price_grid": _q(roundtrips.price_grid),
+    "watchlist_file": _q(roundtrips.watchlist_file),
+    "materialised_spending": _q(roundtrips.materialised_spending),
     "lake_trades": _q(roundtrips.lake_trades),
     "lake_prices": _q(roundtrips.lake_prices),
     "monthly_spending_ranked": _q(lambda m: present.ranked("monthly_spending", m.monthly_spending,

@@ -76,12 +76,3 @@ def safe_div(a, b) -> Column:
 def pct(a, b, n: int) -> Column:
     """round(a / nullif(b, 0) * 100, n) with binary rounding."""
     return round_dbl(safe_div(a, b) * F.lit(100.0), n)
-
-
-def dec(x, precision: int, scale: int) -> Column:
-    return _c(x).cast(f"decimal({precision},{scale})")
-
-
-def round_dec(x, scale: int, precision: int) -> Column:
-    """round(decimal, scale) half away from zero, pinned to decimal(precision, scale)."""
-    return F.round(_c(x), scale).cast(f"decimal({precision},{scale})")

@@ -586,6 +586,8 @@ FINAL["price_grid"] = """
          'USD' AS currency, 'stock_prices' AS source
   FROM (SELECT *, CAST(floor(l_extendedprice / l_quantity) AS DOUBLE) AS unit FROM lineitem)
   GROUP BY ALL"""
+FINAL["watchlist_file"] = "SELECT symbol FROM watchlist"
+FINAL["materialised_spending"] = FINAL["monthly_spending"]
 FINAL["lake_trades"] = "SELECT * FROM stg_trades"
 FINAL["lake_prices"] = "SELECT * FROM stg_stock_prices"
 FINAL["monthly_spending_ranked"] = f"""

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from ledgerlake.plans import silver
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks.writers import (PRICE_PARTITIONS, TRADE_PARTITIONS, export_gold,
-                                      write_bronze, write_export_files)
+                                      write_bronze, write_export_files, write_table)
 from ledgerlake.sources import driver_tables
-from ledgerlake.sources.exports import (normalize_prices, read_parquet_or_empty, read_source)
+from ledgerlake.sources.exports import (normalize_prices, read_parquet_or_empty, read_source,
+                                        read_watchlist)
 from ledgerlake.sources.lake import read_bronze
 
 # Header lines, preambles and footers of the written layouts.
@@ -161,6 +162,21 @@ def lake_prices(m) -> DataFrame:
     return silver.stg_stock_prices(read_bronze(m.spark, base, batch.schema, recursive=True))
 
 
+def watchlist_file(m) -> DataFrame:
+    """The watchlist written as a text file and read by the file reader."""
+    path = scratch_path(m.spark, "watchlist")
+    driver_tables.watchlist_rows(m.spark, m.sf_dir).write.text(path)
+    return read_watchlist(m.spark, path)
+
+
+def materialised_spending(m) -> DataFrame:
+    """monthly_spending as a full-refresh table, written twice and read back (K4)."""
+    path = scratch_path(m.spark, "monthly-spending")
+    for _ in range(2):
+        write_table(m.monthly_spending, "monthly_spending", path)
+    return m.spark.read.parquet(path)
+
+
 def damaged_bronze(m) -> dict[str, DataFrame]:
     """The bronze batches with damaged rows: every ingest rule has something to find."""
     bank, trades, prices = (m.bronze(n) for n in ("bank_transactions", "trades", "stock_prices"))

@@ -212,6 +212,35 @@ def test_gate_stops_before_anything_is_written(spark, tmp_dir):
         ingest_export(spark, "chase", empty, f"{tmp_dir}/lake/none")
 
 
+def test_refresh_window(spark):
+    from ledgerlake.plans.ingest import backfill_window
+    trades = spark.createDataFrame([(dt.date(2026, 1, 9),), (dt.date(2026, 1, 2),), (None,)],
+                                   "trade_date date")
+
+    def window(**kw):
+        return tuple(backfill_window(trades, end="2026-02-01", **kw).first())
+    end = dt.date(2026, 2, 1)
+    assert window(backfill=True) == (dt.date(2026, 1, 2), end)
+    assert window(start="2026-01-15", backfill=True) == (dt.date(2026, 1, 15), end)
+    assert window() == (dt.date(2026, 1, 27), end)
+    assert backfill_window(trades.limit(0), end="2026-02-01", backfill=True).first()[0] is None
+
+
+def test_tables_of_the_catalog(spark, tmp_dir):
+    from ledgerlake.sinks.writers import tables_from_catalog
+    spark.range(4).createOrReplaceTempView("made")
+    found = tables_from_catalog(spark, ["made", "absent"])
+    assert found["made"].count() == 4 and found["absent"] is None
+
+
+def test_scratch_folders_are_released(spark):
+    from ledgerlake.session import materialize, release_scratch
+    df = materialize(spark.range(3), "tested")
+    path = df.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path)
+    assert release_scratch(spark) >= 1 and not os.path.exists(path)
+
+
 def test_more_date_layouts(spark):
     texts = ["01/05/2026", "1/5/26", "2026-01-05", "2026/01/05", "20260105", "5-Jan-2026",
              "Jan 5, 2026", "January 5, 2026", "2026-01-05 10:11:12", "nonsense"]
@@ -223,7 +252,8 @@ def test_more_date_layouts(spark):
 def test_queries_are_built_without_a_job(spark):
     from ledgerlake.catalog import QUERIES
     writes = {"gold_export_counts", "gold_export_contents", "quality_report", "source_roundtrip",
-              "fidelity_roundtrip", "vanguard_roundtrip", "lake_trades", "lake_prices"}
+              "fidelity_roundtrip", "vanguard_roundtrip", "lake_trades", "lake_prices",
+              "watchlist_file", "materialised_spending"}
     tracker = spark.sparkContext.statusTracker()
     for name in sorted(set(QUERIES) - writes):
         spark.sparkContext.setJobGroup(f"build-{name}", name)

@@ -23,10 +23,10 @@ are never compared.  Inside a band bucket not all pairs are emitted:
 * *star*: every text of a bucket is verified against the bucket's most central text
   (the one with the smallest share of shingles that no other candidate has), which is
   linear in the bucket; verified links are joined into components;
-* *rest*: buckets that still hold several components are searched completely, but only
-  pairs of different components whose exact upper bound reaches the threshold are
-  verified: a shingle that no other candidate holds cannot be shared, so with n
-  shingles, u of them unshared, the overlap is at most min(n_a - u_a, n_b - u_b).
+* *rest*: buckets that still hold several components are searched completely for pairs of
+  different components.  Pairs that share a shingle held by few of these texts are
+  found under it; all others overlap in frequent shingles alone, and only pairs whose
+  exact upper bound from these reaches the threshold are verified (``open_pairs``).
 
 Both steps together lose no linked pair that shares a band: a pair is either verified,
 or provably below the threshold, or inside one component already.
@@ -53,6 +53,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 32
 ROWS = 4
+#: Texts that hold a rare shingle at most.  A cost parameter: results do not depend on it.
+RARE = 8
 #: Shingles that one signing batch holds at most (a longer document is a batch of its own).
 BATCH = 200_000
 _WORD = re.compile(r"\w+")
@@ -166,8 +168,8 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def links(documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS,
-          rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
-    """Links (a, b) of digests that span the classes, and the digests that any bucket shares."""
+          rows: int = ROWS) -> DataFrame:
+    """Edges (a, b) of digests that span the classes."""
     texts = documents.filter(F.col("text").isNotNull()).select(
         text_digest(F.col("text")).alias("digest"), "text")
     signed = map_rows(texts, lambda r: sign_texts(r, bands, rows),
@@ -209,28 +211,53 @@ def links(documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS
     star = (members.join(centre, "band").filter("digest != b")
             .select(F.col("digest").alias("a"), "b").distinct())
     found = materialize(verified(star, sets, threshold), "near-star")
-    label = components(found)
-    # The rest: buckets with several components, pairs that the bound leaves open.
-    placed = (members.join(label.select(F.col("node").alias("digest"), "label"), "digest", "left")
-              .withColumn("label", F.coalesce("label", "digest")))
-    placed = placed.filter("size > 2")
+    label = materialize(components(found).select(F.col("node").alias("digest"), "label"),
+                        "near-labels")
+    # The rest: buckets that still hold several components.
+    placed = (members.filter("size > 2").join(label, "digest", "left")
+              .select("band", "digest", F.coalesce("label", "digest").alias("label")))
     mixed = (placed.groupBy("band").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
              .filter("l0 != l1").select("band"))
-    open_ = materialize(placed.join(mixed, "band"), "near-rest")
-    l, r = open_.alias("l"), open_.alias("r")
-    most = F.least("l.common", "r.common")
-    pairs = (l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.digest") < F.col("r.digest"))
-                    & (F.col("l.label") != F.col("r.label"))
-                    & (most >= threshold * (F.col("l.n") + F.col("r.n") - most)))
-             .select(F.col("l.digest").alias("a"), F.col("r.digest").alias("b")).distinct())
-    more = verified(pairs, sets, threshold)
-    return found.unionByName(more), candidates
+    rest = materialize(placed.join(mixed, "band"), "near-rest")
+    more = verified(open_pairs(rest, sets, threshold), sets, threshold)
+    return label.select(F.col("digest").alias("a"), F.col("label").alias("b")).unionByName(more)
+
+
+def open_pairs(rest: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of different components that may reach the threshold.
+
+    A shingle is rare if at most ``RARE`` texts of ``rest`` hold it.  A pair that shares a
+    rare shingle is found under it (at most RARE texts each).  A pair that shares none
+    overlaps in frequent shingles only, so with f of them in n shingles its overlap is at
+    most min(f_a, f_b); pairs of a bucket whose bound is too low are left out.
+    """
+    texts = rest.select("digest", "label").distinct()
+    items = materialize(texts.join(sets, "digest").select(
+        "digest", "label", F.explode("items").alias("item")), "near-items")
+    holders = items.groupBy("item").agg(F.count(F.lit(1)).alias("texts"))
+    few = (items.join(holders.filter((F.col("texts") > 1) & (F.col("texts") <= RARE)), "item")
+           .groupBy("item").agg(F.collect_list(F.struct("digest", "label")).alias("h")))
+    pair = F.explode(F.flatten(F.transform("h", lambda x: F.transform(
+        F.filter("h", lambda y: (x["digest"] < y["digest"]) & (x["label"] != y["label"])),
+        lambda y: F.struct(x["digest"].alias("a"), y["digest"].alias("b"))))))
+    by_rare = few.select(pair.alias("p")).select("p.a", "p.b")
+    frequent = (items.join(holders.filter(F.col("texts") > RARE), "item", "left")
+                .groupBy("digest").agg(F.count(F.lit(1)).alias("n"),
+                                       F.count("texts").alias("f")))
+    x = rest.join(frequent, "digest")
+    l, r = x.alias("l"), x.alias("r")
+    most = F.least("l.f", "r.f")
+    by_bound = (l.join(r, (F.col("l.band") == F.col("r.band"))
+                       & (F.col("l.digest") < F.col("r.digest"))
+                       & (F.col("l.label") != F.col("r.label"))
+                       & (most >= threshold * (F.col("l.n") + F.col("r.n") - most)))
+                .select(F.col("l.digest").alias("a"), F.col("r.digest").alias("b")))
+    return by_rare.unionByName(by_bound).distinct()
 
 
 def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """digest, class (a digest): the class of every distinct text that has a link."""
-    found, _ = links(documents, threshold)
-    return components(materialize(found, "near-links")).select(
+    return components(materialize(links(documents, threshold), "near-links")).select(
         F.col("node").alias("digest"), F.col("label").alias("class"))
 
 

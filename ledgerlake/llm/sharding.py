@@ -11,9 +11,9 @@ are cut into salted parts.  The driver therefore sees at most 2048 classes per p
 two plus one part per SALT_GROUPS groups.  Inside a part, groups are numbered by digest
 and take the shards in the order of the quotas.
 
-Slots are numbered from 0 in every shard without a shard-wide sort: rows per (written
-partition, shard) are counted, prefix sums give each partition its first slot, and rows
-count on from there inside their partition.
+Slots are numbered from 0 in every shard without a shard-wide sort: rows per (block,
+shard) are counted, a block being at most BLOCK_ROWS rows of a written partition; prefix
+sums give each block its first slot, and rows count on from there.
 
 NULL texts count as empty ones (size 1, one group with them).  Repeated rows and NULL
 doc_ids are rows like others.  Other columns are ignored.
@@ -31,6 +31,7 @@ from ledgerlake.session import materialize
 
 SHARDS = 16
 SALT_GROUPS = 100_000
+BLOCK_ROWS = 50_000
 
 
 def lpt_quotas(classes: list[tuple[float, int]], shards: int) -> list[list[int]]:
@@ -105,17 +106,21 @@ def assign(documents: DataFrame, shards: int = SHARDS, salt_groups: int = SALT_G
     shard_of = (salted.withColumn("rank", rank).join(plan, ["class", "salt"])
                 .select("digest", F.size(F.filter("upto", lambda x: x < F.col("rank")))
                         .alias("shard")))
+    row = F.monotonically_increasing_id()
+    # Rows are numbered in blocks of at most BLOCK_ROWS rows of one written partition.
+    block = F.struct(F.spark_partition_id().alias("part"), F.expr(
+        f"(monotonically_increasing_id() & {(1 << 33) - 1}) div {BLOCK_ROWS}").alias("nth"))
     placed = materialize(rows.join(shard_of, "digest").select(
-        "doc_id", "size", "text_crc32", "shard", F.spark_partition_id().alias("part"),
-        F.monotonically_increasing_id().alias("row")), "shard-placed")
-    counts = placed.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("shard").orderBy("part").rowsBetween(
+        "doc_id", "size", "text_crc32", "shard", block.alias("block"), row.alias("row")),
+        "shard-placed")
+    counts = placed.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("shard").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1)
-    first = counts.select(F.col("shard").alias("s"), F.col("part").alias("p"),
+    first = counts.select(F.col("shard").alias("s"), F.col("block").alias("b"),
                           F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    here = F.row_number().over(Window.partitionBy("part", "shard").orderBy("row"))
+    here = F.row_number().over(Window.partitionBy("block", "shard").orderBy("row"))
     return (placed.withColumn("here", here)
-            .join(first, (F.col("shard") == F.col("s")) & (F.col("part") == F.col("p")))
+            .join(first, (F.col("shard") == F.col("s")) & (F.col("block") == F.col("b")))
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"),
                     F.col("shard").cast("int").alias("shard"),
                     (F.col("first") + F.col("here") - 1).cast("long").alias("slot"),

@@ -67,6 +67,8 @@ SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "dou
 def spark_type_as_duck(t: str) -> str:
     if t.startswith("decimal("):
         return "DECIMAL" + t[len("decimal"):].replace(" ", "")
+    if t.startswith("array<"):
+        return spark_type_as_duck(t[len("array<"):-1]) + "[]"
     return SPARK_TO_DUCK.get(t, t.upper())
 
 

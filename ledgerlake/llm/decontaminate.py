@@ -91,33 +91,47 @@ def items_of(benchmark: DataFrame) -> DataFrame:
             .withColumn("item", F.xxhash64(F.to_json("words"))))
 
 
+def windows_of(docs: DataFrame, seeds: DataFrame, small: bool) -> DataFrame:
+    """id, digest, start, n, words of every window that a seed (shingle, at, n) fixes.
+
+    With few seeds one pass does it: the broadcast join sits above the generator in one
+    stage and cuts the words of a window out of the row at hand.  Otherwise shingles are
+    shuffled without the words, and the texts of documents with a window are read again.
+    """
+    size = F.size("words")
+    start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("size") - F.col("n")))
+
+    def cut(words: str) -> Column:
+        return F.slice(words, F.col("start") + 1, F.col("n")).alias("words")
+
+    keys = ["id", "digest", "start", "n"]
+    carried = ["id", "digest", *(["words"] if small else [])]
+    hits = (docs.select(*carried, size.alias("size"),
+                        F.posexplode(shingles_of(F.col("words"))).alias("pos", "shingle"))
+            .join(F.broadcast(seeds) if small else seeds, "shingle").filter("n <= size")
+            .withColumn("start", start))
+    if small:
+        return hits.select(*keys, cut("words")).dropDuplicates(keys)
+    wanted = hits.select(*keys).distinct().groupBy("id", "digest").agg(
+        F.collect_list(F.struct("start", "n")).alias("windows"))
+    w = wanted.alias("w")
+    return (docs.alias("d").join(w, F.col("d.id").eqNullSafe(F.col("w.id"))
+                                 & (F.col("d.digest") == F.col("w.digest")))
+            .select("d.id", "d.digest", "d.words", F.explode("w.windows").alias("at"))
+            .select("id", "digest", "at.start", "at.n", "words")
+            .select(*keys, cut("words")).dropDuplicates(keys))
+
+
 def matches(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
-            radius: int = RADIUS) -> DataFrame:
+            radius: int = RADIUS, broadcast_shingles: int = BROADCAST_SHINGLES) -> DataFrame:
     """id, digest, start (word), n, item_ids, similarity of every matching window."""
     items = materialize(items_of(benchmark), "bench-items")
     seeds = (items.select("n", F.posexplode("shingles").alias("at", "shingle"))
              .select("shingle", "at", "n").distinct())
-    if seeds.count() <= BROADCAST_SHINGLES:
-        seeds = F.broadcast(seeds)
     docs = (documents.filter(F.col("text").isNotNull())
             .select(F.col("doc_id").alias("id"), text_digest(F.col("text")).alias("digest"),
                     words_of(F.col("text")).alias("words")))
-    size = F.size("words")
-    places = (docs.select("id", "digest", size.alias("size"),
-                          F.posexplode(shingles_of(F.col("words"))).alias("pos", "shingle"))
-              .join(seeds, "shingle").filter("n <= size")
-              .select("id", "digest", "n", F.greatest(
-                  F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("size") - F.col("n")))
-                  .alias("start")).distinct())
-    windows = materialize(places, "bench-windows")
-    wanted = windows.groupBy("id", "digest").agg(
-        F.collect_set(F.struct("start", "n")).alias("windows"))
-    x = docs.dropDuplicates(["id", "digest"]).alias("d").join(
-        wanted.alias("w"), F.col("d.id").eqNullSafe(F.col("w.id"))
-        & (F.col("d.digest") == F.col("w.digest")))
-    cut = (x.select("d.id", "d.digest", "d.words", F.explode("w.windows").alias("at"))
-           .select("id", "digest", "at.start", "at.n",
-                   F.slice("words", F.col("at.start") + 1, F.col("at.n")).alias("words")))
+    cut = windows_of(docs, seeds, seeds.count() <= broadcast_shingles)
     # Equal windows need one look each; what follows works on distinct word sequences.
     cut = materialize(cut.withColumn("window", text_digest(F.to_json("words"))), "bench-cut")
     one = (cut.select("window", "n", "words").dropDuplicates(["window"])

@@ -174,6 +174,8 @@ def test_decontaminate_edges(spark):
     assert got == Counter({(1, True, (1, 5)): 1, (2, False, ()): 1, (3, False, ()): 1,
                            (4, False, ()): 1, (5, False, ()): 1, (6, True, (1, 5)): 2,
                            (None, True, (1, 5)): 1, (7, True, (1, 5)): 1, (8, False, ()): 1})
+    one, two = (decontaminate.matches(d, b, broadcast_shingles=k).collect() for k in (10 ** 6, 0))
+    assert sorted(map(repr, one)) == sorted(map(repr, two)) and one
     clean = decontaminate.keep_clean(d, b)
     assert clean.columns == d.columns
     assert sorted(r["doc_id"] for r in clean.collect()) == [2, 3, 4, 5, 8]

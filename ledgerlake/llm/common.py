@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ledgerlake.session import ship_package
 
@@ -32,10 +34,8 @@ def map_rows(df: DataFrame, fn: Callable[[Iterable[tuple]], Iterator[tuple]], sc
     Rows travel as Arrow batches; output rows are regrouped into batches of at
     most 2000, so a task never holds more than a few batches.
     """
-    spark = df.sparkSession
-    ship_package(spark)
-    out = spark.createDataFrame([], schema).schema
-    from pyspark.sql.pandas.types import to_arrow_schema
+    ship_package(df.sparkSession)
+    out = StructType.fromDDL(schema)
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

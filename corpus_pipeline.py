@@ -27,13 +27,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(docs)
-    emptied = (F.size("deleted_lines") > 0) & ~F.regexp_like("text", F.lit(line_dedup.WORD))
-    out = out.filter(~F.coalesce(emptied, F.lit(False)))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("deleted_lines") > 0, F.length("text"))
-                             .otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    out = line_dedup.rewritten(docs)
+    changed = F.col("gone").isNotNull()
+    out = out.filter(~(changed & ~F.regexp_like("text", F.lit(line_dedup.WORD))))
+    new = {"text": F.col("text"), "n_chars": F.when(changed, F.length("text")).otherwise(
+        F.col("row.n_chars") if "n_chars" in docs.columns else F.lit(None))}
+    return out.select(*[new.get(f.name, F.col(f"row.`{f.name}`")).cast(f.dataType).alias(f.name)
+                        for f in docs.schema])
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,6 +27,11 @@ def text_digest(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of a row as one struct, so that helper columns cannot clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def map_rows(df: DataFrame, fn: Callable[[Iterable[tuple]], Iterator[tuple]], schema: str
              ) -> DataFrame:
     """Run ``fn`` (an iterator of row tuples to an iterator of row tuples) in each task.

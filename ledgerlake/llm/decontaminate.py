@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import text_digest
+from ledgerlake.llm.common import text_digest, whole_row
 from ledgerlake.session import materialize
 
 SHINGLE = 5
@@ -182,6 +182,7 @@ def keep_clean(documents: DataFrame, benchmark: DataFrame, threshold: float = TH
                ) -> DataFrame:
     """The documents (all their columns) without a matching window."""
     f = contaminated(documents, benchmark, threshold).select("id", "digest")
-    d = documents.withColumn("_digest", text_digest(F.col("text")))
-    return d.join(f, d["doc_id"].eqNullSafe(f["id"]) & (d["_digest"] == f["digest"]),
-                  "left_anti").drop("_digest")
+    d = documents.select(whole_row(documents).alias("row"), F.col("doc_id").alias("doc"),
+                         text_digest(F.col("text")).alias("key"))
+    return d.join(f, d["doc"].eqNullSafe(f["id"]) & (d["key"] == f["digest"]),
+                  "left_anti").select("row.*")

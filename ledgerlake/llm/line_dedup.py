@@ -30,7 +30,7 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import map_rows, text_digest
+from ledgerlake.llm.common import map_rows, text_digest, whole_row
 from ledgerlake.session import materialize
 
 MIN_WORDS = 5
@@ -175,23 +175,35 @@ def deletions(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                  F.array_sort(F.collect_set("early_id")).alias("sources")))
 
 
-def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``documents`` with the text rewritten, plus n_lines, deleted_lines and deleted_from."""
-    gone = deletions(documents, min_words).select(
-        F.col("id").alias("_id"), F.col("digest").alias("_digest"),
-        F.col("lines").alias("deleted_lines"), F.col("sources").alias("deleted_from"))
-    docs = documents.withColumn("_key", text_digest(F.col("text")))
+def rewritten(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """row (all columns of a document as a struct), text (rewritten), gone (line numbers or
+    NULL), sources (earlier doc_ids or NULL) of every document row."""
+    gone = deletions(documents, min_words)
+    docs = documents.select(whole_row(documents).alias("row"), F.col("doc_id").alias("doc"),
+                            text_digest(F.col("text")).alias("key"))
     # A partition of ``gone`` (line numbers) is hashed; texts stream past it unsorted.
-    joined = docs.join(gone.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(gone["_id"])
-                       & (docs["_key"] == gone["_digest"]), "left")
-    lines = F.split("text", "\n", -1)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "deleted_lines")
-    # One pass over the array of lines: it is the second argument of one lambda.
+    joined = docs.join(gone.hint("shuffle_hash"), docs["doc"].eqNullSafe(gone["id"])
+                       & (docs["key"] == gone["digest"]), "left")
+    text = F.col("row.text")
+    lines = F.split(text, "\n", -1)
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "lines")
+    # One split for all lines of a text: the array is the argument of a lambda.
     kept = F.element_at(F.transform(F.array(lines), lambda ls: F.array_join(
         F.transform(stay, lambda i: F.get(ls, i)), "\n")), 1)
-    return joined.select(
-        *[F.when(F.col("deleted_lines").isNull(), F.col("text")).otherwise(kept).alias("text")
-          if c == "text" else docs[c] for c in documents.columns],
-        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce("deleted_lines", F.array().cast("array<int>")).alias("deleted_lines"),
-        F.coalesce("deleted_from", F.array().cast("array<long>")).alias("deleted_from"))
+    return joined.select("row", F.when(F.col("lines").isNull(), text).otherwise(kept).alias("text"),
+                         F.col("lines").alias("gone"), "sources")
+
+
+def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``documents`` with the text rewritten, plus n_lines, deleted_lines and deleted_from.
+
+    Columns of ``documents`` with one of these three names are replaced.
+    """
+    lines = F.split("row.text", "\n", -1)
+    report = {"n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"),
+              "deleted_lines": F.coalesce("gone", F.array().cast("array<int>")),
+              "deleted_from": F.coalesce("sources", F.array().cast("array<long>"))}
+    return rewritten(documents, min_words).select(
+        *[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c)
+          for c in documents.columns if c not in report],
+        *[v.alias(c) for c, v in report.items()])

@@ -45,7 +45,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import WordHash, map_rows, mix64, shingle_hashes, text_digest
+from ledgerlake.llm.common import (WordHash, map_rows, mix64, shingle_hashes, text_digest,
+                                   whole_row)
 from ledgerlake.llm.components import components
 from ledgerlake.session import materialize
 
@@ -289,16 +290,17 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
 
 def keep_one(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents (all their columns) with one row of each class; NULL texts all stay."""
-    docs = documents.withColumn("_digest", text_digest(F.col("text")))
-    ids = (documents.select("doc_id", text_digest(F.col("text")).alias("digest"))
-           .filter("digest IS NOT NULL").groupBy("digest")
-           .agg(F.min(F.col("doc_id")).alias("doc_id")))
-    linked = classes(documents, threshold)
-    best = (ids.join(linked, "digest", "left")
+    docs = documents.select(whole_row(documents).alias("row"), F.col("doc_id").alias("id"),
+                            text_digest(F.col("text")).alias("digest"))
+    texts = (documents.select("doc_id", text_digest(F.col("text")).alias("digest"))
+             .filter("digest IS NOT NULL").groupBy("digest")
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("d")))
+    best = (texts.join(classes(documents, threshold), "digest", "left")
             .groupBy(F.coalesce("class", "digest").alias("class"))
-            .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("best"))
-            .select(F.col("best.doc_id").alias("_id"), F.col("best.digest").alias("_best")))
-    stay = docs.join(best, docs["doc_id"].eqNullSafe(best["_id"])
-                     & (docs["_digest"] == best["_best"]), "left_semi")
-    return (stay.dropDuplicates(["doc_id", "_digest"])
-            .unionByName(docs.filter("_digest IS NULL")).drop("_digest"))
+            .agg(F.min(F.struct("d", "digest")).alias("best"))
+            .select(F.col("best.d.doc_id").alias("best_id"),
+                    F.col("best.digest").alias("best_digest")))
+    stay = docs.join(best, docs["id"].eqNullSafe(best["best_id"])
+                     & (docs["digest"] == best["best_digest"]), "left_semi")
+    return (stay.dropDuplicates(["id", "digest"]).select("row")
+            .unionByName(docs.filter("digest IS NULL").select("row")).select("row.*"))

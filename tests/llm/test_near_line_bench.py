@@ -25,8 +25,9 @@ def docs(spark, rows, extra=True):
     """Documents with the given (doc_id, text) and columns that clash with inner names."""
     schema = "doc_id long, text string"
     if extra:
-        schema += ", lines string, words int, digest string, n long, class string, id long"
-        rows = [(*r, "x", 1, "d", 2, "c", 3) for r in rows]
+        schema += (", lines string, words int, digest string, n long, class string, id long"
+                   ", row string, key string, _digest string")
+        rows = [(*r, "x", 1, "d", 2, "c", 3, "r", "k", "_") for r in rows]
     return spark.createDataFrame(rows, schema)
 
 

@@ -74,6 +74,44 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_chat_format, op3_near_dedup, op4_decontaminate, op5_line_dedup, op6_pack,
     op7_url_filter, op8_quality_rules, op9_secret_scan, op10_shard)}
+#: Kind, pattern and condition on a match ``x``, in order (fixed values, for SQL).
+_SECRETS = [
+    ("assign", r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
+     r"|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\x20*[:=]\x20*[\"'']?"
+     r"([A-Za-z0-9+/_.=-]+)",
+     r"length(regexp_extract(x, '[:=]\x20*[\"'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 6"),
+    ("access", "AKIA[A-Z0-9]+", "length(x) >= 20"),
+    ("hex", "[0-9a-f]+", "length(x) >= 24"),
+    ("github", "gh[pousr]_[A-Za-z0-9]+", "length(x) >= 24"),
+    ("slack", "xox[abprs]-[A-Za-z0-9-]+", "length(x) >= 15"),
+    ("pem", "-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", "true"),
+]
+
+
+def _secrets_sql() -> str:
+    """Matches and the text between them give the offsets of every match."""
+    spans = "\n  UNION ALL\n".join(f"""
+    SELECT doc_id, '{kind}' AS kind, {k} AS ord, start, start + length(x) AS stop
+    FROM (SELECT doc_id, x, sum(length(gap) + length(x)) OVER (PARTITION BY doc_id ORDER BY i)
+                            - length(x) AS start
+          FROM (SELECT doc_id, unnest(m) AS x, unnest(gaps[1:len(m)]) AS gap,
+                       unnest(range(len(m))) AS i
+                FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS m,
+                             string_split_regex(text, '{pattern}') AS gaps
+                      FROM documents)))
+    WHERE {keep}""" for k, (kind, pattern, keep) in enumerate(_SECRETS))
+    return f"""
+  WITH spans AS ({spans}),
+  named AS (SELECT *, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS name
+            FROM spans)
+  SELECT d.doc_id, count_if(kind = 'assign') AS n_assign, count_if(kind = 'access') AS n_access,
+         count_if(kind = 'hex') AS n_hex,
+         sha256(ifnull(string_agg(name, ',' ORDER BY start, ord) FILTER (WHERE ord < 3), ''))
+           AS base_sha256,
+         ifnull(string_agg(name, ',' ORDER BY start, ord), '') AS spans
+  FROM documents d LEFT JOIN named s ON s.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
 #: DuckDB statements where SQL can express a query; the others are tested by brute force.
 ORACLE_SQL = {
     "op2_chat_format": """
@@ -157,4 +195,5 @@ ORACLE_SQL = {
          CAST(ifnull(n_windows, 0) AS BIGINT) AS n_windows,
          ifnull(item_ids, []) AS item_ids, ifnull(similarity, 0.0) AS similarity
   FROM documents d LEFT JOIN found f ON f.doc_id = d.doc_id""",
+    "op9_secret_scan": _secrets_sql(),
 }

@@ -104,8 +104,9 @@ def _secrets_sql() -> str:
   WITH spans AS ({spans}),
   named AS (SELECT *, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS name
             FROM spans)
-  SELECT d.doc_id, count_if(kind = 'assign') AS n_assign, count_if(kind = 'access') AS n_access,
-         count_if(kind = 'hex') AS n_hex,
+  SELECT d.doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign,
+         count(*) FILTER (WHERE kind = 'access') AS n_access,
+         count(*) FILTER (WHERE kind = 'hex') AS n_hex,
          sha256(ifnull(string_agg(name, ',' ORDER BY start, ord) FILTER (WHERE ord < 3), ''))
            AS base_sha256,
          ifnull(string_agg(name, ',' ORDER BY start, ord), '') AS spans

@@ -60,8 +60,11 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_time: s
 
     last_right = F.struct(F.col(t).alias("t"), *[F.col(x) for x in ties],
                           F.col("_val").alias("v"))
+    # Reading ``_left`` here keeps the columns of both readers of ``both`` alike, so that
+    # Spark runs their exchange once and reuses it.
     in_bucket = both.groupBy(*by, "_b").agg(
-        F.max(F.when(F.col("_kind") == 0, last_right)).alias("_last"))
+        F.max(F.when(F.col("_kind") == 0, last_right)).alias("_last"),
+        F.count("_left").alias("_lefts")).filter("_lefts >= 0")
     earlier = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = in_bucket.select(*by, "_b", F.last("_last.v", ignorenulls=True).over(earlier)
                              .alias("_carry"))

@@ -148,6 +148,13 @@ def quality_report(m: Models) -> DataFrame:
         for table in quality.MODEL_RULES])
 
 
+def damaged_report(m: Models) -> DataFrame:
+    """The ingest checks over damaged batches, and over a statement without rows."""
+    empty = m.bronze("bank_transactions").filter(F.col("year_month") < "1900-01")
+    return quality.ingest_report(roundtrips.damaged_bronze(m)).unionByName(quality.check(
+        empty, "empty_upload", quality.INGEST_RULES["bank_transactions"]))
+
+
 def trade_sequence(stg_trades: DataFrame) -> DataFrame:
     """Ledger order number per (symbol, source) (W2), row_hash as final tie-break."""
     rows = (stg_trades.filter(is_ledger_action("action"))
@@ -207,7 +214,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_export_contents": _q(lambda m: roundtrips.gold_rows(roundtrips.gold_export(m)),
                                share=True),
     "ingest_report": _q(lambda m: quality.ingest_report(m.all_bronze())),
-    "damaged_ingest_report": _q(lambda m: quality.ingest_report(roundtrips.damaged_bronze(m))),
+    "damaged_ingest_report": _q(damaged_report),
     "statement_span": _q(lambda m: quality.statement_span(m.bronze("bank_transactions"),
                                                           "transaction_date")),
     "price_date_bounds": _q(lambda m: quality.date_bounds(

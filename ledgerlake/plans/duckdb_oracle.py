@@ -553,7 +553,14 @@ CTES["damaged_prices"] = """
     CASE WHEN day(price_date) <> 13 THEN close END AS close,
     CASE WHEN day(price_date) = 14 THEN DATE '1980-01-01' ELSE price_date END AS price_date)
   FROM bronze_prices"""
-FINAL["damaged_ingest_report"] = _ingest("damaged_bank", "damaged_trades", "damaged_prices")
+FINAL["damaged_ingest_report"] = "\nUNION ALL\n".join([
+    _ingest("damaged_bank", "damaged_trades", "damaged_prices"),
+    _report("empty_upload", "(SELECT 1)", """
+non_empty - error = 1
+not_null transaction_date error = 0
+numeric amount error = 0
+duplicates row_hash warn = 0
+max_span transaction_date warn = 0""")])
 FINAL["null_price_or_quantity"] = f"""
   SELECT trade_date, account, action, symbol, row_hash FROM damaged_trades
   WHERE {_LEDGER} AND price + quantity IS NULL"""

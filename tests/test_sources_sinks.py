@@ -212,6 +212,14 @@ def test_gate_stops_before_anything_is_written(spark, tmp_dir):
         ingest_export(spark, "chase", empty, f"{tmp_dir}/lake/none")
 
 
+def test_damage_is_found_by_every_rule(spark):
+    from ledgerlake.catalog import QUERIES
+    from ledgerlake.operators.quality import INGEST_RULES
+    out = QUERIES["damaged_ingest_report"](spark, "/root/testdata/sf0.001").collect()
+    found = {(r.rule, r.column_name) for r in out if r.failing_rows > 0}
+    assert found == {(x.kind, x.column) for rules in INGEST_RULES.values() for x in rules}
+
+
 def test_refresh_window(spark):
     from ledgerlake.plans.ingest import backfill_window
     trades = spark.createDataFrame([(dt.date(2026, 1, 9),), (dt.date(2026, 1, 2),), (None,)],

@@ -1,11 +1,12 @@
 """Benchmark decontamination with SimHash over item-sized windows (DataFrame functions only).
 
-1. Windows.  An item of n words is compared with document windows of n words.  A window
-   with a similarity above 0 shares a shingle with its item, so windows lie where a
-   shingle of an item of that size occurs, shifted to the item's start (and to the
-   text's ends where it would stick out).  Document shingles meet the item shingles in
-   a join; the item side is broadcast only if a count shows ``BROADCAST_SHINGLES`` rows
-   at most, beyond that Spark shuffles both sides.
+1. Windows.  An item of n words is compared with every document window of n words, at
+   whatever word it starts.  Both have m = n - SHINGLE + 1 shingles, so a window with a
+   similarity of t holds at least 2 t m / (1 + t) places (8/9 of m for 0.8) with a shingle
+   of its item.  Document shingles meet the item shingles in a join, and only windows with
+   fewer such places are left out; this bound is exact, so no window at the threshold is
+   lost, in whatever order the item's parts stand.  The item side is broadcast only if a
+   count shows ``BROADCAST_SHINGLES`` rows at most, beyond that Spark shuffles both sides.
 2. Fingerprints.  64-bit SimHash of a window's words, each weighted by its count.
 3. Multi-index.  Fingerprints are cut into 8 blocks of 8 bits.  Two fingerprints within
    ``RADIUS`` = 23 bits have a block within 23 // 8 = 2 bits; every item is stored under
@@ -18,6 +19,10 @@
 Words are ``[\\p{L}\\p{N}]+`` of the lower-cased text.  Items of fewer than SHINGLE words
 (also NULL and empty ones) have no shingle and match nothing.  NULL and empty documents
 are clean.  Rows with equal doc_id and text, and NULL doc_ids, are handled like others.
+
+``contaminated``, ``item_ids`` and ``similarity`` follow from all matching windows.
+``n_windows`` counts those that start where a shared shingle puts the start of an item
+(``placed``), as the SQL statement does; it is 0 if only others match.
 """
 
 from __future__ import annotations
@@ -91,47 +96,72 @@ def items_of(benchmark: DataFrame) -> DataFrame:
             .withColumn("item", F.xxhash64(F.to_json("words"))))
 
 
-def windows_of(docs: DataFrame, seeds: DataFrame, small: bool) -> DataFrame:
-    """id, digest, start, n, words of every window that a seed (shingle, at, n) fixes.
+def starts_of(places: Column, n: Column, size: Column, threshold: float) -> Column:
+    """Starts of all windows of n words with enough of the sorted ``places``.
 
-    With few seeds one pass does it: the broadcast join sits above the generator in one
-    stage and cuts the words of a window out of the row at hand.  Otherwise shingles are
-    shuffled without the words, and the texts of documents with a window are read again.
+    Places j to j + need - 1 lie together in the windows that start at ``low`` to ``high``.
     """
-    size = F.size("words")
-    start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("size") - F.col("n")))
+    m = n - (SHINGLE - 1)
+    need = F.greatest(F.lit(1), F.ceil(m * (2 * threshold / (1 + threshold)) - 1e-9).cast("int"))
+    last = F.size(places) - need
+
+    def run(j: Column) -> Column:
+        low = F.greatest(F.lit(0), F.get(places, j + need - 1) - m + 1)
+        high = F.least(F.get(places, j), size - n)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    return F.when(last < 0, F.array().cast("array<int>")).otherwise(
+        F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), last), run))))
+
 
-    def cut(words: str) -> Column:
-        return F.slice(words, F.col("start") + 1, F.col("n")).alias("words")
+def windows_of(docs: DataFrame, seeds: DataFrame, small: bool, threshold: float) -> DataFrame:
+    """id, digest, start, n, placed, words of every window that can reach the threshold.
 
-    keys = ["id", "digest", "start", "n"]
-    carried = ["id", "digest", *(["words"] if small else [])]
-    hits = (docs.select(*carried, size.alias("size"),
-                        F.posexplode(shingles_of(F.col("words"))).alias("pos", "shingle"))
+    ``docs`` has id, digest and text.  Shingles are met without the words; the texts of
+    documents with a window are read again.
+    """
+    start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("size") - F.col("n")))
+    words = docs.select("id", "digest", words_of(F.col("text")).alias("words"))
+    hits = (words.select("id", "digest", F.size("words").alias("size"),
+                         F.posexplode(shingles_of(F.col("words"))).alias("pos", "shingle"))
             .join(F.broadcast(seeds) if small else seeds, "shingle").filter("n <= size")
             .withColumn("start", start))
-    if small:
-        return hits.select(*keys, cut("words")).dropDuplicates(keys)
-    wanted = hits.select(*keys).distinct().groupBy("id", "digest").agg(
-        F.collect_list(F.struct("start", "n")).alias("windows"))
+    # Places of one document: bounded by its text and the item sizes, not by the corpus.
+    wanted = (hits.groupBy("id", "digest", "size", "n")
+              .agg(F.array_sort(F.collect_set("pos")).alias("places"),
+                   F.collect_set("start").alias("seeded"))
+              .withColumn("starts", starts_of(F.col("places"), F.col("n"), F.col("size"), threshold))
+              .filter(F.size("starts") > 0)
+              .select("id", "digest", "n", *[f("starts", "seeded").alias(c) for c, f in (
+                  ("placed", F.array_intersect), ("others", F.array_except))]))
+    wanted = materialize(wanted, "bench-windows").groupBy("id", "digest").agg(
+        F.collect_list(F.struct("n", "placed", "others")).alias("windows"))
     w = wanted.alias("w")
+
+    def each(starts: Column, n: Column, placed: bool) -> Column:
+        return F.transform(starts, lambda s: F.struct(
+            s.alias("start"), n.alias("n"), F.lit(placed).alias("placed")))
+
+    every = F.flatten(F.transform("windows", lambda x: F.concat(
+        each(x["placed"], x["n"], True), each(x["others"], x["n"], False))))
     return (docs.alias("d").join(w, F.col("d.id").eqNullSafe(F.col("w.id"))
                                  & (F.col("d.digest") == F.col("w.digest")))
-            .select("d.id", "d.digest", "d.words", F.explode("w.windows").alias("at"))
-            .select("id", "digest", "at.start", "at.n", "words")
-            .select(*keys, cut("words")).dropDuplicates(keys))
+            .select("d.id", "d.digest", "d.text", "windows").dropDuplicates(["id", "digest"])
+            .select("id", "digest", words_of(F.col("text")).alias("words"),
+                    F.explode(every).alias("at"))
+            .select("id", "digest", "at.start", "at.n", "at.placed",
+                    F.slice("words", F.col("at.start") + 1, F.col("at.n")).alias("words")))
 
 
 def matches(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
             radius: int = RADIUS, broadcast_shingles: int = BROADCAST_SHINGLES) -> DataFrame:
-    """id, digest, start (word), n, item_ids, similarity of every matching window."""
+    """id, digest, start (word), n, placed, item_ids, similarity of every matching window."""
     items = materialize(items_of(benchmark), "bench-items")
     seeds = (items.select("n", F.posexplode("shingles").alias("at", "shingle"))
              .select("shingle", "at", "n").distinct())
     docs = (documents.filter(F.col("text").isNotNull())
-            .select(F.col("doc_id").alias("id"), text_digest(F.col("text")).alias("digest"),
-                    words_of(F.col("text")).alias("words")))
-    cut = windows_of(docs, seeds, seeds.count() <= broadcast_shingles)
+            .select(F.col("doc_id").alias("id"), text_digest(F.col("text")).alias("digest"), "text"))
+    cut = windows_of(docs, seeds, seeds.count() <= broadcast_shingles, threshold)
     # Equal windows need one look each; what follows works on distinct word sequences.
     cut = materialize(cut.withColumn("window", text_digest(F.to_json("words"))), "bench-cut")
     one = (cut.select("window", "n", "words").dropDuplicates(["window"])
@@ -152,14 +182,15 @@ def matches(documents: DataFrame, benchmark: DataFrame, threshold: float = THRES
             .withColumn("similarity", overlap(F.col("wanted"), shingles_of(F.col("words"))))
             .filter(F.col("similarity") >= threshold)
             .select("window", "item_ids", "similarity"))
-    return cut.select("id", "digest", "start", "n", "window").join(same, "window").drop("window")
+    return (cut.select("id", "digest", "start", "n", "placed", "window").join(same, "window")
+            .drop("window"))
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD
                  ) -> DataFrame:
     """id, digest, n_windows, item_ids, similarity (the largest) of each tainted document."""
     return (matches(documents, benchmark, threshold).groupBy("id", "digest")
-            .agg(F.countDistinct("start", "n").alias("n_windows"),
+            .agg(F.countDistinct(F.when(F.col("placed"), F.struct("start", "n"))).alias("n_windows"),
                  F.array_sort(F.array_distinct(F.flatten(F.collect_set("item_ids"))))
                  .alias("item_ids"),
                  F.max("similarity").alias("similarity")))

@@ -184,6 +184,42 @@ def test_decontaminate_edges(spark):
     assert decontaminate.keep_clean(d, b.limit(0)).count() == len(rows)
 
 
+def test_decontaminate_parts_in_another_order(spark):
+    rng = random.Random(12)
+    items = [(k, " ".join(rng.choices(WORDS, k=n))) for k, n in enumerate((40, 59, 59))]
+    words = [t.split() for _, t in items]
+    noise = rng.choices(WORDS, k=300)
+    moved = [words[0][20:] + words[0][:20], words[1][12:] + words[1][:12],
+             words[2][30:45] + words[2][:15] + words[2][15:30] + words[2][45:]]
+    rows = [(10 * k + j, " ".join(before + m + after)) for k, m in enumerate(moved)
+            for j, (before, after) in enumerate([([], []), (noise, noise), (noise, [])])]
+    rows += [(90, " ".join(noise)), (91, " ".join(noise + moved[0][:25] + noise))]
+    d, b = docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    want = brute_leaks(rows, items)
+    assert want[1] == [0] and want[11] == [1] and not want[91]
+    got = {r["doc_id"]: r for r in decontaminate.judge(d, b).collect()}
+    assert {k: r["item_ids"] for k, r in got.items()} == want
+    assert all(r["contaminated"] == bool(want[k]) for k, r in got.items())
+
+
+def test_decontaminate_cuts_every_window_at_the_threshold(spark):
+    rng = random.Random(13)
+    item = rng.choices(WORDS, k=40)
+    text = rng.choices(WORDS, k=90) + item + rng.choices(WORDS, k=90)
+
+    def bag_of(w):
+        return Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4))
+
+    def sim(s):
+        x, y = bag_of(text[s:s + 40]), bag_of(item)
+        return sum((x & y).values()) / sum((x | y).values())
+
+    b = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r["start"]: r["similarity"] for r in
+           decontaminate.matches(docs(spark, [(1, " ".join(text))]), b).collect()}
+    assert got == {s: sim(s) for s in range(len(text) - 39) if sim(s) >= 0.8} and len(got) > 1
+
+
 @pytest.mark.parametrize("bits", [0, 7, 23])
 def test_multi_index_finds_every_fingerprint_in_the_radius(bits):
     rng = random.Random(bits)

@@ -11,7 +11,9 @@
 3. Both documents' shared lines are aligned with patience diff (lines unique in both
    are anchors; the stretches between them are aligned in the same way).
 4. Aligned runs without a gap are common blocks; a block of ``MIN_WORDS`` words or
-   more is deleted from the later document.  Since every block is held by its first
+   more is deleted from the later document.  Lines that are left are looked up in the
+   whole earlier document, so blocks in another order and further copies of a block go,
+   too, until the pair has no common block.  Since every block is held by its first
    document, nothing is deleted everywhere.
 
 Documents are ordered by (doc_id, digest of the text); rows with equal doc_id and text
@@ -99,10 +101,33 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def runs_of(lines: list[tuple], k: int, min_words: int) -> Iterator[tuple]:
+    """Hashes of the shortest runs of adjacent lines with line ``k`` and ``min_words`` words.
+
+    No run can lose an end other than ``k``, so it has ``min_words`` lines at most; each
+    block of ``min_words`` words or more with line ``k`` contains one.
+    """
+    first, left = k, lines[k][2]
+    while True:
+        last, words = k, left
+        while words < min_words and last + 1 < len(lines) \
+                and lines[last + 1][0] == lines[last][0] + 1:
+            last += 1
+            words += lines[last][2]
+        if words >= min_words and (first == k or words - lines[first][2] < min_words):
+            yield tuple(x[3] for x in lines[first:last + 1])
+        if left >= min_words or first == 0 or lines[first - 1][0] != lines[first][0] - 1:
+            return
+        first -= 1
+        left += lines[first][2]
+
+
 def common_blocks(early: list[tuple], late: list[tuple], min_words: int) -> list[int]:
-    """Line numbers of ``late`` in aligned blocks of ``min_words`` words or more.
+    """Line numbers of ``late`` in common blocks of ``min_words`` words or more.
 
-    Lines are (place among the lines with a word, line number, words, hash).
+    Lines are (place among the lines with a word, line number, words, hash).  Lines that
+    the alignment leaves are looked up in the whole earlier sequence, in any order and as
+    often as they come.
     """
     pairs = patience([x[3] for x in early], [x[3] for x in late])
     out: list[int] = []
@@ -117,7 +142,14 @@ def common_blocks(early: list[tuple], late: list[tuple], min_words: int) -> list
                 out += [late[k][1] for k in block]
             block = [] if j is None else [j]
         last = (i, j)
-    return out
+    gone = set(out)
+    known = {x[3] for x in early}
+    rest = [k for k, x in enumerate(late) if x[1] not in gone and x[3] in known]
+    if rest:
+        held = {r for k in range(len(early)) for r in runs_of(early, k, min_words)}
+        out += [late[k][1] for k in rest
+                if any(r in held for r in runs_of(late, k, min_words))]
+    return sorted(out)
 
 
 # --- Spark -----------------------------------------------------------------------------

@@ -138,6 +138,38 @@ def test_line_dedup_edges(spark):
     assert line_dedup.dedup_lines(docs(spark, [])).count() == 0
 
 
+def every_block(rows, min_words=5):
+    """(doc_id, text) without the lines in a block that an earlier document holds: plain loops
+    over all runs of lines, without the operator's code.  Unique, ordered doc_ids."""
+    seen, out = set(), []
+    for d, t in rows:
+        lines = t.split("\n")
+        full = [i for i, x in enumerate(lines) if x.split()]
+        runs = [(a, b, tuple(lines[i] for i in full[a:b])) for a in range(len(full))
+                for b in range(a + 1, len(full) + 1)
+                if sum(len(lines[i].split()) for i in full[a:b]) >= min_words]
+        gone = {full[i] for a, b, r in runs if r in seen for i in range(a, b)}
+        seen.update(r for *_, r in runs)
+        out.append((d, "\n".join(x for i, x in enumerate(lines) if i not in gone)))
+    return out
+
+
+def deduped(spark, rows):
+    return sorted((r["doc_id"], r["text"])
+                  for r in line_dedup.dedup_lines(docs(spark, rows)).collect())
+
+
+def test_line_dedup_crossed_and_repeated_blocks(spark):
+    p = [f"p{i} is a line of the passage" for i in range(10)]
+    q = [f"q{i} is a line of the other" for i in range(20)]
+    rows = [(1, p + q), (2, q + p), (3, ["new"] + p + ["x"] + p), (4, [q[0], "mid", q[0]]),
+            (5, [q[0], "between", q[1], "end"])]
+    rows = [(d, "\n".join(t)) for d, t in rows]
+    got = deduped(spark, rows)
+    assert got == every_block(rows)
+    assert dict(got)[2] == "" and dict(got)[3] == "new\nx"
+
+
 def test_patience_is_a_common_subsequence():
     rng = random.Random(4)
     for _ in range(300):

@@ -3,11 +3,14 @@
 1. Every line with a word is hashed (128 bits); lines that only one document holds
    are dropped by an aggregation with a map-side part, so a line that a third of all
    documents share is a handful of partial rows.
-2. Overlapping documents are found through shared rare lines: lines of ``MIN_WORDS``
-   words or more, which texts do not share by chance.  A line pairs each later
-   document with the *first* document that holds it, so a line held by n documents
+2. Overlapping documents are found through rare pieces: lines of ``MIN_WORDS`` words
+   or more and, around shorter lines, the shortest runs of adjacent shared lines that
+   reach ``MIN_WORDS`` words together (at most ``MIN_WORDS`` lines); texts do not share
+   either by chance.  Each common block is made of such pieces.  A piece pairs each later
+   document with the *first* document that holds it, so a piece held by n documents
    gives n - 1 pairs, not n * (n - 1) / 2, whatever its frequency; no line is left
-   out and there is no cap on holders.
+   out and there is no cap on holders.  So a line goes exactly if it stands in a block
+   that any earlier document holds.
 3. Both documents' shared lines are aligned with patience diff (lines unique in both
    are anchors; the stretches between them are aligned in the same way).
 4. Aligned runs without a gap are common blocks; a block of ``MIN_WORDS`` words or
@@ -180,14 +183,36 @@ def shared_lines(documents: DataFrame) -> DataFrame:
     return materialize(lines.join(holders, "hash"), "shared-lines")
 
 
+def run_pairs(own: DataFrame, min_words: int) -> DataFrame:
+    """late, early: a document and the first holder of one of its runs of several lines."""
+    def run(rows: Iterable[tuple]) -> Iterator[tuple]:
+        for doc, digest, *x in rows:
+            lines = list(zip(*x))
+            for r in {r for k, line in enumerate(lines) if line[2] < min_words
+                      for r in runs_of(lines, k, min_words)}:
+                yield doc, digest, hashlib.md5(b"".join(r)).digest()
+
+    short = own.filter(F.exists("lines", lambda x: x["words"] < min_words))
+    runs = materialize(map_rows(
+        short.select("key.id", "key.digest",
+                     *[F.col(f"lines.{c}").alias(c) for c in ("place", "line", "words", "hash")]),
+        run, "id long, digest binary, run binary"), "line-runs").select(
+            F.struct("id", "digest").alias("key"), "run")
+    holders = (runs.groupBy("run").agg(F.min("key").alias("first"), F.max("key").alias("last"))
+               .filter("first != last").select("run", "first"))
+    return (runs.join(holders, "run").filter(F.col("key") != F.col("first"))
+            .select(F.col("key").alias("late"), F.col("first").alias("early")))
+
+
 def deletions(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """key, lines (sorted line numbers to delete), sources (earlier doc_ids)."""
     shared = shared_lines(documents)
-    pairs = (shared.filter((F.col("words") >= min_words) & (F.col("key") != F.col("first")))
-             .select(F.col("key").alias("late"), F.col("first").alias("early")).distinct())
     # A document's own lines: bounded by its text, not by the corpus.
     own = (shared.groupBy("key")
            .agg(F.sort_array(F.collect_set(F.struct("place", "line", "words", "hash"))).alias("lines")))
+    pairs = (shared.filter((F.col("words") >= min_words) & (F.col("key") != F.col("first")))
+             .select(F.col("key").alias("late"), F.col("first").alias("early"))
+             .union(run_pairs(own, min_words)).distinct())
     both = (pairs.join(own.select(F.col("key").alias("early"), F.col("lines").alias("early_lines")),
                        "early")
             .join(own.select(F.col("key").alias("late"), F.col("lines").alias("late_lines")), "late")

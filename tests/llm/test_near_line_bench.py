@@ -170,6 +170,21 @@ def test_line_dedup_crossed_and_repeated_blocks(spark):
     assert dict(got)[2] == "" and dict(got)[3] == "new\nx"
 
 
+def test_line_dedup_short_lines_and_other_holders(spark):
+    verse = [f"a{i} b{i} c{i} d{i}" for i in range(15)]
+    long = "one two three four five six"
+    rows = [(1, verse), (2, ["top", *verse, "", "tail"]), (3, verse[4:5]), (4, [long]),
+            (5, ["x", long, "", "y"]), (6, ["x", "z"]), (7, ["new", "x", long, "y", "z"])]
+    rows = [(d, "\n".join(t)) for d, t in rows]
+    got = deduped(spark, rows)
+    assert got == every_block(rows)
+    assert dict(got)[2] == "top\n\ntail" and dict(got)[7] == "new\nz"
+    rng = random.Random(21)
+    pool = [" ".join(rng.choices(WORDS, k=rng.choice([1, 1, 2, 3, 4, 6]))) for _ in range(9)]
+    rows = [(i, "\n".join(rng.choices([*pool, ""], k=rng.randrange(1, 12)))) for i in range(60)]
+    assert deduped(spark, rows) == every_block(rows)
+
+
 def test_patience_is_a_common_subsequence():
     rng = random.Random(4)
     for _ in range(300):

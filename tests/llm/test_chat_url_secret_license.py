@@ -113,6 +113,20 @@ def test_url_model_on_hosts_outside_the_table():
     assert len(url_filter.labelled_urls()) < 600
 
 
+def test_url_labels_are_not_taken_from_the_pages(spark):
+    words = {w for h, _, y in url_filter.labelled_urls() if not y for w in re.split("[.-]", h)}
+    assert not words & {"ththth", "thther", "ththon"} and not hasattr(url_filter, "SYLLABLES")
+    assert not {"bets", "ads", "track"} & set(url_filter.BLOCK_WORDS)
+    model = url_filter.trained()
+    bad = ["cheap-casinos.example.org", "onlinepharmacy.example.com", "xxx-porno.example.org",
+           "pokerstakes.example.net", "fastpaydayloan.example.org"]
+    good = ["bookshop.example.org", "wood-carving.example.com", "peterson.example.net",
+            "botanical-society.example.org", "astronomy.example.com"]
+    assert not {h.split(".")[0] for h in bad + good} & words
+    assert [url_filter.probability(h, "/en/7", model) >= 0.5 for h in bad + good] == [True] * 5 + [
+        False] * 5
+
+
 # --- secrets ---------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|"""

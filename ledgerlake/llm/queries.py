@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import (chat_format, decontaminate, license_scan, line_dedup, near_dedup,
-                            packing, quality_rules, secret_scan, sharding, url_filter)
+from ledgerlake.llm import (centroids, chat_format, decontaminate, license_scan, line_dedup,
+                            merkle, near_dedup, packing, quality_rules, secret_scan, sharding,
+                            url_filter)
 from ledgerlake.llm.common import table
 
 
@@ -71,9 +72,20 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and inertia of every vector."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and check of every document."""
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_chat_format, op3_near_dedup, op4_decontaminate, op5_line_dedup, op6_pack,
-    op7_url_filter, op8_quality_rules, op9_secret_scan, op10_shard)}
+    op7_url_filter, op8_quality_rules, op9_secret_scan, op10_shard, op12_centroids,
+    op13_merkle)}
 #: Kind, pattern and condition on a match ``x``, in order (fixed values, for SQL).
 _SECRETS = [
     ("assign", r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
@@ -113,6 +125,42 @@ def _secrets_sql() -> str:
   FROM documents d LEFT JOIN named s ON s.doc_id = d.doc_id GROUP BY d.doc_id"""
 
 
+def _centroids_sql(k: int = 16, rounds: int = 3) -> str:
+    """Rounds spelled out: nearest by (distance, number), then floors of the means."""
+    steps = []
+    for r in range(rounds + 1):
+        if r:
+            steps.append(f"""
+  sums{r} AS (
+    SELECT c, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+    FROM (SELECT best.c AS c, unnest(q) AS x, unnest(range(64)) AS i FROM near{r - 1}) GROUP BY c, i),
+  c{r} AS (
+    SELECT o.c, ifnull(m.q, o.q) AS q FROM c{r - 1} o LEFT JOIN (
+      SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS q FROM sums{r} GROUP BY c) m
+    ON m.c = o.c)""")
+        steps.append(f"""
+  near{r} AS (
+    SELECT vec_id, any_value(v.q) AS q, min({{'d': CAST(list_sum(list_transform(list_zip(v.q, c.q),
+             lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT), 'c': c.c}}) AS best
+    FROM kept v, c{r} c GROUP BY vec_id)""")
+    return f"""
+  WITH kept AS (
+    SELECT vec_id, list_transform(embedding,
+             lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+    FROM embeddings
+    WHERE len(embedding) = 64
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  c0 AS (
+    SELECT CAST(row_number() OVER (ORDER BY h) - 1 AS INTEGER) AS c, q
+    FROM (SELECT sha256('1:' || vec_id) AS h, q FROM kept ORDER BY h LIMIT {k})),
+  {','.join(steps)}
+  SELECT n.vec_id, n.best.c AS cluster, n.best.d AS distance,
+         CAST(sum(n.best.d) OVER (PARTITION BY n.best.c) AS BIGINT) AS cluster_inertia,
+         CAST(sum(n.best.d) OVER () AS BIGINT) AS inertia,
+         sha256(array_to_string(c.q, ',')) AS centroid_sha256
+  FROM near{rounds} n JOIN c{rounds} c ON c.c = n.best.c"""
+
+
 #: DuckDB statements where SQL can express a query; the others are tested by brute force.
 ORACLE_SQL = {
     "op2_chat_format": """
@@ -197,4 +245,63 @@ ORACLE_SQL = {
          ifnull(item_ids, []) AS item_ids, ifnull(similarity, 0.0) AS similarity
   FROM documents d LEFT JOIN found f ON f.doc_id = d.doc_id""",
     "op9_secret_scan": _secrets_sql(),
+    "op12_centroids": _centroids_sql(),
+    "op13_merkle": r"""
+  WITH RECURSIVE fields AS (
+    SELECT doc_id, lang, n_chars, list_reduce(
+             list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+             lambda a, x: list_reduce(list_prepend(xor(a, x), range(8)), lambda b, i: xor(
+               b >> 1, if(b % 2 = 1, 3988292384, 0))), CAST(4294967295 AS BIGINT)) AS crc,
+           concat(octet_length(encode(CAST(doc_id AS VARCHAR))), ':', doc_id,
+                  ifnull(octet_length(encode(source)) || ':' || source, '-'),
+                  ifnull(octet_length(encode(lang)) || ':' || lang, '-')) AS a,
+           ifnull(octet_length(encode(text)) || ':' || text, '-') AS z
+    FROM documents),
+  leaves AS (
+    SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i,
+           count(*) OVER (PARTITION BY lang) AS n,
+           sha256(a || ifnull(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || z) AS leaf,
+           sha256(a || ifnull(length(CAST(n_chars + if(xor(crc, 4294967295) % 7 = 0, 1, 0) AS VARCHAR))
+             || ':' || (n_chars + if(xor(crc, 4294967295) % 7 = 0, 1, 0)), '-') || z) AS told
+    FROM fields),
+  nodes AS (
+    SELECT lang, 0 AS level, i, n, leaf AS h FROM leaves
+    UNION ALL
+    SELECT lang, level + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+    FROM nodes WHERE n > 1 GROUP BY lang, level, i // 2),
+  subroots AS (
+    SELECT lang, h, level AS top, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i,
+           count(*) OVER () AS n
+    FROM nodes WHERE n = 1),
+  tops AS (
+    SELECT 0 AS level, i, n, h FROM subroots
+    UNION ALL
+    SELECT level + 1, i // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY i))
+    FROM tops WHERE n > 1 GROUP BY level, i // 2),
+  steps AS (
+    SELECT l.doc_id, x.level, x.i % 2 AS side, y.h
+    FROM leaves l JOIN nodes x ON x.lang IS NOT DISTINCT FROM l.lang AND x.i = l.i >> x.level
+      LEFT JOIN nodes y ON y.lang IS NOT DISTINCT FROM x.lang AND y.level = x.level
+        AND y.i = xor(x.i, 1)
+    WHERE x.n > 1
+    UNION ALL
+    SELECT l.doc_id, s.top + x.level, x.i % 2, y.h
+    FROM leaves l JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang
+      JOIN tops x ON x.i = s.i >> x.level
+      LEFT JOIN tops y ON y.level = x.level AND y.i = xor(x.i, 1)
+    WHERE x.n > 1),
+  folds AS (
+    SELECT doc_id, 0 AS level, told AS h FROM leaves
+    UNION ALL
+    SELECT f.doc_id, f.level + 1, sha256(CASE WHEN s.h IS NULL THEN f.h WHEN side = 0
+             THEN f.h || s.h ELSE s.h || f.h END)
+    FROM folds f JOIN steps s ON s.doc_id = f.doc_id AND s.level = f.level),
+  proofs AS (
+    SELECT doc_id, count(*) AS levels, sha256(ifnull(string_agg(h, '' ORDER BY level), '')) AS p
+    FROM steps GROUP BY doc_id)
+  SELECT l.doc_id, l.leaf, s.h AS subroot, r.h AS root, ifnull(p.p, sha256('')) AS proof_sha256,
+         f.h AS folded_root, f.h = r.h AS verified
+  FROM leaves l JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang
+    JOIN tops r ON r.n = 1 LEFT JOIN proofs p ON p.doc_id = l.doc_id
+    JOIN folds f ON f.doc_id = l.doc_id AND f.level = ifnull(p.levels, 0)""",
 }

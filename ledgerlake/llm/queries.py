@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import (centroids, chat_format, decontaminate, license_scan, line_dedup,
-                            merkle, near_dedup, packing, quality_rules, secret_scan, sharding,
-                            url_filter)
+                            merkle, near_dedup, packing, personal_data, quality_rules, secret_scan,
+                            sharding, url_filter)
 from ledgerlake.llm.common import table
 
 
@@ -72,6 +72,12 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return personal_data.scan(docs, personal_data.fit(docs))
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster, distance and inertia of every vector."""
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
@@ -84,8 +90,8 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_chat_format, op3_near_dedup, op4_decontaminate, op5_line_dedup, op6_pack,
-    op7_url_filter, op8_quality_rules, op9_secret_scan, op10_shard, op12_centroids,
-    op13_merkle)}
+    op7_url_filter, op8_quality_rules, op9_secret_scan, op10_shard, op11_personal_data,
+    op12_centroids, op13_merkle)}
 #: Kind, pattern and condition on a match ``x``, in order (fixed values, for SQL).
 _SECRETS = [
     ("assign", r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"

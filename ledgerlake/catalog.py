@@ -19,7 +19,8 @@ from ledgerlake.operators.ledger_fold import ORDER_COLUMNS
 from ledgerlake.operators.scan import sequence_number
 from ledgerlake.operators.ledger_fold import position_lots as fold_position_lots
 from ledgerlake.plans import bronze as bronze_plan
-from ledgerlake.plans import ingest, portfolio, present, roundtrips, silver, spending, wealth
+from ledgerlake.plans import (ingest, portfolio, present, replays, roundtrips, silver, spending,
+                              wealth)
 from ledgerlake.session import materialize
 from ledgerlake.sinks.writers import export_counts
 from ledgerlake.sources import driver_tables
@@ -237,4 +238,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                                                       m.portfolio_roe_summary)),
     "growth_preview": _q(lambda m: present.preview(present.present(
         "investment_growth", m.investment_growth, ["symbol", "source"]))),
+    "running_cost_stream": _q(replays.running_cost),
+    "incremental_silver": _q(replays.silver_trades),
+    "incremental_spending": _q(replays.monthly_spending),
+    "incremental_wealth": _q(replays.wealth_summary),
 }

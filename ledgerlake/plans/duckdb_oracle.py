@@ -597,6 +597,10 @@ FINAL["watchlist_file"] = "SELECT symbol FROM watchlist"
 FINAL["materialised_spending"] = FINAL["monthly_spending"]
 FINAL["lake_trades"] = "SELECT * FROM stg_trades"
 FINAL["lake_prices"] = "SELECT * FROM stg_stock_prices"
+FINAL["running_cost_stream"] = FINAL["position_lots"]
+FINAL["incremental_silver"] = FINAL["stg_trades_dedup"]
+FINAL["incremental_spending"] = FINAL["monthly_spending"]
+FINAL["incremental_wealth"] = FINAL["wealth_summary"]
 FINAL["monthly_spending_ranked"] = f"""
   SELECT *, row_number() OVER (ORDER BY month NULLS LAST, total_spent DESC NULLS LAST,
                                         category NULLS LAST) AS place

@@ -39,20 +39,37 @@ def daily_cash_flow(stg_transactions: DataFrame) -> DataFrame:
         F.sum("amount").cast("decimal(38,2)").alias("day_amount"))
 
 
-def cash_running(stg_transactions: DataFrame, spend_sign: int = 1) -> DataFrame:
-    """Running card balance by day.  ``spend_sign=-1`` makes spending lower it."""
+def cash_running(stg_transactions: DataFrame, spend_sign: int = 1,
+                 opening: DataFrame | None = None) -> DataFrame:
+    """Running card balance by day.  ``spend_sign=-1`` makes spending lower it.
+
+    ``opening`` (transaction_date, cash_balance): the balance at the end of an earlier day.
+    """
     daily = daily_cash_flow(stg_transactions)
-    w = Window.orderBy(F.col("transaction_date").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
     amt = F.col("day_amount") if spend_sign == 1 else -F.col("day_amount")
-    return daily.select("transaction_date",
-                        F.sum(amt).over(w).cast("decimal(38,2)").alias("cash_balance"))
+    flow = daily.select("transaction_date", amt.cast("decimal(38,2)").alias("flow"))
+    if opening is not None:
+        flow = flow.unionByName(opening.select("transaction_date", F.col("cash_balance").alias("flow")))
+    w = Window.orderBy(F.col("transaction_date").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    return flow.select("transaction_date",
+                       F.sum("flow").over(w).cast("decimal(38,2)").alias("cash_balance"))
 
 
-def running_holdings(stg_trades: DataFrame) -> DataFrame:
-    """End-of-day shares held per symbol, across sources (NULL symbols dropped)."""
-    net = (stg_trades.filter(is_ledger_action("action") & F.col("symbol").isNotNull())
-           .groupBy("symbol", "trade_date")
-           .agg(F.sum(signed_quantity("action", "quantity")).cast("decimal(38,6)").alias("day_qty")))
+def net_by_day(stg_trades: DataFrame) -> DataFrame:
+    """Shares bought less shares sold per symbol and day (NULL symbols dropped)."""
+    return (stg_trades.filter(is_ledger_action("action") & F.col("symbol").isNotNull())
+            .groupBy("symbol", "trade_date")
+            .agg(F.sum(signed_quantity("action", "quantity")).cast("decimal(38,6)").alias("day_qty")))
+
+
+def running_holdings(stg_trades: DataFrame, opening: DataFrame | None = None) -> DataFrame:
+    """End-of-day shares held per symbol, across sources.
+
+    ``opening`` (symbol, trade_date, day_qty): what was held at the end of an earlier day.
+    """
+    net = net_by_day(stg_trades)
+    if opening is not None:
+        net = net.unionByName(opening.select("symbol", "trade_date", "day_qty"))
     w = Window.partitionBy("symbol").orderBy(F.col("trade_date").asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, 0)
     return net.select("trade_date", "symbol",

@@ -1,0 +1,261 @@
+"""Incremental jobs: the ledger as a stream, silver merges, marts from saved state."""
+import datetime as dt
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlake.operators.dedup import dedup_first
+from ledgerlake.operators.ledger_fold import LOT_COLUMNS, fold_rows, position_lots
+from ledgerlake.plans import refresh, spending, wealth
+from ledgerlake.plans.silver import STG_TRADES_COLS
+from ledgerlake.sinks import merge as merging
+from ledgerlake.streaming import running_cost as rc
+from ledgerlake.streaming.incremental import merge_silver, read_silver, start_silver_merge
+from tests.helpers import TRADE_SPARK, D
+
+
+# --- the ledger in segments ------------------------------------------------------------
+
+def random_trade(rng, n):
+    buy = rng.random() < 0.6
+    return [rng.choice([None, *range(100, 140)]), rng.choice([None, rng.randrange(-900, 900)]),
+            f"h{n}", "acct", "bought" if buy else "sold", rng.randrange(1, 9) * 10 ** 6,
+            rng.randrange(1, 50) * 10 ** 4, buy, not buy, not buy]
+
+
+def folded_whole(trades, key):
+    rows = sorted(trades, key=rc.order_of)
+    state = {"key": None, "rn": 0, "S": None, "C": None}
+    rn, s, c, r, _ = fold_rows([key] * len(rows), *zip(*[
+        (t[7], t[8], t[9], t[5], t[6], t[1]) for t in rows]), state)
+    return {t[2]: (n, x) for t, n, x in zip(rows, rn, zip(s, c, r))}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_segments_fold_late_trades_like_the_whole_ledger(monkeypatch, seed):
+    monkeypatch.setattr(rc, "SEGMENT", 4)
+    rng, key = random.Random(seed), ("A", "x")
+    trades = [random_trade(rng, n) for n in range(150)]
+    store, index, now, seen = {}, None, {}, []
+    while len(seen) < len(trades):
+        part = trades[len(seen):len(seen) + rng.choice([1, 3, 20])]
+        ledger = rc.Segments(index, store.__getitem__, store.__setitem__)
+        again = rng.sample(seen, min(len(seen), 2))  # delivered twice
+        seen += part
+        for t, rn, x in ledger.add(part + again, key):
+            now[t[2]] = rn, x
+        index = ledger.dump()
+        assert now == folded_whole(seen, key)
+    assert len(ledger.index) > 5
+
+
+def test_trades_at_the_end_read_the_last_segment_only(monkeypatch):
+    monkeypatch.setattr(rc, "SEGMENT", 10)
+    rng, store, reads = random.Random(1), {}, []
+    first = [[d, 1, f"h{d}", "a", "bought", 10 ** 6, 10 ** 4, True, False, False]
+             for d in range(300)]
+    ledger = rc.Segments(None, store.__getitem__, store.__setitem__)
+    list(ledger.add(first, ("A", "x")))
+    segments = len(ledger.index)
+    later = rc.Segments(ledger.dump(), lambda i: (reads.append(i), store[i])[1], store.__setitem__)
+    got = list(later.add([[400, 1, "z", "a", "bought", 10 ** 6, 10 ** 4, True, False, False]],
+                         ("A", "x")))
+    assert len(reads) == 1 and len(got) <= 40 and segments > 10 and rng
+    reads.clear()
+    assert list(later.add(first[:5], ("A", "x"))) == [] and len(reads) <= 2, "nothing new"
+
+
+def trades_frame(spark, rows):
+    return spark.createDataFrame(rows, TRADE_SPARK)
+
+
+def random_rows(seed, n=160):
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        symbol = rng.choice([None, "A", "B", "HOT", "HOT", "HOT"])
+        action = rng.choice(["YOU BOUGHT", "YOU SOLD", "REINVESTMENT", "DIVIDEND RECEIVED"])
+        day = rng.choice([None, dt.date(2020, 1, 1) + dt.timedelta(rng.randrange(40))])
+        out.append((day, "acct", action, symbol, "USD", D(rng.randrange(1, 90)),
+                    D(rng.randrange(1, 9)), D(rng.choice([-1, 1]) * rng.randrange(1, 500)), "hint",
+                    rng.choice(["fidelity", None]), f"h{i:04d}"))
+    return out
+
+
+def norm(df):
+    return sorted((tuple(r) for r in df.select(*LOT_COLUMNS).collect()), key=repr)
+
+
+def test_stream_of_any_order_equals_the_full_fold(spark, tmp_dir):
+    rows = random_rows(3)
+    rng = random.Random(4)
+    rng.shuffle(rows)
+    schema = trades_frame(spark, rows[:1]).schema
+    for n in range(4):
+        part = rows[n * 40:(n + 1) * 40] + rows[:5]  # some come again
+        trades_frame(spark, part).write.mode("append").parquet(f"{tmp_dir}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_dir}/in")
+        rc.start_running_cost(stream, f"{tmp_dir}/lots", f"{tmp_dir}/ckpt").awaitTermination()
+    assert norm(rc.current_lots(spark, f"{tmp_dir}/lots")) == norm(
+        position_lots(trades_frame(spark, rows)))
+
+
+# --- merging into silver ---------------------------------------------------------------
+
+def bronze(spark, rows):
+    """(day, symbol, hash, ingested minute) as bronze trades."""
+    return spark.createDataFrame(
+        [(d, "a", "YOU BOUGHT", s, "USD", 2.0, 1.0, -2.0, "hint", "f.csv",
+          dt.datetime(2026, 1, 1, 0, minute), h, "fidelity") for d, s, h, minute in rows],
+        "trade_date date, account string, action string, symbol string, currency string, "
+        "price double, quantity double, amount double, source_account_hint string, "
+        "source_file string, ingested_at timestamp, row_hash string, source string")
+
+
+def test_merge_keeps_the_first_ingested_row_in_any_order(spark, tmp_dir):
+    day, other = dt.date(2020, 1, 5), dt.date(2020, 2, 5)
+    late = bronze(spark, [(day, "late", "h1", 9), (other, "x", "h2", 5), (None, "late", "h3", 8)])
+    early = bronze(spark, [(day, "early", "h1", 1), (None, "early", "h3", 2)])
+    path = f"{tmp_dir}/silver"
+    assert set(merge_silver("stg_trades", late, path, f"{tmp_dir}/s0")) == {"2020-01", "2020-02", None}
+    before = {f for f in spark.read.parquet(path).inputFiles() if "2020-02" in f}
+    assert set(merge_silver("stg_trades", early, path, f"{tmp_dir}/s1")) == {"2020-01", None}
+    assert before == {f for f in spark.read.parquet(path).inputFiles() if "2020-02" in f}
+    got = {r["row_hash"]: r["symbol"] for r in read_silver(spark, "stg_trades", path).collect()}
+    assert got == {"h1": "early", "h2": "x", "h3": "early"}
+    merge_silver("stg_trades", late, path, f"{tmp_dir}/s2")  # replayed
+    rows = read_silver(spark, "stg_trades", path).collect()
+    assert {r["row_hash"]: r["symbol"] for r in rows} == got and len(rows) == 3
+    assert read_silver(spark, "stg_trades", path).columns == STG_TRADES_COLS
+
+
+def test_a_lost_publish_is_repeated_from_the_stage(spark, tmp_dir, monkeypatch):
+    """Target partitions deleted half-way: the replayed batch restores old and new rows."""
+    day = dt.date(2020, 1, 5)
+    path, stage = f"{tmp_dir}/silver", f"{tmp_dir}/stage"
+    merge_silver("stg_trades", bronze(spark, [(day, "old", "h1", 1)]), path, f"{tmp_dir}/s0")
+
+    def lost(df, target, partition):
+        merging.delete_path(spark, f"{target}/year_month=2020-01")
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(merging, "replace_partitions", lost)
+    batch = bronze(spark, [(day, "new", "h2", 1)])
+    with pytest.raises(RuntimeError):
+        merge_silver("stg_trades", batch, path, stage)
+    monkeypatch.undo()
+    merge_silver("stg_trades", batch, path, stage)
+    assert {r["symbol"] for r in read_silver(spark, "stg_trades", path).collect()} == {"old", "new"}
+
+
+def test_stream_merges_files_one_by_one(spark, tmp_dir):
+    day = dt.date(2020, 1, 5)
+    for n, (symbol, minute) in enumerate([("late", 9), ("early", 1), ("later", 30)]):
+        bronze(spark, [(day, symbol, "h1", minute)]).withColumn("year_month", F.lit("2020-01")) \
+            .coalesce(1).write.mode("append").partitionBy("source", "year_month").parquet(f"{tmp_dir}/b")
+        q = start_silver_merge(spark, "stg_trades", f"{tmp_dir}/b", f"{tmp_dir}/silver",
+                               f"{tmp_dir}/ckpt", max_files_per_trigger=1)
+        q.awaitTermination()
+    rows = read_silver(spark, "stg_trades", f"{tmp_dir}/silver").collect()
+    assert [r["symbol"] for r in rows] == ["early"]
+
+
+# --- marts from saved state ------------------------------------------------------------
+
+def load(lake, n, transactions, trades, prices):
+    spark, touched = lake.spark, {}
+    stamp = F.lit(dt.datetime(2026, 1, 1 + n))
+    frames = {
+        "stg_transactions": spark.createDataFrame(
+            transactions, "transaction_date date, amount double, category_raw string, row_hash string"
+        ).withColumns({"description": F.lit("d"), "source_account_hint": F.lit("c"),
+                       "source": F.lit("chase")}),
+        "stg_trades": spark.createDataFrame(
+            trades, "trade_date date, symbol string, action string, quantity double, row_hash string"
+        ).withColumns({"account": F.lit("a"), "currency": F.lit("USD"), "price": F.lit(1.0),
+                       "amount": F.lit(-1.0), "source_account_hint": F.lit("c"),
+                       "source": F.lit("fidelity")}),
+        "stg_stock_prices": spark.createDataFrame(
+            prices, "price_date date, symbol string, close double, row_hash string"
+        ).withColumns({**{c: F.col("close") for c in ("open", "high", "low", "adj_close")},
+                       "volume": F.lit(1), "currency": F.lit("USD")}),
+    }
+    for model, df in frames.items():
+        touched[model] = refresh.load(lake, model, df.withColumn("ingested_at", stamp),
+                                      lake.path(f"stage/{n}-{model}"))
+    return touched
+
+
+def whole(lake):
+    return [lake.silver(m, F.lit(True)) for m in refresh.MODELS]
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_refreshed_marts_equal_full_ones(spark, tmp_dir):
+    rng, lake, number = random.Random(11), refresh.Lake(spark, tmp_dir), iter(range(10 ** 6))
+    starts = [dt.date(2020, 1, 1), dt.date(2020, 6, 1), dt.date(2020, 5, 3), dt.date(2021, 3, 1),
+              dt.date(2019, 11, 1)]  # forward, back a month, over a gap, before everything
+    for n, start in enumerate(starts):
+        def day():
+            return None if rng.random() < 0.03 else start + dt.timedelta(rng.randrange(70))
+        touched = load(
+            lake, n,
+            [(day(), rng.randrange(-50, 200) / 4, rng.choice([None, "x", "y"]), f"c{next(number)}")
+             for _ in range(12)],
+            [(day(), rng.choice([None, "A", "B", f"N{n}"]), rng.choice(["YOU BOUGHT", "YOU SOLD"]),
+              float(rng.randrange(1, 9)), f"t{next(number)}") for _ in range(12)],
+            [(day(), rng.choice(["A", "B", f"N{n}"]), float(rng.randrange(1, 30)),
+              f"p{next(number)}") for _ in range(12)])
+        refresh.refresh_spending(lake, touched["stg_transactions"])
+        first = refresh.refresh_wealth(lake, {m for ms in touched.values() for m in ms})
+        assert (first is None) == (n in (0, 4))
+        transactions, trades, prices = whole(lake)
+        assert rows_of(lake.table("monthly_spending").drop("year_month")) == rows_of(
+            spending.monthly_spending(transactions))
+        assert rows_of(lake.table("wealth_summary").drop("year_month")) == rows_of(
+            wealth.wealth_summary(transactions, trades, prices))
+
+
+def test_refresh_reads_and_writes_touched_months_only(spark, tmp_dir):
+    lake = refresh.Lake(spark, tmp_dir)
+    day = dt.date
+    load(lake, 0, [(day(2020, m, 3), 5.0, "x", f"c{m}") for m in range(1, 8)],
+         [(day(2020, m, 3), "A", "YOU BOUGHT", 1.0, f"t{m}") for m in range(1, 8)],
+         [(day(2020, m, 4), "A", 2.0, f"p{m}") for m in range(1, 8)])
+    refresh.refresh_spending(lake, [f"2020-0{m}" for m in range(1, 8)])
+    refresh.refresh_wealth(lake, ["2020-01"])
+    old = {name: set(lake.table(name).inputFiles())
+           for name in ("monthly_spending", "wealth_summary", "opening_holdings")}
+    touched = load(lake, 1, [(day(2020, 6, 9), 1.0, "x", "new")], [], [])
+    assert touched == {"stg_transactions": ["2020-06"], "stg_trades": [], "stg_stock_prices": []}
+    summary, _ = refresh.wealth_tail(lake, "2020-06")
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    scans = plan.count("FileScan parquet")
+    assert scans >= 5 and plan.count("PartitionFilters: [") - plan.count("PartitionFilters: []") == scans
+    assert plan.count(">= 2020-06") + plan.count("= 2020-06)") >= scans
+    refresh.refresh_spending(lake, touched["stg_transactions"])
+    assert refresh.refresh_wealth(lake, ["2020-06"]) == "2020-06"
+    new = {name: set(lake.table(name).inputFiles()) for name in old}
+    changed = {name: {f.split("year_month=")[1][:7] for f in old[name] - new[name]} for name in old}
+    assert changed == {"monthly_spending": {"2020-06"}, "wealth_summary": {"2020-06", "2020-07"},
+                       "opening_holdings": {"2020-07", "2020-08"}}
+    refresh.refresh_spending(lake, [])
+    assert refresh.refresh_wealth(lake, []) is None
+
+
+def test_openings_carry_positions_over_months_without_trades(spark):
+    holdings = spark.createDataFrame(
+        [("A", dt.date(2020, 1, 5), Decimal(3)), ("A", dt.date(2020, 1, 9), Decimal(4)),
+         ("A", dt.date(2020, 4, 1), Decimal(1)), ("B", dt.date(2020, 5, 1), Decimal(7)),
+         ("C", None, Decimal(9))], "symbol string, trade_date date, shares_held decimal(38,6)")
+    months = spark.createDataFrame([("2020-03",), ("2020-06",)], "year_month string")
+    got = {(r["symbol"], r["year_month"]): int(r["shares_held"])
+           for r in refresh.openings_of_holdings(holdings, months).collect()}
+    assert got == {("A", "2020-02"): 4, ("A", "2020-03"): 4, ("A", "2020-04"): 4,
+                   ("A", "2020-05"): 1, ("A", "2020-06"): 1, ("B", "2020-06"): 7}
+    assert dedup_first  # the merge's reduction is the one of silver

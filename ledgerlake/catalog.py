@@ -131,8 +131,8 @@ def build(spark: SparkSession, sf_dir: str, share: bool = False) -> Models:
 # and the refresh end date used by the registered backfill query.
 EXTRA_TICKERS = ("NVDA", "COIN")
 BACKFILL_END = "2001-12-31"
-#: Fixed value: first month of the registered query's last price refresh.
-LAST_REFRESH = "2001-10"
+#: Fixed value: the start that the registered refresh asks for.
+REFRESH_START = "2001-11-05"
 #: The days that the registered price request asked for.
 BOUNDS = ("1996-01-01", "2000-12-31")
 
@@ -142,6 +142,20 @@ def universe(m: Models) -> DataFrame:
     return ingest.ticker_universe(m.bronze("trades"), watch, EXTRA_TICKERS)
 
 
+def refresh_windows(m: Models) -> DataFrame:
+    """The window of every kind of refresh (G6), with the price rows that it covers."""
+    prices = m.bronze("stock_prices")
+    out = []
+    for kind, given in (("backfill", {"backfill": True}), ("days", {}),
+                        ("start", {"start": REFRESH_START, "backfill": True})):
+        w = ingest.backfill_window(m.bronze("trades"), BACKFILL_END, **given)
+        inside = F.col("price_date").between(F.col("start_date"), F.col("end_date"))
+        covered = prices.join(F.broadcast(w), inside).agg(F.count(F.lit(1)).alias("rows"))
+        out.append(w.crossJoin(covered).select(  # both have one row
+            F.lit(kind).alias("kind"), "start_date", "end_date", "rows"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def quality_report(m: Models) -> DataFrame:
     """Every model test on every silver and gold table, one row per rule."""
     return reduce(DataFrame.unionByName, [
@@ -205,10 +219,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wealth_summary": _q(lambda m: m.wealth_summary),
     "year_month_partition_counts": _q(lambda m: ingest.bronze_partition_counts(m.all_bronze())),
     "ticker_universe": _q(universe),
-    "missing_symbols_anti": _q(lambda m: ingest.missing_symbols(
-        universe(m), m.bronze("stock_prices").filter(F.col("year_month") >= LAST_REFRESH))),
+    "missing_symbols_anti": _q(lambda m: ingest.missing_symbols(universe(m),
+                                                                m.bronze("stock_prices"))),
     "backfill_bounds": _q(lambda m: ingest.backfill_window(m.bronze("trades"), BACKFILL_END,
                                                            backfill=True)),
+    "refresh_windows": _q(refresh_windows),
     "sign_violations": _q(lambda m: quality.sign_violations(m.bronze("trades"))),
     "quality_report": _q(quality_report, share=True),
     "gold_export_counts": _q(lambda m: export_counts(roundtrips.gold_export(m)), share=True),
@@ -236,8 +251,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                                                            ["category"])),
     "roe_summary_ranked": _q(lambda m: present.ranked("portfolio_roe_summary",
                                                       m.portfolio_roe_summary)),
+    "position_lots_ranked": _q(lambda m: present.placed(
+        "position_lots", m.position_lots, ["symbol", "source"], ["rn"])),
+    "realized_gains_ranked": _q(lambda m: present.placed(
+        "realized_gains", m.realized_gains, ["trade_date"],
+        ["symbol", "source", "account", "shares_sold", "sale_price", "proceeds",
+         "realized_gain"])),
+    "unrealized_gains_ranked": _q(lambda m: present.ranked(
+        "unrealized_gains", m.unrealized_gains, ["symbol", "source"])),
+    "wealth_summary_ranked": _q(lambda m: present.ranked("wealth_summary", m.wealth_summary)),
     "growth_preview": _q(lambda m: present.preview(present.present(
         "investment_growth", m.investment_growth, ["symbol", "source"]))),
+    "two_generations": _q(roundtrips.two_generations),
+    "catalog_lots": _q(roundtrips.catalog_lots),
+    "header_audit": _q(roundtrips.chase_audit),
+    "uneven_roundtrip": _q(roundtrips.uneven_roundtrip),
+    "publish_report": _q(roundtrips.publish_report),
     "running_cost_stream": _q(replays.running_cost),
     "incremental_silver": _q(replays.silver_trades),
     "incremental_spending": _q(replays.monthly_spending),

@@ -36,7 +36,7 @@ from fractions import Fraction
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.text import is_buy, is_ledger_action, is_sell
@@ -213,6 +213,24 @@ def position_lots(stg_trades: DataFrame, num_partitions: int | None = None) -> D
     return _finish(folded)
 
 
+def position_lots_in_place(stg_trades: DataFrame) -> DataFrame:
+    """The same over a table that is laid out by (symbol, source): no exchange.
+
+    A window over the keys asks for rows of a key together, in ledger order; a table bucketed
+    by them gives that as it is (any other input is exchanged, as ``position_lots`` does).
+    The fold then reads the window's rows, which stay in that order.
+    """
+    ship_package(stg_trades.sparkSession)
+    order = [F.col(c).asc_nulls_last() for c in ORDER_COLUMNS]
+    # The place in the ledger; of a NULL key only the first row counts.
+    place = F.row_number().over(Window.partitionBy("symbol", "source").orderBy(*order))
+    rows = _ledger_rows(stg_trades).withColumn("_rn", place).filter(
+        (F.col("symbol").isNotNull() & F.col("source").isNotNull()) | (F.col("_rn") == 1))
+    types = dict(rows.dtypes)
+    return _finish(rows.mapInArrow(_fold_partition, ", ".join(
+        ["rn bigint", *[f"{c} {types[c]}" for c in _PASS], "_s bigint", "_c bigint", "_r bigint"])))
+
+
 def _finish(folded: DataFrame) -> DataFrame:
     return folded.select(
         "rn", "trade_date", "symbol", "source", "account", "action", "quantity", "price", "amount",

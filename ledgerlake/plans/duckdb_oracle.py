@@ -415,7 +415,15 @@ FINAL["year_month_partition_counts"] = """
 FINAL["ticker_universe"] = "SELECT symbol FROM ticker_universe"
 FINAL["missing_symbols_anti"] = """
   SELECT u.symbol FROM ticker_universe u
-  WHERE u.symbol NOT IN (SELECT symbol FROM raw_prices WHERE price_date >= DATE '2001-10-01')"""
+  WHERE u.symbol NOT IN (SELECT symbol FROM raw_prices WHERE symbol IS NOT NULL)"""
+FINAL["refresh_windows"] = """
+  SELECT kind, start_date, end_date, count(p.price_date) AS rows
+  FROM (SELECT 'backfill' AS kind, min(trade_date) AS start_date, DATE '2001-12-31' AS end_date
+        FROM bronze_trades
+        UNION ALL SELECT 'days', DATE '2001-12-26', DATE '2001-12-31'
+        UNION ALL SELECT 'start', DATE '2001-11-05', DATE '2001-12-31') w
+  LEFT JOIN raw_prices p ON p.price_date >= start_date AND p.price_date <= end_date
+  GROUP BY kind, start_date, end_date"""
 FINAL["backfill_bounds"] = """
   SELECT min(trade_date) AS start_date, DATE '2001-12-31' AS end_date FROM bronze_trades"""
 FINAL["sign_violations"] = """
@@ -561,6 +569,15 @@ not_null transaction_date error = 0
 numeric amount error = 0
 duplicates row_hash warn = 0
 max_span transaction_date warn = 0""")])
+_LAKE_ROWS = {"bank_transactions": "bronze_bank", "trades": "bronze_trades",
+              "stock_prices": "bronze_prices"}
+FINAL["publish_report"] = f"""
+  SELECT 'sound' AS batch, *, CASE table_name
+      {" ".join(f"WHEN '{d}' THEN (SELECT count(*) FROM {t})" for d, t in _LAKE_ROWS.items())}
+    END AS lake_rows
+  FROM ({FINAL["ingest_report"]})
+  UNION ALL
+  SELECT 'damaged', *, 0 FROM ({_ingest("damaged_bank", "damaged_trades", "damaged_prices")})"""
 FINAL["null_price_or_quantity"] = f"""
   SELECT trade_date, account, action, symbol, row_hash FROM damaged_trades
   WHERE {_LEDGER} AND price + quantity IS NULL"""
@@ -585,6 +602,27 @@ for _broker in ("fidelity", "vanguard"):
   SELECT trade_date, account, action, symbol, currency, price, quantity, amount,
          {_ACCOUNT} AS source_account_hint, source
   FROM raw_trades WHERE source = '{_broker}'"""
+CTES["uneven"] = """
+  SELECT *, CAST(regexp_extract(source_file, '_([0-9]{4})', 1) AS INTEGER) % 3 AS kind,
+         max(day(transaction_date)) OVER (PARTITION BY source_file) > 12 AS told
+  FROM raw_bank WHERE source = 'chase'"""
+FINAL["header_audit"] = """
+  SELECT source_file, CASE kind
+           WHEN 0 THEN 'Transaction Date|Post Date|Description|Category|Type|Amount'
+           WHEN 1 THEN 'Transaction Date|Description|Amount'
+           ELSE 'Transaction Date|Description|Category|Amount|Memo' END AS found,
+         CASE kind WHEN 1 THEN 'Category' ELSE '' END AS missing,
+         CASE kind WHEN 0 THEN 'Post Date|Type' WHEN 1 THEN '' ELSE 'Memo' END AS extra,
+         count(*) AS records,
+         CASE WHEN NOT told THEN 'ambiguous' WHEN kind = 0 THEN 'M/d' ELSE 'd/M' END AS date_order
+  FROM uneven GROUP BY source_file, kind, told"""
+FINAL["uneven_roundtrip"] = """
+  SELECT source_file,
+         CASE WHEN kind = 0 OR told THEN transaction_date
+              ELSE make_date(year(transaction_date), day(transaction_date),
+                             month(transaction_date)) END AS transaction_date,
+         description, amount, CASE WHEN kind <> 1 THEN category_raw END AS category_raw
+  FROM uneven"""
 FINAL["price_grid"] = """
   SELECT CAST(l_shipdate AS DATE) AS price_date,
          repeat(chr(CAST(64 + l_linenumber AS INTEGER)), 3) AS symbol,
@@ -605,6 +643,21 @@ FINAL["monthly_spending_ranked"] = f"""
   SELECT *, row_number() OVER (ORDER BY month NULLS LAST, total_spent DESC NULLS LAST,
                                         category NULLS LAST) AS place
   FROM ({FINAL["monthly_spending"]})"""
+for _mart, _order in (
+        ("position_lots", "symbol NULLS LAST, source NULLS LAST, trade_date NULLS LAST, rn"),
+        ("realized_gains", "trade_date NULLS LAST, symbol NULLS LAST, source NULLS LAST, "
+                           "account NULLS LAST, shares_sold NULLS LAST, sale_price NULLS LAST, "
+                           "proceeds NULLS LAST, realized_gain NULLS LAST"),
+        ("unrealized_gains", "unrealized_gain DESC NULLS LAST, symbol NULLS LAST, "
+                             "source NULLS LAST"),
+        ("wealth_summary", "as_of_date NULLS LAST")):
+    FINAL[f"{_mart}_ranked"] = f"SELECT *, row_number() OVER (ORDER BY {_order}) AS place FROM {_mart}"
+FINAL["two_generations"] = """
+  SELECT price_date, symbol, CASE WHEN year_month < '1998-01' THEN open END AS open, high, close,
+         CASE WHEN year_month >= '1998-01' THEN adj_close END AS adj_close, volume, row_hash,
+         year_month
+  FROM bronze_prices"""
+FINAL["catalog_lots"] = FINAL["position_lots"]
 FINAL["roe_summary_ranked"] = """
   SELECT *, 1 + (SELECT count(*) FROM portfolio_roe_summary AS other
                  WHERE (other.source <> 'ALL', other.source)

@@ -44,6 +44,24 @@ def ranked(name: str, df: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
     return df.withColumn("place", F.row_number().over(order).cast("long"))
 
 
+def placed(name: str, df: DataFrame, lead: Sequence[str], ties: Sequence[str] = ()) -> DataFrame:
+    """``df`` with its place in the mart's order, from 1, for marts with a row per trade.
+
+    ``lead``: the first columns of the order.  Rows are numbered per value of these, and the
+    values' offsets are running counts over one row per value, so no task sees all rows.
+    """
+    order = [*sort_keys(name), *[F.col(c).asc_nulls_last() for c in ties]]
+    key = F.struct(*lead)
+    rows = df.withColumn("_k", key)
+    inner = F.row_number().over(Window.partitionBy("_k").orderBy(*order))
+    sizes = rows.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+    first = [F.col(f"_k.{c}").asc_nulls_last() for c in lead]
+    before = F.sum("_n").over(Window.orderBy(*first).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select(F.col("_k").alias("_at"), F.coalesce(before, F.lit(0)).alias("_o"))
+    return (rows.withColumn("_i", inner).join(offsets, F.col("_k") == F.col("_at"))
+            .select(*df.columns, (F.col("_i") + F.col("_o")).cast("long").alias("place")))
+
+
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     """The first rows of a batch, as printed before a write (O3)."""
     return df.limit(n)

@@ -7,20 +7,25 @@ scratch folder.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.ledger_fold import ORDER_COLUMNS, position_lots_in_place
 from ledgerlake.plans import silver
+from ledgerlake.plans.gate import write_audit_publish
 from ledgerlake.session import scratch_path
 from ledgerlake.sinks.writers import (PRICE_PARTITIONS, TRADE_PARTITIONS, export_gold,
-                                      write_bronze, write_export_files, write_table)
+                                      tables_from_catalog, write_bronze, write_export_files,
+                                      write_laid_out, write_table)
 from ledgerlake.sources import driver_tables
-from ledgerlake.sources.exports import (normalize_prices, read_parquet_or_empty, read_source,
+from ledgerlake.sources.exports import (CHASE_COLUMNS, header_audit, normalize_prices, parse_chase,
+                                        read_export_csv, read_parquet_or_empty, read_source,
                                         read_watchlist)
-from ledgerlake.sources.lake import read_bronze
+from ledgerlake.sources.lake import read_bronze, read_generations
 
 # Header lines, preambles and footers of the written layouts.
 CHASE_HEADER = "Transaction Date,Post Date,Description,Category,Type,Amount"
@@ -83,6 +88,45 @@ def cards(m) -> DataFrame:
                                           for c, old in extra.items()])))
 
 
+def uneven_cards(m) -> str:
+    """The Chase rows as exports that are not alike; the folder they are in.
+
+    By the file's year: as they should be, with days first and no category, or with one
+    column more and days before months.
+    """
+    raw = driver_tables.raw_bank_rows(m.spark, m.sf_dir).filter("source = 'chase'")
+    kind = F.regexp_extract("source_file", "_([0-9]{4})", 1).cast("int") % 3
+    day, name = (lambda f: F.date_format("transaction_date", f)), quoted(F.col("description"))
+    amount = -F.col("amount")
+    base = scratch_path(m.spark, "uneven-exports")
+    for n, text, header in (
+            (0, csv_line(day("MM/dd/yyyy"), day("MM/dd/yyyy"), name, F.col("category_raw"),
+                         F.lit("Sale"), amount), CHASE_HEADER),
+            (1, csv_line(day("d/M/yyyy"), name, amount), "Transaction Date,Description,Amount"),
+            (2, csv_line(day("dd/MM/yy"), name, F.col("category_raw"), amount, F.col("pos")),
+             "Transaction Date,Description,Category,Amount,Memo")):
+        body = raw.filter(kind == n).select(F.col("source_file").alias("file"),
+                                            F.col("pos").alias("line_no"), text.alias("text"))
+        write_export_files(with_frame(body, [header]), f"{base}/{n}")
+    return base
+
+
+def chase_audit(m) -> DataFrame:
+    """What the uneven exports have, by file."""
+    rows = header_audit(m.spark, uneven_cards(m), required=CHASE_COLUMNS, name_from_folder="file")
+    return rows.select("source_file", F.array_join("found", "|").alias("found"),
+                       F.array_join("missing", "|").alias("missing"),
+                       F.array_join("extra", "|").alias("extra"), "records",
+                       F.try_element_at("date_order", F.lit("Transaction Date")).alias("date_order"))
+
+
+def uneven_roundtrip(m) -> DataFrame:
+    """The uneven exports read together, each date in its file's order."""
+    grid = read_export_csv(m.spark, uneven_cards(m), name_from_folder="file")
+    return parse_chase(grid).select("source_file", "transaction_date", "description", "amount",
+                                    "category_raw")
+
+
 TRADES_OUT = ["trade_date", "account", "action", "symbol", "currency", "price", "quantity",
               "amount", "source_account_hint", "source"]
 
@@ -162,6 +206,35 @@ def lake_prices(m) -> DataFrame:
     return silver.stg_stock_prices(read_bronze(m.spark, base, batch.schema, recursive=True))
 
 
+#: Fixed value: the first month that the newer writers of two_generations wrote.
+NEWER_FROM = "1998-01"
+
+
+def two_generations(m) -> DataFrame:
+    """Bronze prices of two writers, the older one with fewer and narrower columns."""
+    base = scratch_path(m.spark, "generations")
+    batch = m.bronze("stock_prices").drop("row_bucket")
+    newer = F.col("year_month") >= NEWER_FROM
+    old = batch.filter(~newer).drop("adj_close").withColumns(
+        {"volume": F.col("volume").cast("int"), "high": F.col("high").cast("float")})
+    write_bronze(old, f"{base}/batch=1", PRICE_PARTITIONS)
+    write_bronze(batch.filter(newer).drop("open"), f"{base}/batch=2", PRICE_PARTITIONS)
+    return read_generations(m.spark, base).select(
+        "price_date", "symbol", "open", "high", "close", "adj_close", "volume", "row_hash",
+        "year_month")
+
+
+def catalog_lots(m) -> DataFrame:
+    """The ledger fold over a catalog table laid out by (symbol, source)."""
+    name = f"ledgerlake_trades_{uuid.uuid4().hex[:12]}"
+    write_laid_out(m.stg_trades, name, ["symbol", "source"], ORDER_COLUMNS,
+                   int(m.spark.conf.get("spark.sql.shuffle.partitions")),
+                   scratch_path(m.spark, "catalog-trades"))
+    found = tables_from_catalog(m.spark, [name, "ledgerlake_absent"])
+    assert found["ledgerlake_absent"] is None
+    return position_lots_in_place(found[name])
+
+
 def watchlist_file(m) -> DataFrame:
     """The watchlist written as a text file and read by the file reader."""
     path = scratch_path(m.spark, "watchlist")
@@ -200,6 +273,27 @@ def damaged_bronze(m) -> dict[str, DataFrame]:
     }
 
 
+def publish_report(m) -> DataFrame:
+    """A sound and a damaged batch of every dataset through the gate (V1-V6 with K2, K3).
+
+    One row per batch and rule, with the rows that are in the lake afterwards.
+    """
+    base = scratch_path(m.spark, "publish")
+    sound, rows = m.all_bronze(), []
+    for kind, batches in (("sound", sound), ("damaged", damaged_bronze(m))):
+        for name, batch in batches.items():
+            target = f"{base}/{kind}-{name}"
+            audit = write_audit_publish(
+                batch, name, target, PRICE_PARTITIONS if name == "stock_prices" else TRADE_PARTITIONS)
+            kept = read_parquet_or_empty(m.spark, target, sound[name].schema).count()
+            assert kept == audit.written
+            rows += [(kind, name, rule, column, severity, n, kept)
+                     for rule, column, severity, n in audit.rules]
+    return m.spark.createDataFrame(
+        rows, "batch string, table_name string, rule string, column_name string, "
+              "severity string, failing_rows long, lake_rows long")
+
+
 def gold_export(m) -> dict[str, DataFrame]:
     """Every gold mart written as Parquet and read back; an absent table is skipped."""
     return export_gold(m.spark, m.gold() | {"absent_table": None},

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.plans.ingest import partition_counts
@@ -49,29 +49,52 @@ def write_table(df: DataFrame, name: str, path: str | None = None) -> None:
         w.parquet(path)
 
 
+def write_laid_out(df: DataFrame, name: str, keys: Sequence[str], order: Sequence[str],
+                   buckets: int, path: str | None = None) -> None:
+    """Full-refresh catalog table, dealt by ``keys`` into buckets and sorted in each.
+
+    Rows are dealt once when the table is written; a reader that groups, joins or windows by
+    the keys needs no exchange.  One file per bucket, so the order within it is kept.
+    """
+    w = (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
+         .bucketBy(buckets, *keys).sortBy(*keys, *order))
+    if path is not None:
+        w = w.option("path", path)
+    w.saveAsTable(name)
+
+
+class Exported(dict):
+    """Written tables by name, read back; ``rows``: how many rows each write had."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        super().__init__()
+        self.spark = spark
+        self.rows: dict[str, int] = {}
+
+
 def export_gold(spark: SparkSession, tables: Mapping[str, DataFrame | None], path: str
-                ) -> dict[str, DataFrame]:
+                ) -> Exported:
     """Write each gold table to <path>/<table> as Parquet; the written tables, read back.
 
-    A missing table (None) is skipped and logged.  Reading a result's rows or counts reads
-    the export, not the model behind it.
+    A missing table (None) is skipped and logged.  Rows are counted by the write itself
+    (observed in its last stage, where a repeated task counts once).
     """
-    out = {}
+    out = Exported(spark)
     for name, df in tables.items():
         if df is None:
             logging.getLogger(__name__).warning("gold export: no table %s, skipped", name)
             continue
         target = f"{path.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(target)
-        out[name] = spark.read.parquet(target)
+        seen = Observation(f"export-{name}-{uuid.uuid4().hex[:8]}")
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
+        out[name] = spark.read.schema(df.schema).parquet(target)
+        out.rows[name] = seen.get["rows"]
     return out
 
 
-def export_counts(exported: Mapping[str, DataFrame]) -> DataFrame:
-    """(table_name, rows) of an export, counted from the files."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows")
-             for n, df in exported.items()]
-    return reduce(DataFrame.unionByName, parts)
+def export_counts(exported: Exported) -> DataFrame:
+    """(table_name, rows) of an export, as its writes counted them."""
+    return exported.spark.createDataFrame(list(exported.rows.items()), "table_name string, rows long")
 
 
 def tables_from_catalog(spark: SparkSession, names: Sequence[str], database: str | None = None

@@ -6,8 +6,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.dedup import dedup_first
-from ledgerlake.operators.ledger_fold import LOT_COLUMNS, fold_rows, position_lots
+from ledgerlake.operators.ledger_fold import (LOT_COLUMNS, ORDER_COLUMNS, fold_rows, position_lots,
+                                              position_lots_in_place)
 from ledgerlake.plans import refresh, spending, wealth
 from ledgerlake.plans.silver import STG_TRADES_COLS
 from ledgerlake.sinks import merge as merging
@@ -258,4 +258,46 @@ def test_openings_carry_positions_over_months_without_trades(spark):
            for r in refresh.openings_of_holdings(holdings, months).collect()}
     assert got == {("A", "2020-02"): 4, ("A", "2020-03"): 4, ("A", "2020-04"): 4,
                    ("A", "2020-05"): 1, ("A", "2020-06"): 1, ("B", "2020-06"): 7}
-    assert dedup_first  # the merge's reduction is the one of silver
+
+
+# --- layouts ---------------------------------------------------------------------------
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_fold_over_a_laid_out_table_has_no_exchange(spark, tmp_dir, seed):
+    from ledgerlake.sinks.writers import write_laid_out
+    trades = trades_frame(spark, random_rows(seed, 400))
+    want = norm(position_lots(trades))
+    assert norm(position_lots_in_place(trades.repartition(5))) == want, "any input"
+    write_laid_out(trades, f"laid_{seed}", ["symbol", "source"], ORDER_COLUMNS, 4, f"{tmp_dir}/t")
+    lots = position_lots_in_place(spark.table(f"laid_{seed}"))
+    assert "Exchange" not in lots._jdf.queryExecution().executedPlan().toString()
+    assert norm(lots) == want
+    per = spark.table(f"laid_{seed}").groupBy("symbol", "source").count()
+    assert "Exchange" not in per._jdf.queryExecution().executedPlan().toString()
+
+
+def test_generations_are_united_by_name_with_the_wider_type(spark, tmp_dir):
+    from ledgerlake.sources.lake import read_generations
+    old = spark.createDataFrame([(1, 2.5, "a")], "n int, x float, m string")
+    new = spark.createDataFrame([(2 ** 40, 0.1, "b", "c")], "n long, x double, m string, extra string")
+    old.write.partitionBy("m").parquet(f"{tmp_dir}/g/batch=1")
+    new.write.partitionBy("m").parquet(f"{tmp_dir}/g/batch=2")
+    old.write.partitionBy("m").parquet(f"{tmp_dir}/g/batch=3")
+    df = read_generations(spark, f"{tmp_dir}/g")
+    assert dict(df.dtypes) == {"n": "bigint", "x": "double", "m": "string", "extra": "string"}
+    assert sorted(map(tuple, df.select("n", "x", "m", "extra").collect())) == [
+        (1, 2.5, "a", None), (1, 2.5, "a", None), (2 ** 40, 0.1, "b", "c")]
+    plan = df.filter("m = 'b'")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(m") == 3
+    with pytest.raises(FileNotFoundError):
+        read_generations(spark, f"{tmp_dir}/absent")
+
+
+def test_places_by_leading_value_equal_one_window(spark):
+    from ledgerlake.plans.present import placed, ranked
+    rng = random.Random(3)
+    df = spark.createDataFrame(
+        [(rng.choice([None, *"ABC"]), rng.choice([None, "x"]), rng.choice([None, 1, 2]), i)
+         for i in range(60)], "symbol string, source string, trade_date int, rn int")
+    got = placed("position_lots", df, ["symbol", "source"], ["rn"])
+    assert rows_of(got) == rows_of(ranked("position_lots", df, ["rn"]))

@@ -261,7 +261,10 @@ def test_queries_are_built_without_a_job(spark):
     from ledgerlake.catalog import QUERIES
     writes = {"gold_export_counts", "gold_export_contents", "quality_report", "source_roundtrip",
               "fidelity_roundtrip", "vanguard_roundtrip", "lake_trades", "lake_prices",
-              "watchlist_file", "materialised_spending"}
+              "watchlist_file", "materialised_spending", "running_cost_stream",
+              "incremental_silver", "incremental_spending", "incremental_wealth",
+              "publish_report", "header_audit", "uneven_roundtrip", "two_generations",
+              "catalog_lots"}
     tracker = spark.sparkContext.statusTracker()
     for name in sorted(set(QUERIES) - writes):
         spark.sparkContext.setJobGroup(f"build-{name}", name)
@@ -318,3 +321,76 @@ def test_files_with_different_layouts_read_together(spark, tmp_dir):
     fuel = rows[("two", "FUEL")]
     assert (fuel.amount, fuel.category_raw, fuel.transaction_date) == \
         (8.0, "Gas", dt.date(2026, 2, 1))
+
+
+def test_order_of_day_and_month_is_the_files(spark, tmp_dir):
+    head = "Transaction Date,Description,Category,Amount\n"
+    write(f"{tmp_dir}/m/us_1.csv", head + "03/04/2024,A,,-1\n03/14/2024,B,,-1\n")
+    write(f"{tmp_dir}/m/eu_1.csv", head + "03/04/2024,C,,-1\n14/03/2024,D,,-1\n,E,,-1\n")
+    write(f"{tmp_dir}/m/short_1.csv", head + "03/04/97,F,,-1\n")
+    write(f"{tmp_dir}/m/both_1.csv", head + "14/03/2024,G,,-1\n03/14/2024,H,,-1\n")
+    write(f"{tmp_dir}/m/dots_1.csv", head + "31.12.99,I,,-1\n")
+    df = exports.read_source(spark, "chase", f"{tmp_dir}/m")
+    got = {r.description: r.transaction_date for r in df.collect()}
+    d = dt.date
+    assert got == {"A": d(2024, 3, 4), "B": d(2024, 3, 14), "C": d(2024, 4, 3),
+                   "D": d(2024, 3, 14), "E": None, "F": d(1997, 3, 4), "G": None,
+                   "H": d(2024, 3, 14), "I": d(1999, 12, 31)}
+    audit = exports.header_audit(spark, f"{tmp_dir}/m", required=exports.CHASE_COLUMNS).collect()
+    assert {r.source_file: r.date_order["Transaction Date"] for r in audit} == {
+        "us_1.csv": "M/d", "eu_1.csv": "d/M", "short_1.csv": "ambiguous", "both_1.csv": "mixed",
+        "dots_1.csv": "d/M"}
+
+
+def test_audit_of_damaged_files(spark, tmp_dir):
+    write(f"{tmp_dir}/a/none_1.csv", "\n")
+    write(f"{tmp_dir}/a/head_1.csv", "Transaction Date,Memo\n")
+    write(f"{tmp_dir}/a/good_1.csv", CHASE)
+    audit = {r.source_file: r for r in exports.header_audit(
+        spark, f"{tmp_dir}/a", required=exports.CHASE_COLUMNS).collect()}
+    assert audit["none_1.csv"].found is None
+    assert audit["none_1.csv"].missing == exports.CHASE_COLUMNS
+    assert audit["head_1.csv"].missing == ["Description", "Category", "Amount"]
+    assert audit["head_1.csv"].extra == ["Memo"] and audit["head_1.csv"].records == 0
+    assert audit["good_1.csv"].missing == [] and audit["good_1.csv"].records == 4
+    with pytest.raises(exports.MissingColumnsError, match="head_1.csv.*Description.*Memo"):
+        exports.read_source(spark, "chase", f"{tmp_dir}/a")
+
+
+def test_a_batch_is_evaluated_once(spark, tmp_dir):
+    from ledgerlake.plans.gate import write_audit_publish
+    from ledgerlake.sinks.writers import BANK_PARTITIONS
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    d = dt.date(2026, 1, 5)
+    batch = bank_rows(spark, [(d, "A", 1.0, None), (d, "A", 1.0, None), (d, "B", 2.0, None)])
+    batch = batch.mapInArrow(count, batch.schema)
+    audit = write_audit_publish(batch, "bank_transactions", f"{tmp_dir}/lake", BANK_PARTITIONS,
+                                f"{tmp_dir}/stage")
+    assert seen.value == 3 and audit.written == 3 and not os.path.exists(f"{tmp_dir}/stage")
+    assert spark.read.parquet(f"{tmp_dir}/lake").count() == 3
+    bad = batch.withColumn("amount", F.when(F.col("description") == "A", F.col("amount")))
+    audit = write_audit_publish(bad, "bank_transactions", f"{tmp_dir}/lake2", BANK_PARTITIONS)
+    assert audit.errors == [("numeric", "amount", 1)] and audit.written == 0
+    assert seen.value == 6 and os.listdir(tmp_dir).count("lake2") == 0
+
+
+def test_observed_rules_count_like_the_check(spark):
+    from ledgerlake.catalog import build
+    from ledgerlake.operators import quality
+    from ledgerlake.plans.roundtrips import damaged_bronze
+    from pyspark.sql import Observation
+    m = build(spark, "/root/testdata/sf0.001")
+    for name, df in damaged_bronze(m).items():
+        rules = quality.with_predicates(quality.INGEST_RULES[name])
+        seen = Observation(f"test-{name}")
+        df.observe(seen, *quality.observed(rules)).write.format("noop").mode("overwrite").save()
+        repeats = {r.column: quality.repeats_of(df, r.column) for r in rules
+                   if r.kind in quality.REPEATS}
+        want = [(r.rule, r.column_name, r.severity, r.failing_rows)
+                for r in quality.check(df, name, rules).collect()]
+        assert quality.from_observed(rules, seen.get, repeats) == want

@@ -23,13 +23,17 @@ are never compared.  Inside a band bucket not all pairs are emitted:
 * *star*: every text of a bucket is verified against the bucket's most central text
   (the one with the smallest share of shingles that no other candidate has), which is
   linear in the bucket; verified links are joined into components;
-* *rest*: buckets that still hold several components are searched completely for pairs of
-  different components.  Pairs that share a shingle held by few of these texts are
-  found under it; all others overlap in frequent shingles alone, and only pairs whose
-  exact upper bound from these reaches the threshold are verified (``open_pairs``).
+* *rest*: in buckets that still hold several components, a pair of different components is
+  found by what its texts do not share with the bucket's centre.  The edits of a text are
+  the shingles it has beyond the centre's and those of the centre that it lacks.  The
+  difference of two texts is the difference of their edits, so a text that is not linked to
+  the centre can be linked to another one only if enough edits of the other one, about
+  half of them, are its own, too (``open_pairs``).  Texts with too many edits that nobody
+  shares drop out; the others meet under their rarest shared edits, and are verified.
 
 Both steps together lose no linked pair that shares a band: a pair is either verified,
-or provably below the threshold, or inside one component already.
+or provably below the threshold, or inside one component already.  The number of edits
+that texts share, not the size of a bucket, decides how many pairs are looked at.
 
 NULL texts are no evidence: such a row is its own class and always stays.  Empty
 texts are copies of one another; a text without a word is a duplicate only of its own
@@ -54,8 +58,6 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 32
 ROWS = 4
-#: Texts that hold a rare shingle at most.  A cost parameter: results do not depend on it.
-RARE = 8
 #: Shingles that one signing batch holds at most (a longer document is a batch of its own).
 BATCH = 200_000
 _WORD = re.compile(r"\w+")
@@ -216,44 +218,74 @@ def links(documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS
                         "near-labels")
     # The rest: buckets that still hold several components.
     placed = (members.filter("size > 2").join(label, "digest", "left")
-              .select("band", "digest", F.coalesce("label", "digest").alias("label")))
+              .select("band", "digest", F.coalesce("label", "digest").alias("label"),
+                      (F.col("n") - F.col("common")).alias("lone")))
     mixed = (placed.groupBy("band").agg(F.min("label").alias("l0"), F.max("label").alias("l1"))
              .filter("l0 != l1").select("band"))
-    rest = materialize(placed.join(mixed, "band"), "near-rest")
-    more = verified(open_pairs(rest, sets, threshold), sets, threshold)
-    return label.select(F.col("digest").alias("a"), F.col("label").alias("b")).unionByName(more)
-
-
-def open_pairs(rest: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of different components that may reach the threshold.
-
-    A shingle is rare if at most ``RARE`` texts of ``rest`` hold it.  A pair that shares a
-    rare shingle is found under it (at most RARE texts each).  A pair that shares none
-    overlaps in frequent shingles only, so with f of them in n shingles its overlap is at
-    most min(f_a, f_b); pairs of a bucket whose bound is too low are left out.
+    # Centres of one component are stood for by the most central of them.
+    chosen = (members.groupBy("band").agg(F.min(rank).alias("c"))
+              .join(label.withColumnRenamed("digest", "d"), F.col("c.d") == F.col("d"), "left")
+              .select("band", "c", F.coalesce("label", "c.d").alias("of")))
+    most = chosen.groupBy("of").agg(F.min("c").alias("m")).select("of", F.col("m.d").alias("centre"))
+    rest = (placed.join(mixed, "band").join(chosen, "band").join(most, "of")
+            .filter(F.col("digest") != F.col("centre"))
+            .select("centre", "digest", "label", "lone").distinct())
+    near, pairs = open_pairs(rest, sets, threshold)
+    return (label.select(F.col("digest").alias("a"), F.col("label").alias("b"))
+            .unionByName(near).unionByName(verified(pairs, sets, threshold)))
+
+
+def open_pairs(rest: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) with centres, and pairs (a, b) that may reach the threshold.
+
+    ``rest``: centre, digest, label of the texts of mixed buckets, and how many shingles of
+    each no other text has.  Let n be the sizes of
+    texts u, v and the centre c, h their numbers of edits, and r = (1 - t) / (1 + t) for the
+    threshold t.  u and v are linked if the difference of their edits is at most
+    r * (n_u + n_v), and u is not linked to c if h_u > r * (n_u + n_c); so a link of such a
+    u with v needs more than (h_v + r * (n_c - n_v)) / 2 shared edits.  Two texts that are
+    both linked to c are in one component by that.  An edit that only one text of
+    the centre has is shared with none; of v's other edits, all but this number, the rarest
+    first, must hold one that u has.
     """
-    texts = rest.select("digest", "label").distinct()
-    items = materialize(texts.join(sets, "digest").select(
-        "digest", "label", F.explode("items").alias("item")), "near-items")
-    holders = items.groupBy("item").agg(F.count(F.lit(1)).alias("texts"))
-    few = (items.join(holders.filter((F.col("texts") > 1) & (F.col("texts") <= RARE)), "item")
-           .groupBy("item").agg(F.collect_list(F.struct("digest", "label")).alias("h")))
-    pair = F.explode(F.flatten(F.transform("h", lambda x: F.transform(
-        F.filter("h", lambda y: (x["digest"] < y["digest"]) & (x["label"] != y["label"])),
-        lambda y: F.struct(x["digest"].alias("a"), y["digest"].alias("b"))))))
-    by_rare = few.select(pair.alias("p")).select("p.a", "p.b")
-    frequent = (items.join(holders.filter(F.col("texts") > RARE), "item", "left")
-                .groupBy("digest").agg(F.count(F.lit(1)).alias("n"),
-                                       F.count("texts").alias("f")))
-    x = rest.join(frequent, "digest")
-    l, r = x.alias("l"), x.alias("r")
-    most = F.least("l.f", "r.f")
-    by_bound = (l.join(r, (F.col("l.band") == F.col("r.band"))
-                       & (F.col("l.digest") < F.col("r.digest"))
-                       & (F.col("l.label") != F.col("r.label"))
-                       & (most >= threshold * (F.col("l.n") + F.col("r.n") - most)))
-                .select(F.col("l.digest").alias("a"), F.col("r.digest").alias("b")))
-    return by_rare.unionByName(by_bound).distinct()
+    r = (1 - threshold) / (1 + threshold)
+    x = sets.select("digest", F.col("items").alias("x"))
+    c = sets.select(F.col("digest").alias("centre"), F.col("items").alias("c"))
+    extra, lacks = F.array_except("x", "c"), F.array_except("c", "x")
+    edits = lambda items, more: F.transform(items, lambda i: F.struct(
+        F.lit(more).alias("more"), i.alias("item")))
+    both = (F.col("n") + F.col("m") - F.col("h")) / 2
+    least = F.greatest(F.lit(1), F.floor((F.col("h") + F.lit(r) * (F.col("m") - F.col("n"))) / 2
+                                         - 1e-6) + 1).cast("int")
+    texts = materialize(
+        rest.join(c, "centre").join(x, "digest")
+        .select("centre", "digest", "label", "lone", F.size("x").alias("n"), F.size("c").alias("m"),
+                F.concat(edits(extra, True), edits(lacks, False)).alias("e"))
+        .withColumn("h", F.size("e"))
+        .withColumn("apart", both < F.lit(threshold) * (F.col("n") + F.col("m") - both))
+        .withColumn("able", F.col("h") - F.col("lone") >= least), "near-edits")
+    near = texts.filter("NOT apart").select(F.col("digest").alias("a"), F.col("centre").alias("b"))
+    # Two texts apart from the centre must both be able to share enough; others are needed
+    # only if a text that is linked to the centre is.
+    wide = texts.filter("able AND NOT apart").select("centre").distinct()
+    needed = texts.filter("able").unionByName(
+        texts.filter("apart AND NOT able").join(wide, "centre", "left_semi"))
+    tokens = needed.select("centre", "digest", "label", "n", "m", "h", "apart",
+                           F.explode("e").alias("e"))
+    held = tokens.groupBy("centre", "e").agg(F.count(F.lit(1)).alias("texts"))
+    shared = tokens.join(held.filter("texts > 1"), ["centre", "e"])
+    other = (shared.groupBy("centre", "digest", "label", "n", "m", "h")
+             .agg(F.array_sort(F.collect_list(F.struct("texts", "e"))).alias("s"))
+             .withColumn("k", F.size("s") - least + 1).filter("k > 0")
+             .select("centre", F.col("digest").alias("b"), F.col("label").alias("lb"),
+                     F.col("n").alias("nb"), F.explode(F.slice("s", 1, F.col("k"))).alias("s"))
+             .select("centre", "b", "lb", "nb", F.col("s.e").alias("e")))
+    own = shared.filter("apart").select("centre", "e", F.col("digest").alias("a"),
+                                        F.col("label").alias("la"), F.col("n").alias("na"))
+    pairs = own.join(other, ["centre", "e"]).filter(
+        (F.col("la") != F.col("lb")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb")))
+    return near, pairs.select(F.least("a", "b").alias("a"),
+                              F.greatest("a", "b").alias("b")).distinct()
 
 
 def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

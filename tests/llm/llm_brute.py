@@ -4,8 +4,6 @@ import re
 from collections import Counter
 from itertools import combinations
 
-from ledgerlake.llm import line_dedup
-
 
 def bag(text):
     w = re.findall(r"\w+", text.lower())
@@ -41,27 +39,29 @@ def brute_classes(rows, threshold=0.8):
     return {d: root(d) for d in up}
 
 
-def brute_lines(rows, min_words=5):
-    """(doc_id, text) after deletion, by the docstring, with plain loops."""
-    order = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0))
-    lines = {r: [(i, x) for i, x in enumerate(r[1].split("\n")) if x.split()]
-             for r in order if r[1] is not None}
-    holders = {}
-    for r in lines:
-        for _, x in lines[r]:
-            holders.setdefault(x, [])
-            if r not in holders[x]:
-                holders[x].append(r)
-    shared = {r: [(p, i, len(x.split()), x) for p, (i, x) in enumerate(ls)
-                  if len(holders[x]) > 1] for r, ls in lines.items()}
-    out = []
-    for r in rows:
-        if r[1] is None:
-            out.append(r)
+def every_block(rows, min_words=5):
+    """(doc_id, text) without the lines in a block that an earlier document holds: plain loops
+    over all runs of lines, without the operator's code.  Unique, ordered doc_ids."""
+    seen, out = set(), []
+    for d, t in rows:
+        if t is None:
+            out.append((d, t))
             continue
-        early = {holders[x][0] for _, _, n, x in shared[r] if n >= min_words} - {r}
-        gone = {i for e in early for i in line_dedup.common_blocks(shared[e], shared[r], min_words)}
-        out.append((r[0], "\n".join(x for i, x in enumerate(r[1].split("\n")) if i not in gone)))
+        lines = t.split("\n")
+        full = [i for i, x in enumerate(lines) if x.split()]
+        gone, mine = set(), []
+        for a in range(len(full)):
+            run, words, last = (), 0, a
+            for b in range(a, len(full)):
+                line = lines[full[b]]
+                run, words = hash((run, line)), words + len(line.split())
+                if words >= min_words:
+                    mine.append(run)
+                    if run in seen:
+                        last = b + 1
+            gone.update(full[a:last])
+        seen.update(mine)
+        out.append((d, "\n".join(x for i, x in enumerate(lines) if i not in gone)))
     return out
 
 

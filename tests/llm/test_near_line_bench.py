@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from llm_brute import brute_classes, brute_leaks, brute_lines
+from llm_brute import brute_classes, brute_leaks, every_block, jaccard
 
 from ledgerlake.llm import decontaminate, line_dedup, near_dedup
 from ledgerlake.llm.common import table
@@ -109,7 +109,7 @@ def test_line_dedup_whole_table(spark):
     d = table(spark, SF, "documents").select("doc_id", "text")
     rows = rows_of(d)
     got = line_dedup.dedup_lines(d).select("doc_id", "text").collect()
-    assert sorted(map(tuple, got)) == sorted(brute_lines(rows))
+    assert sorted(map(tuple, got)) == sorted(every_block(sorted(rows)))
     assert any(a != b for a, b in zip(sorted(rows), sorted(map(tuple, got))))
 
 
@@ -118,11 +118,54 @@ def test_line_dedup_keeps_every_long_line_somewhere(spark):
     pool = [" ".join(rng.choices(WORDS, k=rng.choice([1, 2, 6, 12]))) for _ in range(40)]
     rows = [(i, "\n".join(rng.choices([*pool, ""], k=rng.randrange(1, 14)))) for i in range(60)]
     got = [(r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(docs(spark, rows)).collect()]
-    assert sorted(got) == sorted(brute_lines(rows))
+    assert sorted(got) == sorted(every_block(sorted(rows)))
     before = {x for _, t in rows for x in t.split("\n") if x.split()}
     assert before == {x for _, t in got for x in t.split("\n") if x.split()}
 
 
+def near_copies(seed, n=70):
+    """Copies of a text with some words replaced, often by the same words at the same places,
+    so that many lie around the threshold of each other and of the first one."""
+    rng = random.Random(seed)
+    base = rng.choices(WORDS, k=120)
+    edits = [(rng.randrange(120), rng.choice(WORDS)) for _ in range(14)]
+    out = [(0, " ".join(base))]
+    for i in range(1, n):
+        w = list(base)
+        for _ in range(rng.randrange(1, 8)):
+            k, x = rng.choice(edits) if rng.random() < 0.7 else (rng.randrange(120), f"u{i}")
+            w[k] = x
+        out.append((i, " ".join(w)))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_open_pairs_hold_every_link_of_different_components(spark, seed):
+    from itertools import combinations
+    from ledgerlake.llm.near_dedup import multiset, open_pairs, unfolded
+    from ledgerlake.llm.common import WordHash
+    rows, words = near_copies(seed), WordHash()
+    sets = [(bytes([i]), unfolded(*multiset(t, words)).view("int64").tolist()) for i, t in rows]
+    holders = Counter(x for _, items in sets for x in items)
+    rest = [(sets[0][0], d, d, sum(holders[x] == 1 for x in items)) for d, items in sets[1:]]
+    near, pairs = open_pairs(
+        spark.createDataFrame(rest, "centre binary, digest binary, label binary, lone int"),
+        spark.createDataFrame(sets, "digest binary, items array<long>"), 0.8)
+    linked = {(a, b) for (a, x), (b, y) in combinations(rows, 2) if jaccard(x, y) >= 0.8}
+    centre = {bytes(r["a"])[0] for r in near.collect()}
+    assert centre == {b for a, b in linked if a == 0}
+    got = {(bytes(r["a"])[0], bytes(r["b"])[0]) for r in pairs.collect()}
+    missing = {(a, b) for a, b in linked if a and not (a in centre and b in centre)} - got
+    assert not missing and any(a and not (a in centre and b in centre) for a, b in linked)
+    assert len(got) < 0.8 * len(rows) ** 2 / 2
+
+
+def test_near_copies_around_the_threshold(spark):
+    rows = [(1000 * s + i, t) for s in range(4) for i, t in near_copies(s, 40)]
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(docs(spark, rows)).collect()}
+    assert got == brute_classes(rows)
+
+
 def test_line_dedup_edges(spark):
     long = "one two three four five six"
     rows = [(1, f"{long}\nand\n\nseven eight nine ten eleven"), (2, f"x\n{long}\nand"), (3, None),
@@ -138,22 +181,6 @@ def test_line_dedup_edges(spark):
     assert line_dedup.dedup_lines(docs(spark, [])).count() == 0
 
 
-def every_block(rows, min_words=5):
-    """(doc_id, text) without the lines in a block that an earlier document holds: plain loops
-    over all runs of lines, without the operator's code.  Unique, ordered doc_ids."""
-    seen, out = set(), []
-    for d, t in rows:
-        lines = t.split("\n")
-        full = [i for i, x in enumerate(lines) if x.split()]
-        runs = [(a, b, tuple(lines[i] for i in full[a:b])) for a in range(len(full))
-                for b in range(a + 1, len(full) + 1)
-                if sum(len(lines[i].split()) for i in full[a:b]) >= min_words]
-        gone = {full[i] for a, b, r in runs if r in seen for i in range(a, b)}
-        seen.update(r for *_, r in runs)
-        out.append((d, "\n".join(x for i, x in enumerate(lines) if i not in gone)))
-    return out
-
-
 def deduped(spark, rows):
     return sorted((r["doc_id"], r["text"])
                   for r in line_dedup.dedup_lines(docs(spark, rows)).collect())

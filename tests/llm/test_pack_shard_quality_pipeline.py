@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 from itertools import product
 
 import numpy as np
-from llm_brute import brute_classes, brute_leaks, brute_lines
+from llm_brute import brute_classes, brute_leaks, every_block
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import packing, quality_rules, queries, sharding
@@ -234,7 +234,7 @@ def test_pipeline_stages_against_brute_force(spark):
                     if r["kept"]}
             want = [r for r in now if r[0] in kept]
         elif k == 1:
-            want = [r for r, old in zip(brute_lines(now), now) if r[1].split() or r == old]
+            want = [r for r, old in zip(every_block(now), now) if r[1].split() or r == old]
         elif k == 2:
             classes = brute_classes(now)
             want = [r for r in now if classes[r[0]] == r[0]]

@@ -274,16 +274,31 @@ def open_pairs(rest: DataFrame, sets: DataFrame, threshold: float) -> tuple[Data
                            F.explode("e").alias("e"))
     held = tokens.groupBy("centre", "e").agg(F.count(F.lit(1)).alias("texts"))
     shared = tokens.join(held.filter("texts > 1"), ["centre", "e"])
-    other = (shared.groupBy("centre", "digest", "label", "n", "m", "h")
-             .agg(F.array_sort(F.collect_list(F.struct("texts", "e"))).alias("s"))
-             .withColumn("k", F.size("s") - least + 1).filter("k > 0")
-             .select("centre", F.col("digest").alias("b"), F.col("label").alias("lb"),
-                     F.col("n").alias("nb"), F.explode(F.slice("s", 1, F.col("k"))).alias("s"))
-             .select("centre", "b", "lb", "nb", F.col("s.e").alias("e")))
-    own = shared.filter("apart").select("centre", "e", F.col("digest").alias("a"),
-                                        F.col("label").alias("la"), F.col("n").alias("na"))
-    pairs = own.join(other, ["centre", "e"]).filter(
-        (F.col("la") != F.col("lb")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb")))
+    # Edits in one order, the rarest first; two texts that share o of them meet first at a
+    # place that leaves o - 1 in both, so only the first places need to be joined.
+    # ``few``: the edits that any link needs of a text that is apart.
+    few = F.greatest(F.lit(1), F.floor((F.col("h") - F.lit(r) * (F.col("m") + F.col("n"))) / 2
+                                       - 1e-6) + 1).cast("int")
+    placed = (shared.groupBy("centre", "digest", "label", "n", "m", "h", "apart")
+              .agg(F.array_sort(F.collect_list(F.struct("texts", "e"))).alias("s"))
+              .withColumn("size", F.size("s")).withColumn("last", F.col("size") - least + 1)
+              .withColumn("upto", F.when(F.col("apart"), F.greatest(
+                  F.col("last"), F.col("size") - few + 1)).otherwise(F.col("last")))
+              .filter("upto > 0")
+              .select("centre", "digest", "label", "n", "h", "apart", "size", "last",
+                      F.posexplode(F.slice("s", 1, F.col("upto"))).alias("at", "s"))
+              .select("centre", F.col("s.e").alias("e"), "digest", "label", "n", "h", "apart",
+                      "size", "last", "at"))
+    u, v = placed.filter("apart").alias("u"), placed.filter("at < last").alias("v")
+    left = F.least(F.col("u.size") - F.col("u.at"), F.col("v.size") - F.col("v.at"))
+    wanted = (F.col("u.h") + F.col("v.h") - F.lit(r) * (F.col("u.n") + F.col("v.n"))) / 2 - 1e-6
+    pairs = u.join(v, (F.col("u.centre") == F.col("v.centre")) & (F.col("u.e") == F.col("v.e"))
+                   & (F.col("u.label") != F.col("v.label"))
+                   & (~F.col("v.apart") | ((F.col("u.digest") < F.col("v.digest"))
+                                           & (F.col("u.at") < F.col("u.last"))))
+                   & (left >= wanted)
+                   & (F.least("u.n", "v.n") >= threshold * F.greatest("u.n", "v.n"))).select(
+        F.col("u.digest").alias("a"), F.col("v.digest").alias("b"))
     return near, pairs.select(F.least("a", "b").alias("a"),
                               F.greatest("a", "b").alias("b")).distinct()
 

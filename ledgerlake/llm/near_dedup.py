@@ -46,7 +46,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import (WordHash, map_rows, mix64, shingle_hashes, text_digest,
@@ -272,14 +272,14 @@ def open_pairs(rest: DataFrame, sets: DataFrame, threshold: float) -> tuple[Data
         texts.filter("apart AND NOT able").join(wide, "centre", "left_semi"))
     tokens = needed.select("centre", "digest", "label", "n", "m", "h", "apart",
                            F.explode("e").alias("e"))
-    held = tokens.groupBy("centre", "e").agg(F.count(F.lit(1)).alias("texts"))
-    shared = tokens.join(held.filter("texts > 1"), ["centre", "e"])
+    holders = F.count(F.lit(1)).over(Window.partitionBy("centre", "e"))
+    shared = tokens.withColumn("texts", holders).filter("texts > 1")
     # Edits in one order, the rarest first; two texts that share o of them meet first at a
     # place that leaves o - 1 in both, so only the first places need to be joined.
     # ``few``: the edits that any link needs of a text that is apart.
     few = F.greatest(F.lit(1), F.floor((F.col("h") - F.lit(r) * (F.col("m") + F.col("n"))) / 2
                                        - 1e-6) + 1).cast("int")
-    placed = (shared.groupBy("centre", "digest", "label", "n", "m", "h", "apart")
+    placed = materialize(shared.groupBy("centre", "digest", "label", "n", "m", "h", "apart")
               .agg(F.array_sort(F.collect_list(F.struct("texts", "e"))).alias("s"))
               .withColumn("size", F.size("s")).withColumn("last", F.col("size") - least + 1)
               .withColumn("upto", F.when(F.col("apart"), F.greatest(
@@ -288,7 +288,7 @@ def open_pairs(rest: DataFrame, sets: DataFrame, threshold: float) -> tuple[Data
               .select("centre", "digest", "label", "n", "h", "apart", "size", "last",
                       F.posexplode(F.slice("s", 1, F.col("upto"))).alias("at", "s"))
               .select("centre", F.col("s.e").alias("e"), "digest", "label", "n", "h", "apart",
-                      "size", "last", "at"))
+                      "size", "last", "at"), "near-shared-edits")
     u, v = placed.filter("apart").alias("u"), placed.filter("at < last").alias("v")
     left = F.least(F.col("u.size") - F.col("u.at"), F.col("v.size") - F.col("v.at"))
     wanted = (F.col("u.h") + F.col("v.h") - F.lit(r) * (F.col("u.n") + F.col("v.n"))) / 2 - 1e-6

@@ -227,14 +227,33 @@ def links(documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS
               .join(label.withColumnRenamed("digest", "d"), F.col("c.d") == F.col("d"), "left")
               .select("band", "c", F.coalesce("label", "c.d").alias("of")))
     most = chosen.groupBy("of").agg(F.min("c").alias("m")).select("of", F.col("m.d").alias("centre"))
-    rest = (placed.join(mixed, "band").join(chosen, "band").join(most, "of")
-            .filter(F.col("digest") != F.col("centre"))
+    held = materialize(placed.join(mixed, "band").join(chosen, "band").join(most, "of")
+                       .select("band", "centre", "digest", "label", "lone"), "near-mixed")
+    rest = (fewest_centres(held).filter(F.col("digest") != F.col("centre"))
             .select("centre", "digest", "label", "lone").distinct())
     near, pairs = open_pairs(rest, sets, threshold)
     return (label.select(F.col("digest").alias("a"), F.col("label").alias("b"))
             .unionByName(near).unionByName(verified(pairs, sets, threshold)))
 
 
+def fewest_centres(held: DataFrame) -> DataFrame:
+    """``held`` (band, centre, digest, ...) with one centre for buckets of much the same texts.
+
+    Any text can be the centre of any bucket, as long as a bucket has one.  A bucket takes,
+    of the centres that half of its texts are compared with anyway, the one with the most
+    texts; so texts that meet in many bands are not compared with a new centre in each.
+    """
+    meets = held.select("centre", "digest").distinct()
+    texts = meets.groupBy("centre").agg(F.count(F.lit(1)).alias("texts"))
+    size = held.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
+    cover = (held.select("band", "digest").join(meets, "digest")
+             .groupBy("band", "centre").agg(F.count(F.lit(1)).alias("both")))
+    best = (cover.join(size, "band").filter("2 * both >= size").join(texts, "centre")
+            .groupBy("band").agg(F.max(F.struct("texts", "centre")).alias("best"))
+            .select("band", F.col("best.centre").alias("centre")))
+    return held.drop("centre").join(best, "band")
+
+
 def open_pairs(rest: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) with centres, and pairs (a, b) that may reach the threshold.
 

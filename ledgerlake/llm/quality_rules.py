@@ -4,11 +4,14 @@ Every line with a word gets a feature vector; a two-label chain (content or
 boilerplate) is decoded with Viterbi, and a document is kept when lines marked as
 content hold at least ``min_share`` of its words and no base rule failed.
 
-The chain is trained here, on line vectors of at most ``TRAIN_DOCS`` labelled
-documents of each quality (the documented bound of the training sample; the
-labelled rows with the smallest hash of doc_id are taken).  The lines of a document of
-quality 1 count as content, those of quality 0 as boilerplate.  Training maximises
-the exact conditional likelihood (forward-backward).  Without labelled rows of both
+The chain is trained here, on at most ``TRAIN_DOCS`` labelled documents of each quality
+and ``TRAIN_LINES`` lines of each (the documented bounds of the training sample; the
+labelled rows with the smallest hash of doc_id are taken, and their first lines).  The lines
+of a document of quality 1 count as content, those of quality 0 as boilerplate.  Besides
+these documents, the chain sees spliced ones (``spliced``): the lines of one kind followed by
+those of the other, so that labels change inside a sequence and the transitions are
+learned from changes, too.  Training maximises the exact conditional likelihood
+(forward-backward).  Without labelled rows of both
 kinds no line is boilerplate and the base rules alone decide.
 
 NULL text: no words, base rules fail, not kept.  NULL doc_id and repeated rows are
@@ -30,6 +33,7 @@ from ledgerlake.llm.common import map_rows
 from ledgerlake.session import ship_package
 
 TRAIN_DOCS = 500
+TRAIN_LINES = 100
 MIN_SHARE = 0.5
 SYMBOLS = "#*$%&|<>"
 N_FEATURES = 12
@@ -83,13 +87,16 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int, bool]:
 
 # --- lines -----------------------------------------------------------------------------
 
-def line_vectors(text: str | None) -> tuple[list[list[float]], list[int]]:
-    """Feature vectors and word counts of the lines that have a word."""
+def line_vectors(text: str | None, most: int | None = None
+                 ) -> tuple[list[list[float]], list[int]]:
+    """Feature vectors and word counts of the (first ``most``) lines that have a word."""
     out, sizes, seen = [], [], set()
     for line in (text or "").split("\n"):
         w = line.encode().split()
         if not w:
             continue
+        if len(out) == most:
+            break
         n, chars = len(w), max(len(line), 1)
         sym = sum(map(line.count, SYMBOLS))
         ends = line.rstrip()[-1:]
@@ -123,29 +130,39 @@ def viterbi(x: list[list[float]], w: np.ndarray, trans: np.ndarray) -> list[int]
     return label[::-1]
 
 
-def train(seqs: list[np.ndarray], labels: list[int], steps: int = 120, rate: float = 0.3,
+def spliced(seqs: list[np.ndarray], labels: list[int]) -> tuple[list, list[np.ndarray]]:
+    """The sequences with a label for each line, and the k-th of one kind joined to the k-th
+    of the other: content first in every second one."""
+    pairs = zip(*([s for s, y in zip(seqs, labels) if y == q and len(s)] for q in (0, 1)))
+    out = [(s, np.full(len(s), y)) for s, y in zip(seqs, labels) if len(s)]
+    for k, two in enumerate(pairs):
+        order = (0, 1) if k % 2 else (1, 0)
+        out.append((np.concatenate([two[q] for q in order]),
+                    np.concatenate([np.full(len(two[q]), q) for q in order])))
+    return [s for s, _ in out], [y for _, y in out]
+
+
+def train(seqs: list[np.ndarray], labels: list[np.ndarray], steps: int = 120, rate: float = 0.3,
           l2: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
     """Weights (2, features) and transitions (2, 2) by gradient ascent on the likelihood.
 
-    Each sequence has one label for all its lines.  Padded positions carry weight 0.
+    ``labels`` holds one label for each line of each (non-empty) sequence.  Padded positions
+    carry weight 0.
     """
     w, t = np.zeros((2, N_FEATURES)), np.zeros((2, 2))
-    seqs, labels = zip(*[(s, y) for s, y in zip(seqs, labels) if len(s)]) if any(
-        len(s) for s in seqs) else ((), ())
-    if len(set(labels)) < 2:
+    if len({int(y) for ys in labels for y in ys}) < 2:
         return w, t
     n, length = len(seqs), max(map(len, seqs))
     x = np.zeros((n, length, N_FEATURES))
     on = np.zeros((n, length))
-    for i, s in enumerate(seqs):
+    gold, gold_t = np.zeros((n, length, 2)), np.zeros((n, 2, 2))
+    for i, (s, y) in enumerate(zip(seqs, labels)):
         x[i, :len(s)], on[i, :len(s)] = s, 1.0
-    y = np.asarray(labels)
-    weight = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
-    weight = weight / on.sum(1)  # a long document counts as much as a short one
-    gold = np.zeros((n, length, 2))
-    gold[np.arange(n), :, y] = 1.0
-    gold_t = np.zeros((n, 2, 2))
-    gold_t[np.arange(n), y, y] = np.maximum(on.sum(1) - 1, 0)
+        gold[i, np.arange(len(s)), y] = 1.0
+        np.add.at(gold_t[i], (y[:-1], y[1:]), 1.0)
+    # Pure sequences of each label and mixed ones weigh alike, as do long and short ones.
+    kind = np.asarray([int(y[0]) if (y == y[0]).all() else 2 for y in labels])
+    weight = 1 / np.bincount(kind, minlength=3)[kind] / len(set(kind.tolist())) / on.sum(1)
     m_w, v_w, m_t, v_t = np.zeros_like(w), np.zeros_like(w), np.zeros_like(t), np.zeros_like(t)
     for step in range(1, steps + 1):
         e = x @ w.T
@@ -192,12 +209,12 @@ def fit(documents: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS
 
     def vectors(rs: Iterable[tuple]) -> Iterator[tuple]:
         for q, text in rs:
-            yield q, [v for line in line_vectors(text)[0] for v in line]
+            yield q, [v for line in line_vectors(text, TRAIN_LINES)[0] for v in line]
 
     got = map_rows(rows, vectors, "quality int, v array<double>").collect()
     got.sort(key=lambda r: (r[0], len(r[1]), r[1]))
     seqs = [np.asarray(r[1], dtype=float).reshape(-1, N_FEATURES) for r in got]
-    return train(seqs, [int(r[0]) for r in got])
+    return train(*spliced(seqs, [int(r[0]) for r in got]))
 
 
 def judge(documents: DataFrame, model: tuple[np.ndarray, np.ndarray],

@@ -186,6 +186,35 @@ def test_quality_held_out_accuracy(spark):
     assert sum(bool(q) == k for q, k in got) >= 0.97 * len(got) and len(got) > 100
 
 
+def test_quality_chain_sees_both_labels_in_a_document(spark):
+    sf = "/root/testdata/sf0.01"
+    d, lab = table(spark, sf, "documents"), table(spark, sf, "labels")
+    w, t = quality_rules.fit(d, lab)
+    texts = [[r["text"] for r in d.join(lab, "doc_id").filter(F.col("quality") == q)
+              .filter(F.length("text") < 5000).orderBy("doc_id").limit(60).collect()]
+             for q in (0, 1)]
+    right = lines = mixed = 0
+    for bad, good in zip(*texts):
+        for parts in ((good, bad), (bad, good)):
+            want = [y for p in parts for y in [int(p is good)] * len(
+                quality_rules.line_vectors(p)[0])]
+            got = quality_rules.viterbi(quality_rules.line_vectors("\n".join(parts))[0], w, t)
+            right += sum(a == b for a, b in zip(got, want))
+            lines += len(want)
+            mixed += 0 < sum(got) < len(got)
+    assert right >= 0.9 * lines and mixed >= 0.9 * 2 * min(map(len, texts))
+
+
+def test_quality_training_is_bounded_in_lines(spark):
+    good, bad = "A calm sentence of words. " * 3, "# $ | < > & * %"
+    long = spark.createDataFrame([(1, "\n".join([good] * 100_000)), (2, "\n".join([bad] * 30))],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    model = quality_rules.fit(long, labels)
+    assert len(quality_rules.line_vectors("a\n" * 500, quality_rules.TRAIN_LINES)[0]) == 100
+    assert quality_rules.viterbi(quality_rules.line_vectors(f"{good}\n{bad}")[0], *model)[0] == 1
+
+
 def test_quality_edges(spark):
     texts = [None, "", "\x1c \x85 a b", "a b c d e a b c d e f", " \t\n", "same line\nsame line\n",
              "w " * 40000, "é|é " * 12, "a\x0bb\x0cc\rd e f g h i j k"]

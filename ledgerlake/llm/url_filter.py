@@ -26,7 +26,8 @@ from pyspark.sql.functions import pandas_udf
 
 from ledgerlake.session import ship_package
 
-FEATURES = 1 << 13
+#: Wide enough that n-grams of hosts, of paths and of other URLs seldom share a slot.
+FEATURES = 1 << 16
 SIZES = (3, 4, 5)
 #: Rules as (verdict, host, path).
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"),
@@ -48,14 +49,32 @@ ALLOW_WORDS = ["news", "blog", "library", "university", "museum", "weather", "re
                "mountain", "northern", "office", "orchestra", "painting", "parish", "photo",
                "planet", "poetry", "radio", "railway", "research", "restaurant", "sailing",
                "society", "software", "station", "student", "teacher", "transport", "village",
-               "winter", "workshop", "anderson", "bennett", "fischer", "garcia", "henderson",
+               "winter", "workshop", "building", "camera", "castle", "evening", "driving", "anderson", "bennett", "fischer", "garcia", "henderson",
                "johansson", "martin", "nguyen", "rossi", "schneider", "williams", "berlin",
                "london", "madrid", "toronto", "1984", "2020", "365", "42", "archive7"]
-PATHS = ["/", "/en/12.html", "/de/804/", "/fr/33?page=2&ref=x", "/es/7#top", "/2021/05/notes"]
+#: Neutral paths, dealt alike to the hosts of both classes.
+PATHS = ["/", "/en/12.html", "/de/804/", "/fr/33", "/es/7", "/2021/05/12"]
+#: Fixed values, written by hand: words of paths to block and of paths to allow.
+BLOCK_PATHS = ["casino", "poker", "jackpot", "lottery", "roulette", "betting", "freespins",
+               "bonus-code", "viagra", "pharmacy", "weightloss", "payday-loan", "porn", "xxx",
+               "adult", "escorts", "hookup", "warez", "crack", "keygen", "torrent", "phish",
+               "malware", "replica"]
+ALLOW_PATHS = ["news", "article", "about", "contact", "products", "docs", "help", "wiki",
+               "recipes", "research", "events", "calendar", "courses", "library", "gallery",
+               "archive", "reports", "travel", "weather", "sports", "science", "history",
+               "music", "books", "tags", "category", "search", "index.html", "download",
+               "support", "team", "careers", "press", "privacy", "forum", "blog", "questions",
+               "guide", "manual", "story"]
+#: Neutral hosts, dealt alike to the paths of both classes.
+HOSTS = ["site.example.org", "www.home.example.net", "portal.example.com", "my.pages.example.org"]
 
 
 def labelled_urls() -> list[tuple[str, str, int]]:
-    """The labelled table (host, path, 1: block), built from the words above by a rule."""
+    """The labelled table (host, path, 1: block), built from the words above by a rule.
+
+    Words of hosts stand on neutral paths and words of paths on neutral hosts, so each
+    n-gram learns from its own half.
+    """
     out = []
     for words, label in ((BLOCK_WORDS, 1), (ALLOW_WORDS, 0)):
         for i, w in enumerate(words):
@@ -63,6 +82,10 @@ def labelled_urls() -> list[tuple[str, str, int]]:
             hosts = [f"{w}.example.org", f"www.{w}-{other}.example.net", f"m.{other}-{w}.example.com",
                      f"blog.{w}.example.com"]
             out += [(h, PATHS[(i + j) % len(PATHS)], label) for j, h in enumerate(hosts)]
+    for words, label in ((BLOCK_PATHS, 1), (ALLOW_PATHS, 0)):
+        for i, w in enumerate(words):
+            other = words[(i * 7 + 3) % len(words)]
+            out.append((HOSTS[i % len(HOSTS)], f"/{other}/{w}", label))
     return out
 
 
@@ -79,21 +102,29 @@ def slots(host: str, path: str) -> list[int]:
 
 
 @lru_cache(maxsize=1)
-def trained(steps: int = 300, rate: float = 1.0, l2: float = 1e-3) -> tuple[np.ndarray, float]:
+def trained(steps: int = 1000, rate: float = 1.0, l2: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias."""
-    rows = labelled_urls()
-    x = np.zeros((len(rows), FEATURES))
-    for i, (host, path, _) in enumerate(rows):
-        s = slots(host, path)
-        x[i, s] = 1 / np.sqrt(len(s))
+    return fit(labelled_urls(), steps, rate, l2)
+
+
+def fit(rows: list[tuple[str, str, int]], steps: int = 1000, rate: float = 1.0,
+        l2: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Weights and bias learned from (host, path, label) rows; slots in no row weigh 0."""
+    sets = [slots(host, path) for host, path, _ in rows]
+    used = np.unique(np.concatenate(sets))
+    x = np.zeros((len(rows), len(used)))
+    for i, s in enumerate(sets):
+        x[i, np.searchsorted(used, s)] = 1 / np.sqrt(len(s))
     y = np.array([r[2] for r in rows], dtype=float)
     weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
-    w, b = np.zeros(FEATURES), 0.0
+    w, b = np.zeros(len(used)), 0.0
     for _ in range(steps):
         e = (1 / (1 + np.exp(-(x @ w + b))) - y) * weight
         w -= rate * 20 * (x.T @ e + l2 * w / 20)
         b -= rate * e.sum()
-    return w, b
+    full = np.zeros(FEATURES)
+    full[used] = w
+    return full, b
 
 
 def probability(host: str, path: str, model: tuple[np.ndarray, float]) -> float:

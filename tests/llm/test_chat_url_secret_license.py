@@ -127,6 +127,39 @@ def test_url_labels_are_not_taken_from_the_pages(spark):
         False] * 5
 
 
+def test_url_paths_are_judged_by_their_own_words():
+    model = url_filter.trained()
+    host = "hello.example.org"
+    bad = ["/casino/bonus", "/porn/video1", "/casino-win/page", "/torrents/2", "/viagra/buy"]
+    good = ["/en/7", "/news/today", "/articles/today", "/privacy.html", "/docs/adult-education"]
+    assert [url_filter.probability(host, p, model) >= 0.5 for p in bad + good] == [True] * 5 + [
+        False] * 5
+    neutral = {(p, y) for h, p, y in url_filter.labelled_urls() if p in url_filter.PATHS}
+    assert neutral == {(p, y) for p in url_filter.PATHS for y in (0, 1)}
+
+
+def test_url_model_on_unseen_compounds():
+    """Shares of allowed and blocked URLs judged right: known words in new surroundings."""
+    model = url_filter.trained()
+
+    def shares(urls):
+        right = [[(url_filter.probability(h, p, model) >= 0.5) == y for h, p, y in urls if y == k]
+                 for k in (False, True)]
+        return [sum(x) / len(x) for x in right]
+
+    paths = [(f"{h}.example.org", f"/{a}-{w}/{n}", y)
+             for ws, y in ((url_filter.BLOCK_PATHS, True), (url_filter.ALLOW_PATHS, False))
+             for n, w in enumerate(ws) for h in ("green", "delta", "owl")
+             for a in ("my", "best", "the")]
+    hosts = [(f"{a}{w}.{t}", p, y)
+             for ws, y in ((url_filter.BLOCK_WORDS, True), (url_filter.ALLOW_WORDS, False))
+             for w in ws for a, t in (("my", "org"), ("top-", "net"), ("get", "co.uk"))
+             for p in ("/", "/de/5.html")]
+    allowed, blocked = shares(paths)
+    assert allowed >= 0.97 and blocked >= 0.7
+    assert min(shares(hosts)) >= 0.97
+
+
 # --- secrets ---------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|"""

@@ -12,8 +12,12 @@ similarity of at least 1/4 with it (more than C / 2 shingles of at most 3 C / 2,
 the part that ``CONTAINMENT`` lets go), so the template is retrieved with a
 probability of at least 1 - (3/4)^64 > 1 - 2e-8.
 
-Verification: the exact share of the template's shingles that the window holds must be
-``CONTAINMENT`` or more.  Verified windows of a template that overlap make one span, from
+All templates of a size class are looked up at once in the sorted smallest hashes of a
+band, so the scan's cost hardly depends on their number.
+
+Verification: some stretch of the window that is as long as the template must hold
+``CONTAINMENT`` of the template's shingles or more, exactly (so a notice with words put in,
+such as another variant of a license, is not taken for the shorter one).  Verified windows of a template that overlap make one span, from
 the first to the last word of a matching shingle.
 
 The template table is a parameter with at most ``MAX_TEMPLATES`` entries, sent to every
@@ -35,6 +39,8 @@ SHINGLE = 3
 BANDS = 64
 CONTAINMENT = 0.8
 MAX_TEMPLATES = 1000
+#: Marks of one size class and band (few of them set, even with ``MAX_TEMPLATES``).
+SLOTS = 1 << 14
 #: Shingles of one batch at most (a longer document is a batch of its own).
 BATCH = 100_000
 _WORD = re.compile(r"[^\W_]+")
@@ -59,6 +65,38 @@ TEMPLATES = [
      "International License."),
     ("cc-by-nc-4.0", "noncommercial", "Licensed under CC BY-NC 4.0."),
     ("proprietary", "proprietary", "All rights reserved."),
+    ("mit", "permissive", "The above copyright notice and this permission notice shall be "
+     "included in all copies or substantial portions of the Software."),
+    ("apache-2.0", "permissive", "Unless required by applicable law or agreed to in writing, "
+     "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT "
+     "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
+    ("bsd", "permissive", "Neither the name of the copyright holder nor the names of its "
+     "contributors may be used to endorse or promote products derived from this software "
+     "without specific prior written permission."),
+    ("isc", "permissive", "Permission to use, copy, modify, and/or distribute this software for "
+     "any purpose with or without fee is hereby granted, provided that the above copyright "
+     "notice and this permission notice appear in all copies."),
+    ("zlib", "permissive", "The origin of this software must not be misrepresented; you must not "
+     "claim that you wrote the original software."),
+    ("bsl-1.0", "permissive", "Distributed under the Boost Software License, Version 1.0."),
+    ("unlicense", "permissive", "This is free and unencumbered software released into the public "
+     "domain."),
+    ("cc0-1.0", "permissive", "To the extent possible under law, the author has waived all "
+     "copyright and related or neighboring rights to this work."),
+    ("lgpl", "copyleft", "This library is free software; you can redistribute it and/or modify it "
+     "under the terms of the GNU Lesser General Public License as published by the Free "
+     "Software Foundation"),
+    ("agpl-3.0", "copyleft", "You should have received a copy of the GNU Affero General Public "
+     "License along with this program."),
+    ("epl-2.0", "copyleft", "This program and the accompanying materials are made available under "
+     "the terms of the Eclipse Public License 2.0"),
+    ("cc-by-sa-4.0", "copyleft", "This work is licensed under a Creative Commons "
+     "Attribution-ShareAlike 4.0 International License."),
+    ("cc-by-nc-4.0", "noncommercial", "This work is licensed under a Creative Commons "
+     "Attribution-NonCommercial 4.0 International License."),
+    ("proprietary", "proprietary", "No part of this publication may be reproduced, stored in a "
+     "retrieval system, or transmitted in any form or by any means without the prior written "
+     "permission of the publisher."),
 ]
 KINDS = ("proprietary", "noncommercial", "copyleft", "permissive")
 
@@ -78,6 +116,11 @@ def shingles(text: str, words: WordHash) -> np.ndarray:
     return shingle_hashes(h, SHINGLE) if len(h) >= SHINGLE else h[:0]
 
 
+def slot(low: np.ndarray) -> np.ndarray:
+    """The slot of a window's smallest hash (middle bits: the top ones of minima are small)."""
+    return (low >> np.uint64(24)).astype(np.uint32) & np.uint32(SLOTS - 1)
+
+
 class Index:
     """Templates by size class with the smallest hash of each band."""
 
@@ -97,13 +140,28 @@ class Index:
                 self.levels.setdefault(max(1, (n - 1).bit_length()), []).append(t)
         self.lowest = [[self.order(s, p).min() if len(s) else None for s in self.sets]
                        for p in range(BANDS)]
+        self.tables = {(level, p): self.lookup(level, p)
+                       for level in self.levels for p in range(BANDS)}
 
     def order(self, s: np.ndarray, band: int) -> np.ndarray:
         with np.errstate(over="ignore"):
             return s * self.factors[band]
 
+    def lookup(self, level: int, band: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Marked slots, sorted minima and their templates of one size class and band."""
+        group = np.array(self.levels[level])
+        low = np.array([self.lowest[band][t] for t in group], dtype=np.uint64)
+        rank = np.argsort(low, kind="stable")
+        marks = np.zeros(SLOTS, dtype=bool)
+        marks[slot(low)] = True
+        return marks, low[rank], group[rank]
+
     def retrieve(self, s: np.ndarray) -> set[tuple[int, int, int]]:
-        """(template, first shingle, end) of the windows that share a band with a template."""
+        """(template, first shingle, end) of the windows that share a band with a template.
+
+        A window's smallest hash is looked up among those of all templates of a size class
+        at once: a table of marks first, the few that pass in the sorted minima.
+        """
         found: set[tuple[int, int, int]] = set()
         top = max(self.levels, default=0)
         for p in range(BANDS):
@@ -118,9 +176,12 @@ class Index:
                 padded = np.concatenate([low, low[-1:], low[-1:]])
                 window = np.minimum(np.minimum(padded[:-2], padded[1:-1]), padded[2:])
                 block = 1 << (level - 1)
-                for t in self.levels[level]:
-                    for w in np.flatnonzero(window == self.lowest[p][t]):
-                        found.add((t, int(w) * block, (int(w) + 3) * block))
+                marks, minima, group = self.tables[level, p]
+                at = np.flatnonzero(marks[slot(window)])
+                first = np.searchsorted(minima, window[at], "left")
+                last = np.searchsorted(minima, window[at], "right")
+                for w, i, j in zip(at.tolist(), first.tolist(), last.tolist()):
+                    found.update((int(t), w * block, (w + 3) * block) for t in group[i:j])
         return found
 
     def verify(self, s: np.ndarray, windows: set[tuple[int, int, int]]
@@ -130,9 +191,14 @@ class Index:
         for t, lo, hi in sorted(windows):
             part = s[lo:hi]
             hit = np.flatnonzero(np.isin(part, self.sets[t]))
-            share = len(np.unique(part[hit])) / len(self.sets[t])
+            # Every stretch of the template's own length that starts with one of its shingles.
+            ends = np.searchsorted(hit, hit + self.lengths[t])
+            shares = [len(np.unique(part[hit[i:j]])) / len(self.sets[t])
+                      for i, j in enumerate(ends)]
+            share = max(shares, default=0.0)
             if share >= CONTAINMENT:
-                a, b = lo + int(hit[0]), lo + int(hit[-1])
+                held = [i for i, x in enumerate(shares) if x >= CONTAINMENT]
+                a, b = lo + int(hit[held[0]]), lo + int(hit[ends[held[-1]] - 1])
                 # Windows without the whole stretch but enough of it merge with their neighbours.
                 if out and out[-1][0] == t and a <= out[-1][2]:
                     out[-1][2] = max(out[-1][2], b)

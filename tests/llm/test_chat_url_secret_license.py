@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+
 from ledgerlake.llm import automaton, chat_format, license_scan, queries, secret_scan, url_filter
 from ledgerlake.llm.common import table
 
@@ -284,3 +286,17 @@ def test_licenses_every_template_in_noise_and_edges(spark):
     one = next(r for r in out if r["doc_id"] == 903)
     assert one["spans"] == "0:20:proprietary" and one["kind"] == "proprietary"
     assert license_scan.scan(df.limit(0)).count() == 0
+
+
+def test_licenses_retrieval_of_many_templates():
+    rng = np.random.default_rng(3)
+    word = [f"w{i}" for i in range(400)]
+    text = lambda n: " ".join(rng.choice(word, n))
+    templates = [(f"t{i}", "permissive", text(4 + i % 60)) for i in range(1000)]
+    index = license_scan.Index(templates)
+    held = [3, 77, 412, 500, 998]
+    noise = " ".join(f"{text(50)} {templates[t][2]}" for t in held) + " " + text(50)
+    s = license_scan.shingles(noise, license_scan.LowerHash())
+    found = index.verify(s, index.retrieve(s))
+    assert {t for t, *_ in found} == set(held)
+    assert all(share == 1.0 for *_, share in found)

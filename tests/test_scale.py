@@ -31,3 +31,23 @@ def test_packed_hashes_come_back(spark):
     back = df.select("i", *packed("h")).select("i", unpacked("h").alias("h")).orderBy("i")
     assert [r.h for r in back.collect()] == texts
     assert df.select(packed("h")[0]).filter(F.octet_length("_h_bytes") == 32).count() == 1
+
+
+def test_asof_without_buckets_is_the_same(spark):
+    from ledgerlake.operators.asof import asof_join
+    left = spark.sql("""SELECT if(id % 9 = 0, NULL, concat('S', id % 4)) AS k,
+        if(id % 11 = 0, NULL, date_add(DATE'2020-01-01', cast(id * 7 % 200 AS int))) AS d, id
+        FROM range(300)""")
+    right = spark.sql("""SELECT if(id % 8 = 0, NULL, concat('S', id % 5)) AS k,
+        if(id % 13 = 0, NULL, date_add(DATE'2020-01-01', cast(id * 17 % 200 AS int))) AS at,
+        if(id % 6 = 0, NULL, id) AS v, id % 3 AS o FROM range(60)""")
+    args = (left, right, ["k"], "d", "at", ["v"])
+    cut, whole = (asof_join(*args, right_order=["o", "v"], **kw) for kw in ({}, {"bucket": None}))
+    assert whole.columns == ["k", "d", "id", "v"] and whole.dtypes == cut.dtypes
+    assert sorted(map(tuple, whole.collect()), key=repr) == sorted(map(tuple, cut.collect()),
+                                                                   key=repr)
+
+
+def test_holdings_and_prices_meet_in_one_exchange(spark):
+    # trades, net days, holdings, prices (grouped, then dealt), as-of.
+    assert len(exchanges(QUERIES["holdings_asof"](spark, SF))) <= 6

@@ -51,3 +51,23 @@ def test_asof_without_buckets_is_the_same(spark):
 def test_holdings_and_prices_meet_in_one_exchange(spark):
     # trades, net days, holdings, prices (grouped, then dealt), as-of.
     assert len(exchanges(QUERIES["holdings_asof"](spark, SF))) <= 6
+
+
+def test_written_hashes_and_shuffled_hashes_are_packed(spark, tmp_path):
+    import glob
+    from ledgerlake.operators import quality
+    from ledgerlake.session import materialize, scratch_path
+    from ledgerlake.sinks.writers import write_bronze
+    df = spark.createDataFrame([("0f" * 32, "2020-01"), ("0f" * 32, "2020-01"),
+                                ("h1", "2020-01"), ("h1", "2020-01"), ("h1", "2020-02"),
+                                (None, "2020-01"), (None, "2020-01"), ("x", None)],
+                               "row_hash string, year_month string")
+    write_bronze(df, str(tmp_path / "b"), ["year_month"])
+    assert glob.glob(str(tmp_path / "b/*/*.zstd.parquet"))
+    back = materialize(df, "packed-test")
+    assert quality.repeats_of(back, "row_hash") == (2, 4)
+    out = quality.check(back, "t", [quality.Rule("unique", "row_hash"),
+                                    quality.Rule("not_null", "row_hash"),
+                                    quality.Rule("duplicates", "row_hash")])
+    assert [r.failing_rows for r in out.collect()] == [2, 2, 4]
+    assert not [x for x in exchanges(out) if "(row_hash" in x]

@@ -71,3 +71,42 @@ def test_written_hashes_and_shuffled_hashes_are_packed(spark, tmp_path):
                                     quality.Rule("duplicates", "row_hash")])
     assert [r.failing_rows for r in out.collect()] == [2, 2, 4]
     assert not [x for x in exchanges(out) if "(row_hash" in x]
+
+
+def test_a_short_ledger_costs_one_read_and_one_write_of_state(spark):
+    import json
+    from ledgerlake.streaming import running_cost as rc
+
+    class Value:
+        text, calls = None, 0
+
+        def get(self):
+            self.calls += 1
+            return self.text
+
+        def update(self, value):
+            self.calls, self.text = self.calls + 1, value
+
+    class Map(dict):
+        def getValue(self, key):
+            return self[key]
+
+        def updateValue(self, key, value):
+            self[key] = value
+
+    def rows(days):
+        return [dict(zip(rc.FIELDS, (__import__("datetime").date.fromordinal(d), -d, f"h{d}", "a",
+                                     "YOU BOUGHT", 10 ** 6, 10 ** 4, True, False, False)),
+                     symbol="S", source="x") for d in days]
+
+    p = rc.RunningCost()
+    p.index, p.trades = Value(), Map()
+    assert len(list(p.handleInputRows(("k",), iter(rows(range(700000, 700200))), None))) == 200
+    assert p.index.calls == 2 and not p.trades
+    late = list(p.handleInputRows(("k",), iter(rows([699990])), None))
+    assert [r.rn for r in late] == list(range(1, 202)) and p.index.calls == 4 and not p.trades
+    assert not list(p.handleInputRows(("k",), iter(rows([699990])), None))  # delivered again
+    more = list(p.handleInputRows(("k",), iter(rows(range(700200, 700900))), None))
+    assert more[-1].rn == 901 and len(p.trades) == len(json.loads(json.loads(p.index.text[0])[0])) > 1
+    last = list(p.handleInputRows(("k",), iter(rows([701000])), None))
+    assert last[-1].rn == 902 and last[-1]._s == 902 * 10 ** 6

@@ -110,3 +110,18 @@ def test_a_short_ledger_costs_one_read_and_one_write_of_state(spark):
     assert more[-1].rn == 901 and len(p.trades) == len(json.loads(json.loads(p.index.text[0])[0])) > 1
     last = list(p.handleInputRows(("k",), iter(rows([701000])), None))
     assert last[-1].rn == 902 and last[-1]._s == 902 * 10 ** 6
+
+
+def test_a_load_keeps_no_stage_and_no_copy(spark, tmp_path):
+    from ledgerlake.plans import refresh
+    from ledgerlake.sinks.merge import path_exists
+    lake = refresh.Lake(spark, str(tmp_path / "lake"))
+    rows = build(spark, SF).dealt("bank_transactions").drop("row_bucket").limit(50)
+    rows = spark.createDataFrame(rows.collect(), rows.schema)
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    months = refresh.load(lake, "stg_transactions", rows, lake.path("stage/0"))
+    assert not path_exists(spark, lake.path("stage/0"))
+    seen = sorted(lake.table("stg_transactions").collect())
+    assert sorted(refresh.load(lake, "stg_transactions", rows, lake.path("stage/1"))) == sorted(months)
+    assert sorted(lake.table("stg_transactions").collect()) == seen
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before

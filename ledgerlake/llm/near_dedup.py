@@ -28,8 +28,10 @@ are never compared.  Inside a band bucket not all pairs are emitted:
   the shingles it has beyond the centre's and those of the centre that it lacks.  The
   difference of two texts is the difference of their edits, so a text that is not linked to
   the centre can be linked to another one only if enough edits of the other one, about
-  half of them, are its own, too (``open_pairs``).  Texts with too many edits that nobody
-  shares drop out; the others meet under their rarest shared edits, and are verified.
+  half of them, are its own, too (``open_texts``).  Texts with too many edits that nobody
+  shares drop out; the others meet under their rarest shared edits, and are verified: first
+  with one text of every edit, which is linear and joins most components, then in all pairs
+  whose texts are still in different ones.
 
 Both steps together lose no linked pair that shares a band: a pair is either verified,
 or provably below the threshold, or inside one component already.  The number of edits
@@ -231,9 +233,18 @@ def links(documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS
                        .select("band", "centre", "digest", "label", "lone"), "near-mixed")
     rest = (fewest_centres(held).filter(F.col("digest") != F.col("centre"))
             .select("centre", "digest", "label", "lone").distinct())
-    near, pairs = open_pairs(rest, sets, threshold)
-    return (label.select(F.col("digest").alias("a"), F.col("label").alias("b"))
-            .unionByName(near).unionByName(verified(pairs, sets, threshold)))
+    near, meet = open_texts(rest, sets, threshold)
+    known = label.select(F.col("digest").alias("a"), F.col("label").alias("b")).unionByName(near)
+    # First one text of every shared edit against the others: linear, and it joins most
+    # components.  Then all pairs whose texts are still in different ones.
+    first = verified(meetings(meet, first_holders(meet), threshold), sets, threshold)
+    known = materialize(known.unionByName(first), "near-first")
+    now = materialize(components(known).select(F.col("node").alias("digest"),
+                                               F.col("label").alias("now")), "near-now")
+    still = (meet.join(now, "digest", "left").withColumn("label", F.coalesce("now", "label"))
+             .drop("now"))
+    still = materialize(still, "near-still")
+    return known.unionByName(verified(meetings(still, still, threshold), sets, threshold))
 
 
 def fewest_centres(held: DataFrame) -> DataFrame:
@@ -254,8 +265,8 @@ def fewest_centres(held: DataFrame) -> DataFrame:
     return held.drop("centre").join(best, "band")
 
 
-def open_pairs(rest: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Links (a, b) with centres, and pairs (a, b) that may reach the threshold.
+def open_texts(rest: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) with centres, and the texts by the shared edits under which they may meet.
 
     ``rest``: centre, digest, label of the texts of mixed buckets, and how many shingles of
     each no other text has.  Let n be the sizes of
@@ -308,7 +319,27 @@ def open_pairs(rest: DataFrame, sets: DataFrame, threshold: float) -> tuple[Data
                       F.posexplode(F.slice("s", 1, F.col("upto"))).alias("at", "s"))
               .select("centre", F.col("s.e").alias("e"), "digest", "label", "n", "h", "apart",
                       "size", "last", "at"), "near-shared-edits")
-    u, v = placed.filter("apart").alias("u"), placed.filter("at < last").alias("v")
+    return near, placed
+
+
+def open_pairs(rest: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) with centres, and pairs (a, b) that may reach the threshold, in one pass."""
+    near, meet = open_texts(rest, sets, threshold)
+    return near, meetings(meet, meet, threshold)
+
+
+def first_holders(meet: DataFrame) -> DataFrame:
+    """One text of every (centre, edit): the closest to the centre that can be met there."""
+    rest = [c for c in meet.columns if c not in ("centre", "e", "h", "digest")]
+    best = F.min(F.struct("apart", "h", "digest", *[c for c in rest if c != "apart"]))
+    return (meet.filter("at < last").groupBy("centre", "e").agg(best.alias("b"))
+            .select("centre", "e", "b.*"))
+
+
+def meetings(us: DataFrame, vs: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of different components that meet under an edit and may be linked."""
+    r = (1 - threshold) / (1 + threshold)
+    u, v = us.filter("apart").alias("u"), vs.filter("at < last").alias("v")
     left = F.least(F.col("u.size") - F.col("u.at"), F.col("v.size") - F.col("v.at"))
     wanted = (F.col("u.h") + F.col("v.h") - F.lit(r) * (F.col("u.n") + F.col("v.n"))) / 2 - 1e-6
     pairs = u.join(v, (F.col("u.centre") == F.col("v.centre")) & (F.col("u.e") == F.col("v.e"))
@@ -318,8 +349,7 @@ def open_pairs(rest: DataFrame, sets: DataFrame, threshold: float) -> tuple[Data
                    & (left >= wanted)
                    & (F.least("u.n", "v.n") >= threshold * F.greatest("u.n", "v.n"))).select(
         F.col("u.digest").alias("a"), F.col("v.digest").alias("b"))
-    return near, pairs.select(F.least("a", "b").alias("a"),
-                              F.greatest("a", "b").alias("b")).distinct()
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_brute import brute_classes, brute_leaks, every_block, jaccard
 
@@ -139,6 +140,19 @@ def near_copies(seed, n=70):
     return out
 
 
+def test_texts_meet_one_holder_of_an_edit_first(spark):
+    """40 texts apart from a centre and 40 linked to it share edits: no 1,600 pairs."""
+    meet = spark.sql("""SELECT unhex('00') AS centre, named_struct('more', true, 'item', e) AS e,
+        encode(cast(id AS string), 'utf-8') AS digest, unhex(if(id < 40, '01', '02')) AS label, 100 AS n,
+        if(id < 40, 23, 3) AS h, id < 40 AS apart, 3 AS size, 3 AS last, cast(e AS int) AS at
+        FROM (SELECT cast(id AS int) AS id FROM range(80)) JOIN range(2) AS t(e)""")
+    assert near_dedup.meetings(meet, meet, 0.8).count() == 1600
+    pairs = near_dedup.meetings(meet, near_dedup.first_holders(meet), 0.8).collect()
+    assert len(pairs) == 40 and all(b"40" in r for r in pairs)
+    joined = meet.withColumn("label", F.unhex(F.lit("01")))  # after these links
+    assert near_dedup.meetings(joined, joined, 0.8).isEmpty()
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_open_pairs_hold_every_link_of_different_components(spark, seed):
     from itertools import combinations

@@ -301,3 +301,82 @@ def test_places_by_leading_value_equal_one_window(spark):
          for i in range(60)], "symbol string, source string, trade_date int, rn int")
     got = placed("position_lots", df, ["symbol", "source"], ["rn"])
     assert rows_of(got) == rows_of(ranked("position_lots", df, ["rn"]))
+
+
+def test_ledgers_of_a_group_cost_few_calls_of_state_and_fold_like_the_whole(spark, monkeypatch):
+    """Pages of ledgers split as they grow; a micro-batch reads and writes a page once."""
+    import json
+    monkeypatch.setattr(rc, "SEGMENT", 4)
+    monkeypatch.setattr(rc, "PAGE", 4000)
+
+    class State(dict):
+        calls = 0
+
+        def get(self):
+            return self.getValue(None)
+
+        def update(self, value):
+            self.updateValue(None, value)
+
+        def getValue(self, key):
+            self.calls += 1
+            return self.get_(key)
+
+        def get_(self, key):
+            return dict.get(self, key)
+
+        def updateValue(self, key, value):
+            self.calls += 1
+            self[key] = value
+
+    p = rc.RunningCosts()
+    p.size, p.index, p.trades = State(), State(), State()
+    rng, now, seen = random.Random(5), {}, {}
+    keys = [(f"S\n{i}", "x") for i in range(40)] + [(None, "x"), ("S", None)]
+    for n in range(6):
+        batch = [(rng.choice(keys), random_trade(rng, f"{n}-{i}")) for i in range(120)]
+        for k, t in batch:
+            seen.setdefault(k, []).append(t)
+        texts = [json.dumps([t[0], t[1], [t[2], *k, *t[3:5]], *t[5:]]) for k, t in batch]
+        calls = p.index.calls
+        got = p.handleInputRows((7,), iter([{"trades": ",".join(texts[:50])},
+                                            {"trades": ",".join(texts[50:])}]), None)
+        for r in got:
+            for symbol, source, _d, _acc, _act, _q, _p, _a, h, rn, s, c, g, gone in json.loads(r["rows"]):
+                now.pop(((symbol, source), h), None)
+                if not gone:
+                    now[(symbol, source), h] = rn, (s, c, g)
+        # Read and written once, before and while it is split.
+        assert p.index.calls - calls <= 5 * len(p.index)
+    want = {(k, h): x for k, ts in seen.items()
+            for h, x in folded_whole(ts if None not in k else [min(ts, key=rc.order_of)], k).items()}
+    assert now == want
+    assert len(p.index) >= 8 and max(len(v[0]) for v in p.index.values()) < 5 * rc.PAGE
+    assert p.trades, "long ledgers have several segments"
+
+
+def test_trades_travel_as_texts_of_many(spark):
+    """Groups of ledgers: a call of the processor gets few rows, whole and in any batches."""
+    import json
+    import pyarrow as pa
+    rows = random_rows(9, 700)
+    text = rc._trade_text().alias("trade")
+    whole = trades_frame(spark, rows)
+    table = rc._ledger_rows(whole).select((F.xxhash64("symbol") % 3).cast("int").alias("bucket"), text)
+    got = table.toArrow().to_batches(max_chunksize=100)
+    packed = pa.Table.from_batches(rc._texts_of_groups(iter([*got, got[0].slice(0, 0)])))
+    per = {}
+    for b, t in zip(packed["bucket"].to_pylist(), packed["trades"].to_pylist()):
+        per.setdefault(b, []).extend(json.loads(f"[{t}]"))
+    assert packed.num_rows <= len(per) + 700 // rc.TEXT
+    want = [json.loads(t) for b in got for t in b["trade"].to_pylist()]
+    assert sorted((t for ts in per.values() for t in ts), key=repr) == sorted(want, key=repr)
+    assert not list(rc._texts_of_groups(iter([])))
+
+
+def test_only_rows_that_may_have_changed_are_given_out():
+    store = {}
+    trade = lambda d: [d, 1, f"h{d}", "a", "bought", 10 ** 6, 10 ** 4, True, False, False]
+    ledger = rc.Segments(None, store.__getitem__, store.__setitem__)
+    assert len(list(ledger.add([trade(d) for d in range(0, 200, 2)], ("A", "x")))) == 100
+    assert [t[0] for t, _, _ in ledger.add([trade(193)], ("A", "x"))] == [193, 194, 196, 198]

@@ -380,3 +380,68 @@ def test_only_rows_that_may_have_changed_are_given_out():
     ledger = rc.Segments(None, store.__getitem__, store.__setitem__)
     assert len(list(ledger.add([trade(d) for d in range(0, 200, 2)], ("A", "x")))) == 100
     assert [t[0] for t, _, _ in ledger.add([trade(193)], ("A", "x"))] == [193, 194, 196, 198]
+
+
+# --- stages are moved ------------------------------------------------------------------
+
+def names_of(df):
+    return {f.rsplit("/", 1)[1] for f in df.inputFiles()}
+
+
+def test_a_merge_writes_every_row_once(spark, tmp_dir, monkeypatch):
+    staged, move = [], merging.Stage.move
+
+    def seen(stage, target, partitions):
+        staged.append(names_of(spark.read.parquet(stage.path)))
+        move(stage, target, partitions)
+
+    monkeypatch.setattr(merging.Stage, "move", seen)
+    path = f"{tmp_dir}/silver"
+    rows = [(dt.date(2020, 1 + n % 3, 5) if n % 5 else None, "s", f"h{n}", n % 7) for n in range(40)]
+    merge_silver("stg_trades", bronze(spark, rows), path, f"{tmp_dir}/s0")
+    silver = spark.read.parquet(path)
+    assert silver.count() == 40 and names_of(silver) == staged[0], "the staged files themselves"
+
+
+def test_a_publish_that_was_lost_half_way_goes_on(spark, tmp_dir, monkeypatch):
+    path, stage = f"{tmp_dir}/silver", f"{tmp_dir}/stage"
+    days = [dt.date(2020, 1, 5), dt.date(2020, 2, 5), None]
+    merge_silver("stg_trades", bronze(spark, [(d, "old", f"a{d}", 1) for d in days]), path,
+                 f"{tmp_dir}/s0")
+    batch = bronze(spark, [(d, "new", f"b{d}", 1) for d in days])
+    folders = merging.Stage.folders
+
+    def one(self, levels):
+        yield next(folders(self, levels))
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(merging.Stage, "folders", one)
+    with pytest.raises(RuntimeError):
+        merge_silver("stg_trades", batch, path, stage)
+    monkeypatch.undo()
+    for _ in range(2):  # the second time everything is there
+        assert set(merge_silver("stg_trades", batch, path, stage)) == {"2020-01", "2020-02", None}
+        got = sorted(r["row_hash"] for r in read_silver(spark, "stg_trades", path).collect())
+        assert got == sorted([f"a{d}" for d in days] + [f"b{d}" for d in days])
+
+
+def test_a_merge_sorts_behind_its_exchange_and_writes_few_files(spark, tmp_dir):
+    from ledgerlake.streaming.incremental import first_ingested
+    day = dt.date(2019, 1, 1)
+    rows = [(day + dt.timedelta(n % 700), "s", f"h{n}", n % 7) for n in range(3000)]
+    typed = bronze(spark, rows).withColumn("year_month", F.date_format("trade_date", "yyyy-MM"))
+    plan = first_ingested(typed)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+    assert "Aggregate" not in plan.split("Exchange")[1], "rows are not sorted twice"
+    merge_silver("stg_trades", bronze(spark, rows), f"{tmp_dir}/silver", f"{tmp_dir}/s")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions")) // 4
+    assert len(spark.read.parquet(f"{tmp_dir}/silver").inputFiles()) <= 24 * parts
+
+
+def test_downloads_apart_are_the_whole_bronze(spark):
+    from ledgerlake.catalog import build
+    from ledgerlake.plans.replays import second_download
+    m = build(spark, "/root/testdata/sf0.001")
+    apart = second_download(m).unionByName(second_download(m, False))
+    assert rows_of(apart) == rows_of(m.dealt("trades").drop("row_bucket", "pos"))
+    assert second_download(m).select("ingested_at").distinct().count() == 1

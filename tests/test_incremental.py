@@ -445,3 +445,22 @@ def test_downloads_apart_are_the_whole_bronze(spark):
     apart = second_download(m).unionByName(second_download(m, False))
     assert rows_of(apart) == rows_of(m.dealt("trades").drop("row_bucket", "pos"))
     assert second_download(m).select("ingested_at").distinct().count() == 1
+
+
+def test_a_refresh_makes_the_holdings_once(spark, tmp_dir, monkeypatch):
+    lake, day, seen = refresh.Lake(spark, tmp_dir), dt.date, []
+    load(lake, 0, [(day(2020, 1, 3), 5.0, "x", "c")],
+         [(day(2020, 1, 3), "A", "YOU BOUGHT", 1.0, "t")], [(day(2020, 1, 4), "A", 2.0, "p")])
+    tail = refresh.wealth_tail
+
+    def spied(lake, first, keep=lambda df: df):
+        seen.extend(tail(lake, first, keep))
+        return seen
+
+    monkeypatch.setattr(refresh, "wealth_tail", spied)
+    refresh.refresh_wealth(lake, ["2020-01"])
+    assert len(seen) == 2
+    for df in seen:  # the summary and what the openings are made of
+        assert "stg_trades" not in df._jdf.queryExecution().toString()
+    assert not merging.path_exists(spark, lake.path("stage/holdings"))
+    assert [r.shares_held for r in lake.table("opening_holdings").collect()] == [Decimal(1)]
